@@ -1,0 +1 @@
+"""Intentionally empty: every read and write of this workload is a daily batch."""
