@@ -26,6 +26,7 @@ EMAIL_PATTERN = r"^[a-zA-Z0-9._]+@[a-z0-9._]+\.[a-z]{2,}"
 class Stage(NamedTuple):
     name: str
     keep: Column
+    costly: bool = False
 
 
 def all_present(columns) -> Column:
@@ -42,7 +43,7 @@ def booking_stages(
     )
     return [
         Stage("null_keys", all_present(BOOKING_KEYS)),
-        Stage("dates", dates),
+        Stage("dates", dates, costly=True),
         Stage("status", F.col("status").isin(*BOOKING_STATUSES)),
     ]
 
@@ -51,14 +52,19 @@ def customer_stages(email_pattern: str = EMAIL_PATTERN) -> list[Stage]:
     return [
         Stage("null_keys", all_present(CUSTOMER_KEYS)),
         Stage("status", F.col("status").isin(*CUSTOMER_STATUSES)),
-        Stage("email", F.col("email").rlike(email_pattern)),
-        Stage("signup_date", parse_date(F.col("signup_date")).isNotNull()),
+        Stage("email", F.col("email").rlike(email_pattern), costly=True),
+        Stage("signup_date", parse_date(F.col("signup_date")).isNotNull(), costly=True),
     ]
 
 
 def keep_valid(df: DataFrame, stages: list[Stage]) -> DataFrame:
-    """Rows that pass every stage; unknown counts as failed."""
-    return reduce(lambda rest, stage: rest.filter(stage.keep), stages, df)
+    """Rows that pass every stage; unknown counts as failed.
+
+    The order does not matter to the result, so rows the cheap tests reject are
+    gone before anything is parsed.
+    """
+    ordered = sorted(stages, key=lambda stage: stage.costly)
+    return reduce(lambda rest, stage: rest.filter(stage.keep), ordered, df)
 
 
 def clean_bookings(

@@ -81,48 +81,45 @@ def verify(df: DataFrame, *checks: Check) -> DataFrame:
 
     A fraction over an empty table is null, and null counts as failed.
     """
-    flat = [(check, c) for check in checks for c in check.constraints]
-    metrics = {"rows": F.count(F.lit(1))}
-    for _, c in flat:
-        if c.compliant is not None:
-            metrics.setdefault(c.label, F.count_if(c.compliant()))
-    totals = df.agg(*[metric.alias(name) for name, metric in metrics.items()])
+    tests = [(i, c) for i, check in enumerate(checks) for c in check.constraints]
+    # Constraints that look at the same rows share their count.
+    counts = {"rows": F.count(F.lit(1))}
+    for _, c in tests:
+        if c.compliant is not None and c.label not in counts:
+            counts[c.label] = F.count_if(c.compliant())
+    totals = df.agg(*[count.alias(label) for label, count in counts.items()])
 
     size = F.col("rows")
-
-    def value_of(c):
-        if c.compliant is None:
-            return size.cast("double")
-        return F.try_divide(F.col(f"`{c.label}`"), size)
-
-    def holds(c):
-        tested = size if c.compliant is None else value_of(c)
-        return F.coalesce(c.holds(tested), F.lit(False))
-
-    def message(c):
-        text = F.concat(
-            F.lit("Value: "),
-            F.coalesce(value_of(c).cast("string"), F.lit("none")),
-            F.lit(" does not meet the constraint requirement!"),
+    values, outcomes = [], []
+    for n, (_, c) in enumerate(tests):
+        value = size if c.compliant is None else F.try_divide(F.col(f"`{c.label}`"), size)
+        values.append(value.cast("double").alias(f"value{n}"))
+        outcomes.append(F.coalesce(c.holds(value), F.lit(False)).alias(f"ok{n}"))
+
+    statuses = []
+    for i, check in enumerate(checks):
+        mine = [F.col(f"ok{n}") for n, (j, _) in enumerate(tests) if i == j]
+        passed = reduce(Column.__and__, mine, F.lit(True))
+        statuses.append(
+            F.when(passed, SUCCESS).otherwise(check.level.value).alias(f"status{i}")
         )
-        return F.when(holds(c), "").otherwise(text)
 
-    def check_status(check):
-        passed = reduce(Column.__and__, [holds(c) for c in check.constraints])
-        return F.when(passed, SUCCESS).otherwise(check.level.value)
-
-    rows = [
-        F.struct(
-            F.lit(check.name).alias("check"),
-            F.lit(check.level.value).alias("check_level"),
-            check_status(check).alias("check_status"),
+    def row(n, i, c):
+        ok, value = F.col(f"ok{n}"), F.coalesce(F.col(f"value{n}").cast("string"), F.lit("none"))
+        problem = F.concat(
+            F.lit("Value: "), value, F.lit(" does not meet the constraint requirement!")
+        )
+        return F.struct(
+            F.lit(checks[i].name).alias("check"),
+            F.lit(checks[i].level.value).alias("check_level"),
+            F.col(f"status{i}").alias("check_status"),
             F.lit(c.label).alias("constraint"),
-            F.when(holds(c), SUCCESS).otherwise("Failure").alias("constraint_status"),
-            message(c).alias("constraint_message"),
+            F.when(ok, SUCCESS).otherwise("Failure").alias("constraint_status"),
+            F.when(ok, "").otherwise(problem).alias("constraint_message"),
         )
-        for check, c in flat
-    ]
-    return totals.select(F.inline(F.array(*rows)))
+
+    tested = totals.select(*values, *outcomes).select("*", *statuses)
+    return tested.select(F.inline(F.array(*[row(n, i, c) for n, (i, c) in enumerate(tests)])))
 
 
 def roll_up(results: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ def _is(k: Column, divisor: int, rest: int) -> Column:
 def _iso(ts: Column) -> Column:
     """Timestamp as text, read off without any time zone."""
     text = ts.cast("timestamp_ntz").cast("string")
-    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("Z"))
+    return F.concat(F.replace(text, F.lit(" "), F.lit("T")), F.lit("Z"))
 
 
 def raw_bookings(spark: SparkSession, sf_dir: str, day: int | None = None) -> DataFrame:
@@ -47,7 +47,6 @@ def raw_bookings(spark: SparkSession, sf_dir: str, day: int | None = None) -> Da
     status = F.when(_is(k, 109, 19), F.lit(None)).when(_is(k, 11, 4), "null").when(_is(k, 13, 6), "canceled")
     for letter, kind in zip("FOP", kinds, strict=True):
         status = status.when(F.col("o_orderstatus") == letter, kind)
-    start_text = start.cast("string")
     return table(spark, sf_dir, "orders").select(
         F.when(~_is(k, 101, 17), tagged("B", k * ID_FACTOR[day])).alias("booking_id"),
         F.when(~_is(k, 97, 13), tagged("C", F.col("o_custkey"))).alias("customer_id"),
@@ -56,7 +55,7 @@ def raw_bookings(spark: SparkSession, sf_dir: str, day: int | None = None) -> Da
         .when(_is(k, 89, 5), "2024-MAY-15")
         .otherwise(F.substring(ordered.cast("string"), 1, 10))
         .alias("booking_date"),
-        F.when(_is(k, 83, 3), F.substring(start_text, 1, 19)).otherwise(_iso(start)).alias("start_time"),
+        F.when(_is(k, 83, 3), start.cast("string")).otherwise(_iso(start)).alias("start_time"),
         F.when(~_is(k, 79, 2), _iso(end)).alias("end_time"),
         status.alias("status"),
         (F.col("o_totalprice") + F.lit(1.0 if day == 2 else 0.0)).alias("total_amount"),
