@@ -6,11 +6,17 @@ The merge is a DataFrame of the target's new contents. It is the union of
   or kept;
 * every staged row whose key the target does not hold.
 
-A left and an anti join instead of one full outer join: adaptive execution can
-split an oversized partition of their left sides, so a key that holds a large
-part of the target or of the staged rows does not end up in one task, and either
-can run without shuffling the target when the staged rows are small enough to
-broadcast. The price is a second scan of the target's key column.
+Two joins instead of one full outer join, because neither then puts a key that
+holds a large part of a table into one task:
+
+* the left join has the target on its left, where adaptive execution splits an
+  oversized partition;
+* the target's keys are made distinct before they are shuffled to the second;
+* staged keys with very many copies can only be new (a copy that meets a target
+  row is an error), so they are inserted without any join.
+
+And if the staged rows are small enough to broadcast, the target is not shuffled
+at all. The price is a second scan of the target's key column.
 """
 
 from __future__ import annotations
@@ -55,6 +61,11 @@ BOOKINGS_RULE = MergeRule("booking_id", "cancelled")
 CUSTOMERS_RULE = MergeRule("customer_id", "inactive")
 
 
+# A staged key is hot above this share of the rows, so fewer than 1000 keys are.
+_HOT_SHARE = 1000
+_HOT_COPIES = 10_000
+
+
 @dataclass(frozen=True)
 class UpdateProfile:
     """Measured facts about the staged rows."""
@@ -62,10 +73,11 @@ class UpdateProfile:
     rows: int
     bytes: int | None
     repeated_keys: int
+    null_keys: int
 
 
 def profile_updates(updates: DataFrame, key: str) -> UpdateProfile:
-    """Row count, an upper bound of the size in memory, and repeated keys.
+    """Row count, an upper bound of the size in memory, repeated and null keys.
 
     One aggregate, combined per key before the shuffle. The size is None if a
     column's type has no simple bound.
@@ -75,13 +87,15 @@ def profile_updates(updates: DataFrame, key: str) -> UpdateProfile:
         F.count(F.lit(1)).alias("copies"),
         F.sum(size if size is not None else F.lit(None).cast("long")).alias("bytes"),
     )
+    copies, null = F.col("copies"), F.col(key).isNull()
     total = per_key.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(copies), F.lit(0)).alias("rows"),
         F.sum("bytes").alias("bytes"),
-        F.count_if((F.col("copies") > 1) & F.col(key).isNotNull()).alias("repeated"),
+        F.count_if((copies > 1) & ~null).alias("repeated"),
+        F.coalesce(F.sum(F.when(null, copies)), F.lit(0)).alias("nulls"),
     ).first()
     known = 0 if total["rows"] == 0 else total["bytes"]
-    return UpdateProfile(total["rows"], known, total["repeated"])
+    return UpdateProfile(total["rows"], known, total["repeated"], total["nulls"])
 
 
 def repeated_keys(updates: DataFrame, key: str) -> DataFrame:
@@ -95,12 +109,15 @@ def repeated_keys(updates: DataFrame, key: str) -> DataFrame:
 
 
 def ambiguous_keys(target: DataFrame, updates: DataFrame, rule: MergeRule) -> DataFrame:
-    """Repeated staged keys that meet a target row the merge would change (M6)."""
+    """Repeated staged keys that meet a target row the merge would change (M6).
+
+    When the incoming status decides, a repeated key may not meet any target row.
+    """
     if rule.delete_on == "target":
         target = target.filter(F.col(rule.status).isNotNull())
-    repeated = repeated_keys(updates, rule.key)
-    met = target.select(rule.key).join(repeated, rule.key, "left_semi").distinct()
-    return repeated.join(met, rule.key, "left_semi")
+    return repeated_keys(updates, rule.key).join(
+        target.select(rule.key).distinct(), rule.key, "left_semi"
+    )
 
 
 def merge_rows(
@@ -117,9 +134,9 @@ def merge_rows(
     nothing.
 
     ``auto`` measures the staged rows and broadcasts them if they stay below the
-    limit; ``shuffle`` never asks for a broadcast. Runs one aggregate over the
-    staged rows in either case, and raises before anything is written if a
-    target row would be changed twice.
+    limit; ``shuffle`` never asks for a broadcast. Either runs an aggregate over
+    the staged rows at once, and raises before anything is written if a target
+    row would be changed twice. ``updates`` is read several times: pass a table.
     """
     if strategy not in ("auto", "shuffle"):
         raise ValueError(f"unknown strategy {strategy!r}")
@@ -127,26 +144,58 @@ def merge_rows(
     if unknown:
         raise ValueError(f"staged columns missing in the target: {', '.join(unknown)}")
 
-    key = rule.key
-    profile = profile_updates(updates, key)
-    unique, keys = updates, updates.select(key)
+    profile = profile_updates(updates, rule.key)
+    untouched = None
+    joining = target
     if profile.repeated_keys:
-        _reject_ambiguous(ambiguous_keys(target, updates, rule), key)
-        # What is left of the repeated keys changes no target row.
-        unique = updates.join(repeated_keys(updates, key), key, "left_anti")
-        keys = keys.distinct()
-
-    small = (
-        strategy == "auto"
-        and profile.bytes is not None
-        and profile.bytes <= broadcast_limit_bytes
-    )
-    place = F.broadcast if small else (lambda side: side)
-
-    kept = _apply_updates(target, place(_as_new(unique, key)), updates.columns, rule)
-    matched = target.select(key).join(place(keys), key, "left_semi").distinct()
-    inserted = updates.join(place(matched), key, "left_anti")
-    return kept.unionByName(_like(inserted, target))
+        _reject_ambiguous(ambiguous_keys(target, updates, rule), rule.key)
+        if rule.delete_on == "target":
+            # Only rows without a status can still meet a repeated key; nothing
+            # changes them, so they stay out of the join and are not multiplied.
+            untouched = target.filter(F.col(rule.status).isNull())
+            joining = target.filter(F.col(rule.status).isNotNull())
+
+    small = profile.bytes is not None and profile.bytes <= broadcast_limit_bytes
+    if strategy == "auto" and small:
+        matching, inserted = _small_sides(target, updates, rule.key)
+    else:
+        matching, inserted = _large_sides(target, updates, rule.key, profile)
+
+    parts = [_apply_updates(joining, matching, updates.columns, rule), untouched]
+    parts += [_like(part, target) for part in inserted]
+    return reduce(DataFrame.unionByName, [part for part in parts if part is not None])
+
+
+def _small_sides(target, updates, key) -> tuple[DataFrame, list[DataFrame]]:
+    """Join side and inserts where all staged rows fit into a broadcast."""
+    wanted = F.broadcast(updates.select(key))
+    present = target.select(key).join(wanted, key, "left_semi").distinct()
+    # Never more keys than the staged rows have.
+    inserted = updates.join(F.broadcast(present), key, "left_anti")
+    return F.broadcast(_as_new(updates, key)), [inserted]
+
+
+def _large_sides(target, updates, key, profile) -> tuple[DataFrame, list[DataFrame]]:
+    """Join side and inserts by shuffle; null and hot keys take no part in it."""
+    column, rest, unjoined = F.col(key), updates, []
+    if profile.null_keys:
+        unjoined.append(updates.filter(column.isNull()))
+        rest = rest.filter(column.isNotNull())
+    hot = _hot_keys(updates, key, profile) if profile.repeated_keys else []
+    if hot:
+        met = target.select(key).filter(column.isin(hot)).distinct().collect()
+        new = sorted(set(hot) - {r[key] for r in met})
+        unjoined.append(updates.filter(column.isin(new)))
+        rest = rest.filter(~column.isin(hot))
+    inserted = rest.join(target.select(key).distinct(), key, "left_anti")
+    return _as_new(rest, key), [inserted, *unjoined]
+
+
+def _hot_keys(updates: DataFrame, key: str, profile: UpdateProfile) -> list:
+    """Keys above the hot share of the rows; fewer than 1000 by definition."""
+    least = max(profile.rows // _HOT_SHARE, _HOT_COPIES)
+    hot = repeated_keys(updates, key).filter(F.col("copies") > least)
+    return [r[key] for r in hot.collect()]
 
 
 def merge_into(updates: DataFrame, target_name: str, rule: MergeRule) -> None:

@@ -1,0 +1,379 @@
+import random
+from collections import Counter
+
+import pytest
+from hypothesis import HealthCheck, given, settings as options
+from hypothesis import strategies as st
+from pyspark.errors import UnsupportedOperationException
+from pyspark.sql import functions as F
+
+from daybook.operators.merge import (
+    BOOKINGS_RULE,
+    CUSTOMERS_RULE,
+    AmbiguousMergeError,
+    MergeRule,
+    ambiguous_keys,
+    merge_into,
+    merge_rows,
+    profile_updates,
+)
+from tests.helpers import bag, final_plan, plan, staged_bookings
+
+SCHEMA = "booking_id string, status string, total_amount double"
+INCOMING = MergeRule("booking_id", "cancelled", delete_on="incoming")
+STRATEGIES = ["auto", "shuffle"]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def brute_force(target, updates, delete_on="target"):
+    """Row by row, for staged rows that are unambiguous."""
+    by_key, result = {}, []
+    for row in updates:
+        by_key.setdefault(row[0], []).append(row)
+    for row in target:
+        hits = by_key.get(row[0], []) if row[0] is not None else []
+        if not hits:
+            result.append(row)
+            continue
+        decides = row[1] if delete_on == "target" else hits[0][1]
+        if decides is None:
+            result.append(row)
+        elif decides != "cancelled":
+            result.append(hits[0])
+    known = {row[0] for row in target if row[0] is not None}
+    result += [row for row in updates if row[0] not in known]
+    return Counter(result)
+
+
+TARGET = [
+    ("updated", "completed", 1.0),
+    ("turns", "pending", 1.0),
+    ("deleted", "cancelled", 1.0),
+    ("null status", None, 1.0),
+    ("untouched", "completed", 1.0),
+    ("untouched cancelled", "cancelled", 1.0),
+    (None, "completed", 1.0),
+    (None, "cancelled", 1.0),
+]
+UPDATES = [
+    ("updated", "pending", 2.0),
+    ("turns", "cancelled", 2.0),
+    ("deleted", "completed", 2.0),
+    ("null status", "completed", 2.0),
+    ("new", "completed", 2.0),
+    ("new cancelled", "cancelled", 2.0),
+    (None, "pending", 2.0),
+]
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_decision_table(spark, strategy):
+    merged = merge_rows(frame(spark, TARGET), frame(spark, UPDATES), BOOKINGS_RULE, strategy)
+    assert bag(merged) == Counter(
+        [
+            ("updated", "pending", 2.0),
+            ("turns", "cancelled", 2.0),
+            ("null status", None, 1.0),
+            ("untouched", "completed", 1.0),
+            ("untouched cancelled", "cancelled", 1.0),
+            (None, "completed", 1.0),
+            (None, "cancelled", 1.0),
+            ("new", "completed", 2.0),
+            ("new cancelled", "cancelled", 2.0),
+            (None, "pending", 2.0),
+        ]
+    )
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_delete_on_incoming(spark, strategy):
+    merged = merge_rows(frame(spark, TARGET), frame(spark, UPDATES), INCOMING, strategy)
+    assert bag(merged) == brute_force(TARGET, UPDATES, "incoming")
+    keys = {r.booking_id for r in merged.collect()}
+    assert "turns" not in keys and "deleted" in keys
+
+
+STATUS = st.sampled_from(["completed", "pending", "cancelled", None])
+KEY = st.one_of(st.none(), st.integers(0, 12).map(str))
+ROWS = st.lists(st.tuples(KEY, STATUS, st.floats(0, 9)), max_size=20)
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+@pytest.mark.parametrize("delete_on", ["target", "incoming"])
+@options(
+    max_examples=8,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(target=ROWS, updates=ROWS)
+def test_any_tables(spark, strategy, delete_on, target, updates):
+    """Targets may repeat keys; staged keys are made unique here."""
+    unique = {r[0]: r for r in updates if r[0] is not None}
+    updates = [r for r in updates if r[0] is None] + list(unique.values())
+    rule = MergeRule("booking_id", "cancelled", delete_on)
+    merged = merge_rows(frame(spark, target), frame(spark, updates), rule, strategy)
+    assert bag(merged) == brute_force(target, updates, delete_on)
+
+
+@pytest.mark.parametrize("rule", [BOOKINGS_RULE, INCOMING])
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_same_rows_as_one_full_outer_join(spark, strategy, rule):
+    draw = random.Random(7)
+    statuses = ["completed", "pending", "cancelled", None]
+    target = frame(spark, [(f"B{i}", draw.choice(statuses), 1.0) for i in range(0, 600)])
+    updates = frame(spark, [(f"B{i}", draw.choice(statuses), 2.0) for i in range(300, 900)])
+    t, u = target.alias("t"), updates.alias("u")
+    side = "t" if rule.delete_on == "target" else "u"
+    acts = F.col("t.booking_id").isNotNull() & F.col("u.booking_id").isNotNull()
+    status = F.col(f"{side}.status")
+    new = F.col("t.booking_id").isNull() | (acts & F.coalesce(status != "cancelled", F.lit(False)))
+    whole = (
+        t.join(u, F.col("t.booking_id") == F.col("u.booking_id"), "full_outer")
+        .filter(~(acts & F.coalesce(status == "cancelled", F.lit(False))))
+        .select(
+            *[F.when(new, F.col(f"u.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in target.columns]
+        )
+    )
+    assert bag(merge_rows(target, updates, rule, strategy)) == bag(whole)
+
+
+def test_merging_twice_is_not_the_same_as_once(spark):
+    day = [("a", "completed", 1.0), ("c", "cancelled", 1.0)]
+    target = frame(spark, day)
+    sizes = []
+    for _ in range(3):
+        target = frame(spark, [tuple(r) for r in merge_rows(target, frame(spark, day), BOOKINGS_RULE).collect()])
+        sizes.append(target.count())
+    assert sizes == [1, 2, 1]
+
+
+# Targets after staging two disjoint days, then replaying them.
+REPLAY = [
+    ("first", None, 115, 68),
+    ("second", None, 217, 121),
+    ("first", "again", 170, 121),
+    ("first", "a third time", 217, 121),
+    ("second", "again", 168, 121),
+]
+
+
+def test_replayed_days(spark):
+    def day(start, active, inactive):
+        statuses = ["active"] * active + ["inactive"] * inactive
+        rows = [(f"C{start + i}", s, "x") for i, s in enumerate(statuses)]
+        return spark.createDataFrame(rows, "customer_id string, status string, name string")
+
+    days = {"first": day(1, 68, 47), "second": day(176, 53, 49)}
+    target = days["first"].limit(0)
+    for name, _, rows, active in REPLAY:
+        merged = [tuple(r) for r in merge_rows(target, days[name], CUSTOMERS_RULE).collect()]
+        assert (len(merged), sum(r[1] == "active" for r in merged)) == (rows, active)
+        target = spark.createDataFrame(merged, target.schema)
+
+
+# --- repeated staged keys ---
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+@pytest.mark.parametrize("status", ["completed", "cancelled"])
+def test_two_updates_of_one_row_are_rejected(spark, strategy, status):
+    target = frame(spark, [("a", status, 1.0), ("b", "completed", 1.0)])
+    updates = frame(spark, [("a", "pending", 2.0), ("a", "pending", 3.0), ("b", "pending", 2.0)])
+    with pytest.raises(AmbiguousMergeError, match="booking_id such as: a"):
+        merge_rows(target, updates, BOOKINGS_RULE, strategy)
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_repeated_new_keys_are_all_inserted(spark, strategy):
+    target = frame(spark, [("b", "completed", 1.0)])
+    updates = frame(spark, [("a", "pending", 2.0), ("a", "pending", 2.0), ("b", "pending", 2.0)])
+    merged = merge_rows(target, updates, BOOKINGS_RULE, strategy)
+    assert bag(merged) == Counter({("a", "pending", 2.0): 2, ("b", "pending", 2.0): 1})
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_repeated_keys_leave_a_null_status_row_once(spark, strategy):
+    target = frame(spark, [("a", None, 1.0)])
+    updates = frame(spark, [("a", "pending", 2.0), ("a", "pending", 3.0)])
+    assert bag(merge_rows(target, updates, BOOKINGS_RULE, strategy)) == Counter([("a", None, 1.0)])
+
+
+def test_ambiguous_keys_lists_them(spark):
+    target = frame(spark, [("a", "completed", 1.0), ("a", "pending", 1.0), ("n", None, 1.0)])
+    updates = frame(spark, [(k, "pending", 2.0) for k in ["a", "a", "a", "new", "new", "n", "n", None, None]])
+    assert bag(ambiguous_keys(target, updates, BOOKINGS_RULE)) == Counter([("a", 3)])
+    assert bag(ambiguous_keys(target, updates, INCOMING)) == Counter([("a", 3), ("n", 2)])
+
+
+# --- columns ---
+
+
+def test_target_columns_that_are_not_staged(spark):
+    target = spark.createDataFrame(
+        [("a", "completed", 1.0, "note"), ("d", "cancelled", 1.0, "x")], SCHEMA + ", note string"
+    )
+    updates = frame(spark, [("a", "pending", 2.0), ("new", "pending", 3.0)])
+    assert bag(merge_rows(target, updates, BOOKINGS_RULE)) == Counter(
+        [("a", "pending", 2.0, "note"), ("d", "cancelled", 1.0, "x"), ("new", "pending", 3.0, None)]
+    )
+
+
+def test_staged_columns_must_exist_in_the_target(spark):
+    with pytest.raises(ValueError, match="missing in the target: total_amount"):
+        merge_rows(frame(spark, []).drop("total_amount"), frame(spark, []), BOOKINGS_RULE)
+
+
+def test_schema_and_order_are_the_targets(spark):
+    target = staged_bookings(spark, ("a", "completed", 1.0))
+    updates = staged_bookings(spark, ("b", "completed", 1.0)).select(*reversed(target.columns))
+    merged = merge_rows(target, updates, BOOKINGS_RULE)
+    assert merged.columns == target.columns
+    assert [f.dataType for f in merged.schema] == [f.dataType for f in target.schema]
+    assert bag(merged) == bag(target) + bag(updates.select(target.columns))
+
+
+# --- size, plans and skew ---
+
+
+def test_profile(spark):
+    rows = [("a", "pending", 2.0), ("a", "pending", 2.0), ("b", None, None), (None, "x", 1.0), (None, "x", 1.0)]
+    profile = profile_updates(frame(spark, rows), "booking_id")
+    assert (profile.rows, profile.repeated_keys) == (5, 1)
+    assert 5 * 64 < profile.bytes < 5 * 200
+    empty = profile_updates(frame(spark, []), "booking_id")
+    assert (empty.rows, empty.bytes, empty.repeated_keys) == (0, 0, 0)
+    nested = frame(spark, rows).withColumn("tags", F.array("status"))
+    assert profile_updates(nested, "booking_id").bytes is None
+
+
+def test_size_bound_covers_long_texts(spark):
+    long = frame(spark, [("a", "é" * 50_000, 1.0)])
+    assert profile_updates(long, "booking_id").bytes > 100_000
+
+
+@pytest.fixture
+def saved(spark, tmp_path):
+    def save(name, df):
+        df.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    return save
+
+
+def test_small_updates_are_broadcast_and_the_target_is_not_shuffled(spark, saved, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    target, updates = saved("t", frame(spark, TARGET)), saved("u", frame(spark, UPDATES))
+    text = plan(merge_rows(target, updates, BOOKINGS_RULE), "simple")
+    assert text.count("BroadcastHashJoin") == 3
+    assert "SortMergeJoin" not in text
+    # The one exchange brings the distinct matched keys together.
+    assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_large_updates_are_not_broadcast(spark, saved, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    target, updates = saved("t", frame(spark, TARGET)), saved("u", frame(spark, UPDATES))
+    merged = merge_rows(target, updates, BOOKINGS_RULE, broadcast_limit_bytes=100)
+    assert "Broadcast" not in plan(merged, "simple")
+    assert bag(merged) == brute_force(TARGET, UPDATES)
+
+
+def test_the_second_scan_of_the_target_reads_its_key_only(spark, saved):
+    target, updates = saved("t", frame(spark, TARGET)), saved("u", frame(spark, UPDATES))
+    text = plan(merge_rows(target, updates, BOOKINGS_RULE), "formatted")
+    scans = [line for line in text.splitlines() if line.startswith("ReadSchema")]
+    assert "ReadSchema: struct<booking_id:string>" in scans
+    assert "PushedFilters: [IsNotNull(booking_id)]" in text
+
+
+def hot_frames(spark, saved):
+    """Target and staged rows, and copies of one row under one more key."""
+
+    def rows(start, stop, amount):
+        return spark.range(start, stop, 1, 8).select(
+            F.concat(F.lit("B"), "id").alias("booking_id"),
+            F.sha2(F.col("id").cast("string"), 512).alias("status"),
+            F.lit(amount).alias("total_amount"),
+        )
+
+    copies = spark.range(0, 15_000, 1, 8).select(
+        F.lit("hot").alias("booking_id"),
+        F.lit("completed").alias("status"),
+        F.lit(9.0).alias("total_amount"),
+    )
+    return rows(0, 30_000, 1.0), rows(20_000, 50_000, 2.0), copies
+
+
+def test_a_hot_target_key_is_split_over_tasks(spark, saved, settings):
+    """A third of the target has one key; adaptive execution splits its partition."""
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.2",
+        spark__sql__shuffle__partitions="40",
+    )
+    target, updates, copies = hot_frames(spark, saved)
+    copies = copies.withColumn("status", F.sha2(F.rand(5).cast("string"), 512))
+    target, updates = saved("t", target.union(copies)), saved("u", updates)
+    updates = updates.union(frame(spark, [("hot", "pending", 3.0)]))
+    merged = merge_rows(target, updates, BOOKINGS_RULE, "shuffle")
+    assert "skew=true" in final_plan(merged)
+    assert merged.count() == 50_000 + 15_000
+    assert merged.filter("booking_id = 'hot' AND total_amount = 3.0").count() == 15_000
+    assert merged.filter("total_amount = 2.0").count() == 30_000
+
+
+@pytest.mark.parametrize("in_target", [False, True])
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_a_hot_staged_key_is_inserted_whole(spark, saved, strategy, in_target):
+    """A third of the staged rows are copies of one; half as many have no key."""
+    target, updates, copies = hot_frames(spark, saved)
+    keyless = copies.limit(7_000).withColumn("booking_id", F.lit(None).cast("string"))
+    if in_target:
+        target = target.union(frame(spark, [("hot", None, 1.0)]))
+    target = saved("t", target)
+    updates = saved("u", updates.union(copies).union(keyless))
+    merged = merge_rows(target, updates, BOOKINGS_RULE, strategy)
+    assert merged.filter("booking_id = 'hot'").count() == (1 if in_target else 15_000)
+    assert merged.filter("booking_id IS NULL").count() == 7_000
+    assert merged.filter("total_amount = 2.0").count() == 30_000
+    assert merged.filter("total_amount = 1.0").count() == 20_000 + in_target
+
+
+def test_hot_and_missing_staged_keys_are_not_shuffled(spark, saved, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    target, updates, copies = hot_frames(spark, saved)
+    keyless = copies.withColumn("booking_id", F.lit(None).cast("string"))
+    target, updates = saved("t", target), saved("u", updates.union(copies).union(keyless))
+    text = plan(merge_rows(target, updates, BOOKINGS_RULE, "shuffle"))
+    pushed = Counter(line for line in text.splitlines() if line.startswith("PushedFilters"))
+    # Both joins leave them out; two branches of the union insert them directly.
+    assert pushed["PushedFilters: [IsNotNull(booking_id), Not(EqualTo(booking_id,hot))]"] >= 2
+    assert pushed["PushedFilters: [IsNull(booking_id)]"] == 1
+    assert pushed["PushedFilters: [IsNotNull(booking_id), EqualTo(booking_id,hot)]"] == 1
+
+
+# --- the table format's own MERGE ---
+
+
+def test_row_level_merge_resolves_and_asks_the_table(spark, database):
+    """Plain tables have no MERGE: analysis passes, the table refuses."""
+    name = f"{database}.bookings"
+    staged_bookings(spark, ("a", "completed", 1.0)).write.saveAsTable(name)
+    updates = staged_bookings(spark, ("b", "completed", 1.0))
+    for rule in (BOOKINGS_RULE, INCOMING):
+        with pytest.raises(UnsupportedOperationException, match="does not support MERGE"):
+            merge_into(updates, name, rule)
+    assert spark.table(name).count() == 1
+
+
+def test_unknown_choices_are_rejected(spark):
+    with pytest.raises(ValueError):
+        MergeRule("k", "x", delete_on="both")
+    with pytest.raises(ValueError):
+        merge_rows(frame(spark, []), frame(spark, []), BOOKINGS_RULE, "nested_loop")

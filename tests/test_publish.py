@@ -1,0 +1,140 @@
+import pytest
+
+from daybook.sources import tables
+from daybook.sources.tables import (
+    PublishError,
+    adopt,
+    current_slot,
+    overwrite_table,
+    publish,
+    quoted,
+    row_count,
+    table_exists,
+    write_snapshot,
+)
+from tests.helpers import bag, ids, staged_bookings
+
+
+def day(spark, *keys):
+    return staged_bookings(spark, *[(k, "completed", 1.0) for k in keys])
+
+
+def test_first_snapshot_creates_the_target(spark, database):
+    target = f"{database}.bookings"
+    assert current_slot(spark, target) is None
+    snapshot = write_snapshot(spark, day(spark, "a", "b"), target)
+    assert snapshot.rows == 2
+    assert not table_exists(spark, target)
+    publish(spark, snapshot)
+    assert ids(spark.table(target), "booking_id") == ["a", "b"]
+    assert row_count(spark, target) == 2
+
+
+def test_two_slots_take_turns(spark, database):
+    target = f"{database}.bookings"
+    slots = []
+    for keys in (["a"], ["a", "b"], ["c"], ["d"]):
+        publish(spark, write_snapshot(spark, day(spark, *keys), target))
+        slots.append(current_slot(spark, target))
+        assert ids(spark.table(target), "booking_id") == keys
+    assert slots == [f"{target}__a", f"{target}__b"] * 2
+    names = {t.name for t in spark.catalog.listTables(database)}
+    assert names == {"bookings", "bookings__a", "bookings__b"}
+
+
+def test_a_snapshot_may_read_the_target_it_replaces(spark, database):
+    target = f"{database}.bookings"
+    publish(spark, write_snapshot(spark, day(spark, "a"), target))
+    for expected in (["a", "b"], ["a", "b", "b"]):
+        publish(spark, write_snapshot(spark, spark.table(target).union(day(spark, "b")), target))
+        assert ids(spark.table(target), "booking_id") == expected
+
+
+def test_an_unpublished_snapshot_changes_nothing(spark, database):
+    """What a run leaves behind when it dies before publishing."""
+    target = f"{database}.bookings"
+    publish(spark, write_snapshot(spark, day(spark, "a"), target))
+    write_snapshot(spark, day(spark, "lost"), target)
+    assert ids(spark.table(target), "booking_id") == ["a"]
+    publish(spark, write_snapshot(spark, day(spark, "b"), target))
+    assert ids(spark.table(target), "booking_id") == ["b"]
+
+
+def test_empty_snapshot(spark, database):
+    target = f"{database}.bookings"
+    snapshot = write_snapshot(spark, day(spark, "a").filter("booking_id = 'z'"), target)
+    assert snapshot.rows == 0
+    publish(spark, snapshot)
+    assert row_count(spark, target) == 0
+
+
+def test_row_count_mismatch_is_found(spark, database, monkeypatch):
+    monkeypatch.setattr(tables, "row_count", lambda *_: 1)
+    with pytest.raises(PublishError, match="wrote 2 rows, found 1"):
+        write_snapshot(spark, day(spark, "a", "b"), f"{database}.bookings")
+
+
+@pytest.mark.parametrize("first_load", [True, False])
+def test_failed_publish_restores_the_first_target(spark, database, monkeypatch, first_load):
+    names = [f"{database}.bookings", f"{database}.customers"]
+    if not first_load:
+        publish(spark, *[write_snapshot(spark, day(spark, "old"), n) for n in names])
+    snapshots = [write_snapshot(spark, day(spark, "new"), n) for n in names]
+    point = tables._point
+
+    def failing(spark, name, slot):
+        if name == names[1]:
+            raise RuntimeError("catalog is gone")
+        point(spark, name, slot)
+
+    monkeypatch.setattr(tables, "_point", failing)
+    with pytest.raises(RuntimeError, match="catalog is gone"):
+        publish(spark, *snapshots)
+    if first_load:
+        assert not table_exists(spark, names[0])
+    else:
+        assert ids(spark.table(names[0]), "booking_id") == ["old"]
+        assert ids(spark.table(names[1]), "booking_id") == ["old"]
+
+
+def test_a_plain_table_is_adopted(spark, database):
+    target = f"{database}.bookings"
+    overwrite_table(day(spark, "a"), target)
+    adopt(spark, target)
+    adopt(spark, target)
+    assert current_slot(spark, target) == f"{target}__adopted"
+    assert ids(spark.table(target), "booking_id") == ["a"]
+    publish(spark, write_snapshot(spark, spark.table(target).union(day(spark, "b")), target))
+    assert ids(spark.table(target), "booking_id") == ["a", "b"]
+    assert ids(spark.table(f"{target}__adopted"), "booking_id") == ["a"]
+
+
+def test_an_interrupted_adoption_is_finished(spark, database):
+    target = f"{database}.bookings"
+    overwrite_table(day(spark, "a"), target)
+    spark.sql(f"ALTER TABLE {target} RENAME TO {target}__adopted")
+    adopt(spark, target)
+    assert ids(spark.table(target), "booking_id") == ["a"]
+
+
+def test_adopting_nothing(spark, database):
+    adopt(spark, f"{database}.bookings")
+    assert not table_exists(spark, f"{database}.bookings")
+
+
+def test_a_foreign_view_is_left_alone(spark, database):
+    target = f"{database}.bookings"
+    spark.sql(f"CREATE VIEW {target} AS SELECT 1 AS x")
+    with pytest.raises(PublishError):
+        write_snapshot(spark, day(spark, "a"), target)
+
+
+def test_staging_is_replaced(spark, database):
+    name = f"{database}.staging"
+    overwrite_table(day(spark, "a", "b"), name)
+    overwrite_table(day(spark, "c"), name)
+    assert bag(spark.table(name)) == bag(day(spark, "c"))
+
+
+def test_names_are_quoted():
+    assert quoted("a.b-c.d`e") == "`a`.`b-c`.`d``e`"
