@@ -1,22 +1,19 @@
 """Keyed merge of a day's staged rows into a target.
 
-The merge is a DataFrame of the target's new contents. It is the union of
+The merge is a DataFrame of the target's new contents, computed in one of two ways.
 
-* every target row, left-joined to the staged row of its key: updated, dropped
-  or kept;
-* every staged row whose key the target does not hold.
+Staged rows that are small enough, by measure, are broadcast: the target is
+left-joined to them without being shuffled, and the staged keys it does not hold
+are added. That scans the target's key column a second time.
 
-Two joins instead of one full outer join, because neither then puts a key that
-holds a large part of a table into one task:
+Otherwise target and staged rows are shuffled to one full outer join. Such a join
+puts all rows of a key into one task, so keys that hold a large share of a table
+are taken out first and merged without a shuffle:
 
-* the left join has the target on its left, where adaptive execution splits an
-  oversized partition;
-* the target's keys are made distinct before they are shuffled to the second;
-* staged keys with very many copies can only be new (a copy that meets a target
-  row is an error), so they are inserted without any join.
-
-And if the staged rows are small enough to broadcast, the target is not shuffled
-at all. The price is a second scan of the target's key column.
+* a hot key of the target meets one staged row at most (a second one is an
+  error), so the staged rows of all hot keys are few and are broadcast;
+* a hot staged key can only be new, for the same reason, and is inserted as is;
+* rows without a key match nothing and are passed through.
 """
 
 from __future__ import annotations
@@ -30,8 +27,15 @@ from pyspark.sql.types import AtomicType, BinaryType, DataType, StringType
 
 from daybook.params import BROADCAST_LIMIT_BYTES
 
-_MATCHED = "__matched"
-_NEW = "__new_"
+_KNOWN, _MATCHED, _NEW = "__known", "__matched", "__new_"
+
+# A key is hot if it holds more than this share of the rows of a table, so there
+# are fewer hot keys than this; below the number of copies no key is hot.
+_HOT_SHARE = 2_000
+_HOT_COPIES = 10_000
+# Keys followed while looking for the hot ones. A count is then off by a fifth of
+# the share at most.
+_TRACKED_KEYS = 10 * _HOT_SHARE
 
 
 class AmbiguousMergeError(ValueError):
@@ -61,11 +65,6 @@ BOOKINGS_RULE = MergeRule("booking_id", "cancelled")
 CUSTOMERS_RULE = MergeRule("customer_id", "inactive")
 
 
-# A staged key is hot above this share of the rows, so fewer than 1000 keys are.
-_HOT_SHARE = 1000
-_HOT_COPIES = 10_000
-
-
 @dataclass(frozen=True)
 class UpdateProfile:
     """Measured facts about the staged rows."""
@@ -145,59 +144,88 @@ def merge_rows(
         raise ValueError(f"staged columns missing in the target: {', '.join(unknown)}")
 
     profile = profile_updates(updates, rule.key)
-    untouched = None
-    joining = target
     if profile.repeated_keys:
         _reject_ambiguous(ambiguous_keys(target, updates, rule), rule.key)
-        if rule.delete_on == "target":
-            # Only rows without a status can still meet a repeated key; nothing
-            # changes them, so they stay out of the join and are not multiplied.
-            untouched = target.filter(F.col(rule.status).isNull())
-            joining = target.filter(F.col(rule.status).isNotNull())
 
-    small = profile.bytes is not None and profile.bytes <= broadcast_limit_bytes
-    if strategy == "auto" and small:
-        matching, inserted = _small_sides(target, updates, rule.key)
-    else:
-        matching, inserted = _large_sides(target, updates, rule.key, profile)
+    parts = []
+    if profile.repeated_keys and rule.delete_on == "target":
+        # Only rows without a status can still meet a repeated key. Nothing
+        # changes them, so they stay out of the join, which would repeat them.
+        parts.append(target.filter(F.col(rule.status).isNull()))
 
-    parts = [_apply_updates(joining, matching, updates.columns, rule), untouched]
-    parts += [_like(part, target) for part in inserted]
-    return reduce(DataFrame.unionByName, [part for part in parts if part is not None])
+    small = profile.bytes is not None and profile.bytes <= broadcast_limit_bytes
+    merge = _merge_small if strategy == "auto" and small else _merge_large
+    parts += merge(target, updates, rule, profile, untouched=parts[0] if parts else None)
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _small_sides(target, updates, key) -> tuple[DataFrame, list[DataFrame]]:
-    """Join side and inserts where all staged rows fit into a broadcast."""
+def _merge_small(target, updates, rule, profile, untouched) -> list[DataFrame]:
+    """All staged rows are broadcast; the target is not shuffled."""
+    key = rule.key
     wanted = F.broadcast(updates.select(key))
     present = target.select(key).join(wanted, key, "left_semi").distinct()
-    # Never more keys than the staged rows have.
+    # The staged rows have at least as many keys, so these fit as well.
     inserted = updates.join(F.broadcast(present), key, "left_anti")
-    return F.broadcast(_as_new(updates, key)), [inserted]
+    if untouched is not None:
+        target = target.filter(F.col(rule.status).isNotNull())
+    changed = _apply(target, updates, rule, "left_outer", place=F.broadcast)
+    return [changed, _like(inserted, target)]
 
 
-def _large_sides(target, updates, key, profile) -> tuple[DataFrame, list[DataFrame]]:
-    """Join side and inserts by shuffle; null and hot keys take no part in it."""
-    column, rest, unjoined = F.col(key), updates, []
+def _merge_large(target, updates, rule, profile, untouched) -> list[DataFrame]:
+    """One full outer join of all rows whose key is neither null nor hot."""
+    key, column, parts = rule.key, F.col(rule.key), []
+    rows, rest = target, updates
     if profile.null_keys:
-        unjoined.append(updates.filter(column.isNull()))
+        parts.append(_like(rest.filter(column.isNull()), target))
         rest = rest.filter(column.isNotNull())
-    hot = _hot_keys(updates, key, profile) if profile.repeated_keys else []
+    hot = _hot_staged_keys(updates, key, profile) if profile.repeated_keys else []
     if hot:
         met = target.select(key).filter(column.isin(hot)).distinct().collect()
         new = sorted(set(hot) - {r[key] for r in met})
-        unjoined.append(updates.filter(column.isin(new)))
+        parts.append(_like(rest.filter(column.isin(new)), target))
         rest = rest.filter(~column.isin(hot))
-    inserted = rest.join(target.select(key).distinct(), key, "left_anti")
-    return _as_new(rest, key), [inserted, *unjoined]
+    if untouched is not None:
+        rows = rows.filter(F.col(rule.status).isNotNull())
+        # They are not in the join, so it cannot tell that their keys are taken.
+        rest = rest.join(untouched.select(key).distinct(), key, "left_anti")
+
+    hot, keyless = _hot_target_keys(target, key)
+    if keyless:
+        parts.append(rows.filter(column.isNull()))
+        rows = rows.filter(column.isNotNull())
+    if hot:
+        few = rest.filter(column.isin(hot))
+        parts.append(
+            _apply(rows.filter(column.isin(hot)), few, rule, "left_outer", place=F.broadcast)
+        )
+        rows, rest = rows.filter(~column.isin(hot)), rest.filter(~column.isin(hot))
+    return [_apply(rows, rest, rule, "full_outer"), *parts]
 
 
-def _hot_keys(updates: DataFrame, key: str, profile: UpdateProfile) -> list:
-    """Keys above the hot share of the rows; fewer than 1000 by definition."""
+def _hot_staged_keys(updates: DataFrame, key: str, profile: UpdateProfile) -> list:
+    """Exactly the repeated keys above the hot share."""
     least = max(profile.rows // _HOT_SHARE, _HOT_COPIES)
     hot = repeated_keys(updates, key).filter(F.col("copies") > least)
     return [r[key] for r in hot.collect()]
 
 
+def _hot_target_keys(target: DataFrame, key: str) -> tuple[list, int]:
+    """Keys above the hot share, by estimate, and the number of rows without key.
+
+    One pass over the key column without a shuffle. Which keys are listed has no
+    bearing on the result of the merge, so an estimate will do.
+    """
+    found = target.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(key).isNull()).alias("keyless"),
+        F.expr(f"approx_top_k(`{key}`, {_HOT_SHARE}, {_TRACKED_KEYS})").alias("top"),
+    ).first()
+    least = max(found["rows"] // _HOT_SHARE, _HOT_COPIES)
+    hot = [t["item"] for t in found["top"] if t["item"] is not None and t["count"] > least]
+    return hot, found["keyless"]
+
+
 def merge_into(updates: DataFrame, target_name: str, rule: MergeRule) -> None:
     """The same merge through the table format's own MERGE.
 
@@ -233,21 +261,23 @@ def _as_new(updates: DataFrame, key: str) -> DataFrame:
     return updates.select(*renamed, F.lit(True).alias(_MATCHED))
 
 
-def _apply_updates(target, new, staged_columns, rule: MergeRule) -> DataFrame:
-    joined = target.join(new, rule.key, "left_outer")
+def _apply(target, updates, rule: MergeRule, how: str, place=lambda side: side) -> DataFrame:
+    """Join and decide each row; a full outer join also inserts."""
+    new = place(_as_new(updates, rule.key))
+    joined = target.withColumn(_KNOWN, F.lit(True)).join(new, rule.key, how)
+    known, matched = (F.coalesce(F.col(m), F.lit(False)) for m in (_KNOWN, _MATCHED))
     prefix = "" if rule.delete_on == "target" else _NEW
     decides = F.col(prefix + rule.status)
-    matched = F.coalesce(F.col(_MATCHED), F.lit(False))
     # A null status makes both tests unknown: the row is neither updated nor deleted.
-    deleted = matched & F.coalesce(decides == rule.delete_status, F.lit(False))
-    updated = matched & F.coalesce(decides != rule.delete_status, F.lit(False))
+    deleted = known & matched & F.coalesce(decides == rule.delete_status, F.lit(False))
+    updated = known & matched & F.coalesce(decides != rule.delete_status, F.lit(False))
     types = {f.name: f.dataType for f in target.schema}
 
     def value(c: str) -> Column:
-        if c == rule.key or c not in staged_columns:
+        if c == rule.key or c not in updates.columns:
             return F.col(c)
         incoming = F.col(_NEW + c).cast(types[c])
-        return F.when(updated, incoming).otherwise(F.col(c)).alias(c)
+        return F.when(updated | ~known, incoming).otherwise(F.col(c)).alias(c)
 
     return joined.filter(~deleted).select(*[value(c) for c in target.columns])
 

@@ -64,9 +64,3 @@ def plan(df: DataFrame, mode: str = "formatted") -> str:
     return query.explainString(
         jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode)
     )
-
-
-def final_plan(df: DataFrame) -> str:
-    """The physical plan adaptive execution ended with."""
-    df.collect()
-    return df._jdf.queryExecution().executedPlan().toString()

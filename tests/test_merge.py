@@ -17,7 +17,7 @@ from daybook.operators.merge import (
     merge_rows,
     profile_updates,
 )
-from tests.helpers import bag, final_plan, plan, staged_bookings
+from tests.helpers import bag, plan, staged_bookings
 
 SCHEMA = "booking_id string, status string, total_amount double"
 INCOMING = MergeRule("booking_id", "cancelled", delete_on="incoming")
@@ -307,25 +307,47 @@ def hot_frames(spark, saved):
     return rows(0, 30_000, 1.0), rows(20_000, 50_000, 2.0), copies
 
 
-def test_a_hot_target_key_is_split_over_tasks(spark, saved, settings):
-    """A third of the target has one key; adaptive execution splits its partition."""
-    settings(
-        spark__sql__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
-        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.2",
-        spark__sql__shuffle__partitions="40",
-    )
+@pytest.mark.parametrize("strategy", STRATEGIES)
+@pytest.mark.parametrize("staged", [[], [("hot", "pending", 3.0)], [("hot", "cancelled", 3.0)]])
+@pytest.mark.parametrize("rule", [BOOKINGS_RULE, INCOMING])
+def test_a_hot_target_key_is_merged_whole(spark, saved, strategy, staged, rule):
+    """A third of the target are copies of one row; half as many have no key."""
     target, updates, copies = hot_frames(spark, saved)
-    copies = copies.withColumn("status", F.sha2(F.rand(5).cast("string"), 512))
-    target, updates = saved("t", target.union(copies)), saved("u", updates)
-    updates = updates.union(frame(spark, [("hot", "pending", 3.0)]))
-    merged = merge_rows(target, updates, BOOKINGS_RULE, "shuffle")
-    assert "skew=true" in final_plan(merged)
-    assert merged.count() == 50_000 + 15_000
-    assert merged.filter("booking_id = 'hot' AND total_amount = 3.0").count() == 15_000
+    keyless = copies.limit(7_000).withColumn("booking_id", F.lit(None).cast("string"))
+    target = saved("t", target.union(copies).union(keyless))
+    updates = saved("u", updates.union(frame(spark, staged)))
+    merged = merge_rows(target, updates, rule, strategy)
+    deleted = bool(staged) and rule is INCOMING and staged[0][1] == "cancelled"
+    hot = merged.filter("booking_id = 'hot'")
+    assert hot.count() == (0 if deleted else 15_000)
+    assert hot.filter("total_amount = 3.0").count() == (15_000 if staged and not deleted else 0)
+    assert merged.filter("booking_id IS NULL").count() == 7_000
     assert merged.filter("total_amount = 2.0").count() == 30_000
+    assert merged.filter("total_amount = 1.0").count() == 20_000
+
+
+def test_hot_and_missing_target_keys_are_not_shuffled(spark, saved, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    target, updates, copies = hot_frames(spark, saved)
+    keyless = copies.withColumn("booking_id", F.lit(None).cast("string"))
+    target, updates = saved("t", target.union(copies).union(keyless)), saved("u", updates)
+    text = plan(merge_rows(target, updates, BOOKINGS_RULE, "shuffle"))
+    pushed = Counter(line for line in text.splitlines() if line.startswith("PushedFilters"))
+    assert text.count("SortMergeJoin FullOuter") == 1
+    # The staged rows of the hot keys are the one broadcast side.
+    assert text.count("BroadcastHashJoin LeftOuter BuildRight") == 1
+    assert pushed["PushedFilters: [IsNotNull(booking_id), Not(EqualTo(booking_id,hot))]"] == 2
+    assert pushed["PushedFilters: [IsNull(booking_id)]"] == 1
+
+
+def test_even_keys_take_one_full_outer_join(spark, saved, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    target, updates, _ = hot_frames(spark, saved)
+    text = plan(merge_rows(saved("t", target), saved("u", updates), BOOKINGS_RULE, "shuffle"), "simple")
+    assert text.count("FileScan") == 2
+    assert text.count("Exchange hashpartitioning") == 2
+    assert text.count("SortMergeJoin") == 1
+    assert "Broadcast" not in text and "Union" not in text
 
 
 @pytest.mark.parametrize("in_target", [False, True])
@@ -352,8 +374,8 @@ def test_hot_and_missing_staged_keys_are_not_shuffled(spark, saved, settings):
     target, updates = saved("t", target), saved("u", updates.union(copies).union(keyless))
     text = plan(merge_rows(target, updates, BOOKINGS_RULE, "shuffle"))
     pushed = Counter(line for line in text.splitlines() if line.startswith("PushedFilters"))
-    # Both joins leave them out; two branches of the union insert them directly.
-    assert pushed["PushedFilters: [IsNotNull(booking_id), Not(EqualTo(booking_id,hot))]"] >= 2
+    # The join leaves them out; two branches of the union insert them directly.
+    assert pushed["PushedFilters: [IsNotNull(booking_id), Not(EqualTo(booking_id,hot))]"] >= 1
     assert pushed["PushedFilters: [IsNull(booking_id)]"] == 1
     assert pushed["PushedFilters: [IsNotNull(booking_id), EqualTo(booking_id,hot)]"] == 1
 
