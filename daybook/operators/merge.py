@@ -23,7 +23,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import AtomicType, BinaryType, DataType, StringType
+from pyspark.sql.types import (
+    BinaryType,
+    BooleanType,
+    DataType,
+    DatetimeType,
+    NumericType,
+    StringType,
+)
 
 from daybook.params import BROADCAST_LIMIT_BYTES
 
@@ -318,4 +325,5 @@ def _value_bytes(name: str, dtype: DataType) -> Column | None:
         # Eight bytes of offset and length, then the text padded to eight bytes.
         length = F.coalesce(F.octet_length(F.col(name)), F.lit(0))
         return length.cast("long") + 15
-    return F.lit(24).cast("long") if isinstance(dtype, AtomicType) else None
+    fixed = isinstance(dtype, (NumericType, BooleanType, DatetimeType))
+    return F.lit(24).cast("long") if fixed else None

@@ -90,36 +90,45 @@ def verify(df: DataFrame, *checks: Check) -> DataFrame:
     totals = df.agg(*[count.alias(label) for label, count in counts.items()])
 
     size = F.col("rows")
-    values, outcomes = [], []
+    values, passed = [], []
     for n, (_, c) in enumerate(tests):
         value = size if c.compliant is None else F.try_divide(F.col(f"`{c.label}`"), size)
         values.append(value.cast("double").alias(f"value{n}"))
-        outcomes.append(F.coalesce(c.holds(value), F.lit(False)).alias(f"ok{n}"))
-
+        passed.append(F.coalesce(c.holds(value), F.lit(False)).alias(f"ok{n}"))
     statuses = []
     for i, check in enumerate(checks):
-        mine = [F.col(f"ok{n}") for n, (j, _) in enumerate(tests) if i == j]
-        passed = reduce(Column.__and__, mine, F.lit(True))
-        statuses.append(
-            F.when(passed, SUCCESS).otherwise(check.level.value).alias(f"status{i}")
-        )
-
-    def row(n, i, c):
-        ok, value = F.col(f"ok{n}"), F.coalesce(F.col(f"value{n}").cast("string"), F.lit("none"))
-        problem = F.concat(
-            F.lit("Value: "), value, F.lit(" does not meet the constraint requirement!")
+        all_passed = reduce(
+            Column.__and__, [F.col(f"ok{n}") for n, (j, _) in enumerate(tests) if i == j], F.lit(True)
         )
-        return F.struct(
-            F.lit(checks[i].name).alias("check"),
-            F.lit(checks[i].level.value).alias("check_level"),
-            F.col(f"status{i}").alias("check_status"),
-            F.lit(c.label).alias("constraint"),
-            F.when(ok, SUCCESS).otherwise("Failure").alias("constraint_status"),
-            F.when(ok, "").otherwise(problem).alias("constraint_message"),
+        statuses.append(F.when(all_passed, SUCCESS).otherwise(check.level.value).alias(f"status{i}"))
+    measured = totals.select(*values, *passed).select("*", *statuses)
+
+    # One array per result column, then one row per position.
+    rows = measured.select(
+        F.inline(
+            F.arrays_zip(
+                F.lit([checks[i].name for i, _ in tests]).alias("check"),
+                F.lit([checks[i].level.value for i, _ in tests]).alias("check_level"),
+                F.array(*[f"status{i}" for i, _ in tests]).alias("check_status"),
+                F.lit([c.label for _, c in tests]).alias("constraint"),
+                F.array(*[f"ok{n}" for n in range(len(tests))]).alias("ok"),
+                F.array(*[f"value{n}" for n in range(len(tests))]).alias("value"),
+            )
         )
-
-    tested = totals.select(*values, *outcomes).select("*", *statuses)
-    return tested.select(F.inline(F.array(*[row(n, i, c) for n, (i, c) in enumerate(tests)])))
+    )
+    problem = F.concat(
+        F.lit("Value: "),
+        F.coalesce(F.col("value").cast("string"), F.lit("none")),
+        F.lit(" does not meet the constraint requirement!"),
+    )
+    return rows.select(
+        "check",
+        "check_level",
+        "check_status",
+        "constraint",
+        F.when(F.col("ok"), SUCCESS).otherwise("Failure").alias("constraint_status"),
+        F.when(F.col("ok"), "").otherwise(problem).alias("constraint_message"),
+    )
 
 
 def roll_up(results: DataFrame) -> DataFrame:

@@ -382,6 +382,7 @@ FROM (SELECT customer_id, {as_date("signup_date")} AS signup FROM ({raw_customer
     "bookings_funnel": funnel(raw_bookings(), BOOKING_STAGES),
     "customers_funnel": funnel(raw_customers(), CUSTOMER_STAGES),
     "bookings_json_scan": raw_bookings(),
+    "bookings_json_array_scan": raw_bookings(),
     "customers_json_scan": raw_customers(),
     "bookings_json_undeclared_keys": """
 SELECT CAST(o_orderkey AS VARCHAR) AS booking_id, CAST(NULL AS VARCHAR) AS customer_id,

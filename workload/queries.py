@@ -191,6 +191,21 @@ def customers_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_customers(spark, path)
 
 
+@query
+def bookings_json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that each hold an array of up to 100 records."""
+    path = f"{scratch_dir(spark)}/arrays.json"
+    raw = raw_bookings(spark, sf_dir)
+    record = F.to_json(F.struct(*raw.columns))
+    lines = (
+        raw.select(record.alias("record"), F.monotonically_increasing_id().alias("n"))
+        .groupBy(F.floor(F.col("n") / 100))
+        .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("record")), F.lit("]")).alias("line"))
+    )
+    lines.select("line").write.text(path)
+    return read_bookings(spark, path)
+
+
 @query
 def bookings_json_undeclared_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Undeclared keys are ignored, missing ones null, and a key in text form."""
