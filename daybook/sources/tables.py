@@ -67,7 +67,9 @@ def adopt(spark: SparkSession, name: str) -> None:
     if table_exists(spark, name):
         if _is_view(spark, name):
             return
-        spark.sql(f"ALTER TABLE {quoted(name)} RENAME TO {quoted(adopted)}")
+        # The new name stays in the catalog of the old one and must not repeat it.
+        renamed = adopted.split(".", 1)[1] if adopted.count(".") > 1 else adopted
+        spark.sql(f"ALTER TABLE {quoted(name)} RENAME TO {quoted(renamed)}")
     elif not table_exists(spark, adopted):
         return
     _point(spark, name, adopted)

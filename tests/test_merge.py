@@ -174,6 +174,23 @@ def test_replayed_days(spark):
         target = spark.createDataFrame(merged, target.schema)
 
 
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_empty_sides(spark, strategy):
+    rows = [("a", "cancelled", 1.0), (None, "pending", 1.0)]
+    for target, updates in (([], rows), (rows, []), ([], [])):
+        merged = merge_rows(frame(spark, target), frame(spark, updates), BOOKINGS_RULE, strategy)
+        assert bag(merged) == Counter(target + updates)
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_number_keys(spark, strategy):
+    schema = "booking_id long, status string"
+    target = spark.createDataFrame([(1, "pending"), (2, "cancelled"), (3, "pending")], schema)
+    updates = spark.createDataFrame([(1, "completed"), (2, "completed"), (4, "pending")], schema)
+    merged = merge_rows(target, updates, BOOKINGS_RULE, strategy)
+    assert bag(merged) == Counter([(1, "completed"), (3, "pending"), (4, "pending")])
+
+
 # --- repeated staged keys ---
 
 

@@ -117,6 +117,15 @@ def test_an_interrupted_adoption_is_finished(spark, database):
     assert ids(spark.table(target), "booking_id") == ["a"]
 
 
+def test_names_with_a_catalog(spark, database):
+    target = f"spark_catalog.{database}.bookings"
+    overwrite_table(day(spark, "a"), target)
+    adopt(spark, target)
+    for keys in (["b"], ["c"], ["d"]):
+        publish(spark, write_snapshot(spark, day(spark, *keys), target))
+        assert ids(spark.table(target), "booking_id") == keys
+
+
 def test_adopting_nothing(spark, database):
     adopt(spark, f"{database}.bookings")
     assert not table_exists(spark, f"{database}.bookings")

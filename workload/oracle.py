@@ -399,10 +399,11 @@ FROM orders""",
         ("amounts", "Warning", [non_negative("total_amount")]),
     ),
     "quality_status": "\nUNION ALL\n".join(
-        f"SELECT '{run}' AS run, max(check_status) AS status FROM "
-        f"(SELECT CASE check_status WHEN 'Success' THEN 'Success' ELSE check_status END AS check_status "
-        f"FROM ({checked(table, check)})) WHERE check_status <> 'Success' OR NOT EXISTS "
-        f"(SELECT 1 FROM ({checked(table, check)}) WHERE check_status <> 'Success')"
+        f"""
+SELECT '{run}' AS run,
+  CASE WHEN bool_or(check_status = 'Error') THEN 'Error'
+       WHEN bool_or(check_status = 'Warning') THEN 'Warning' ELSE 'Success' END AS status
+FROM ({checked(table, check)})"""
         for run, table, check in (
             ("bookings", staged_bookings(), BOOKINGS_CHECK),
             ("customers", staged_customers(), CUSTOMERS_CHECK),
