@@ -62,10 +62,16 @@ def raw_bookings(spark: SparkSession, sf_dir: str, day: int | None = None) -> Da
     )
 
 
-def raw_rentals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bookings from line items: ids repeat, and late ones end before they start."""
+def raw_rentals(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
+    """Bookings from line items: ids repeat, and late ones end before they start.
+
+    With ``hot``, all returned items share one id: about a third of the rows.
+    """
+    number = F.col("l_orderkey")
+    if hot:
+        number = F.when(F.col("l_returnflag") == "R", F.lit(0)).otherwise(number)
     return table(spark, sf_dir, "lineitem").select(
-        tagged("B", F.col("l_orderkey")).alias("booking_id"),
+        tagged("B", number).alias("booking_id"),
         tagged("C", F.col("l_suppkey")).alias("customer_id"),
         tagged("CARS", F.col("l_partkey") % 900 + 100).alias("car_id"),
         F.substring(F.col("l_shipdate").cast("timestamp_ntz").cast("string"), 1, 10).alias("booking_date"),

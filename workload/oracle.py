@@ -31,9 +31,10 @@ SELECT
 FROM orders"""
 
 
-RAW_RENTALS = """
+def raw_rentals(number="l_orderkey") -> str:
+    return f"""
 SELECT
-  'B' || l_orderkey AS booking_id,
+  'B' || ({number}) AS booking_id,
   'C' || l_suppkey AS customer_id,
   'CARS' || (100 + l_partkey % 900) AS car_id,
   strftime(l_shipdate, '%Y-%m-%d') AS booking_date,
@@ -44,6 +45,10 @@ SELECT
 FROM lineitem"""
 
 
+RAW_RENTALS = raw_rentals()
+HOT_RENTALS = raw_rentals("CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_orderkey END")
+
+
 def raw_customers(day=None) -> str:
     home, away = ("active", "inactive") if day == 2 else ("inactive", "active")
     return f"""
@@ -181,6 +186,7 @@ FROM (
 
 
 STAGED_RENTALS = reshaped_bookings(RAW_RENTALS)
+STAGED_HOT_RENTALS = reshaped_bookings(HOT_RENTALS)
 
 # --- funnel, checks, merge ------------------------------------------------------
 
@@ -345,6 +351,10 @@ def where(raw: str, test: str) -> str:
     return f"SELECT * FROM ({raw}) WHERE {test}"
 
 
+def renamed(rentals: str) -> str:
+    return f"SELECT * REPLACE ('R' || booking_id AS booking_id) FROM ({rentals})"
+
+
 BOOKING_STAGES = [("null_keys", BOOKING_KEYS), ("dates", BOOKING_DATES), ("status", BOOKING_STATUS)]
 CUSTOMER_STAGES = [
     ("null_keys", CUSTOMER_KEYS),
@@ -412,6 +422,8 @@ FROM ({checked(table, check)})"""
     ),
     "bookings_merge": MERGED_BOOKINGS,
     "customers_merge": MERGED_CUSTOMERS,
+    "bookings_merge_broadcast": MERGED_BOOKINGS,
+    "customers_merge_broadcast": MERGED_CUSTOMERS,
     "bookings_merge_shuffle": MERGED_BOOKINGS,
     "customers_merge_shuffle": MERGED_CUSTOMERS,
     "bookings_merge_delete_on_incoming": merged(
@@ -421,10 +433,13 @@ FROM ({checked(table, check)})"""
         raw_bookings(1), raw_bookings(2), RAW_MERGE_COLUMNS, "cancelled"
     ),
     "bookings_merge_repeated_inserts": merged(
-        staged_bookings(),
-        f"SELECT * REPLACE ('R' || booking_id AS booking_id) FROM ({STAGED_RENTALS})",
-        BOOKING_COLUMNS,
-        "cancelled",
+        staged_bookings(), renamed(STAGED_RENTALS), BOOKING_COLUMNS, "cancelled"
+    ),
+    "bookings_merge_hot_inserts": merged(
+        staged_bookings(), renamed(STAGED_HOT_RENTALS), BOOKING_COLUMNS, "cancelled"
+    ),
+    "bookings_merge_hot_target": merged(
+        STAGED_HOT_RENTALS, staged_bookings(), BOOKING_COLUMNS, "cancelled"
     ),
     "merge_ambiguous_keys": f"""
 SELECT booking_id, count(*) AS copies FROM ({STAGED_RENTALS})
@@ -438,8 +453,8 @@ UNION ALL
 SELECT 'customers' AS target, count(*) AS rows FROM ({MERGED_CUSTOMERS})""",
     "run_day_bookings": MERGED_BOOKINGS,
     "run_day_customers": MERGED_CUSTOMERS,
-    "mock_bookings_feed": MOCK_BOOKINGS,
-    "mock_customers_feed": MOCK_CUSTOMERS,
+    "mock_bookings": MOCK_BOOKINGS,
+    "mock_customers": MOCK_CUSTOMERS,
     "preview_sizes": """
 SELECT 'bookings' AS preview, least(5, count(*)) AS rows FROM orders
 UNION ALL

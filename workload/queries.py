@@ -37,7 +37,7 @@ from daybook.params import DATE_TIME_FORMAT, PipelineParams
 from daybook.plans.daily import run_day
 from daybook.plans.staging import bookings_plan, customers_plan
 from daybook.sources.json_files import read_bookings, read_customers, write_json
-from daybook.sources.mock import mock_bookings, mock_customers
+from daybook.sources import mock
 from daybook.sources.tables import publish, write_snapshot
 from workload.feeds import AS_OF_DATE, raw_bookings, raw_customers, raw_rentals, table
 from workload.scratch import scratch_database, scratch_dir
@@ -267,69 +267,98 @@ def quality_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- merge -------------------------------------------------------------------
+# A merge reads its sides more than once, so they are stored first, as in the
+# daily run.
+
+
+def _stored(spark: SparkSession, *frames: DataFrame) -> list[DataFrame]:
+    folder = scratch_dir(spark)
+    for i, df in enumerate(frames):
+        df.write.parquet(f"{folder}/side{i}")
+    return [spark.read.parquet(f"{folder}/side{i}") for i in range(len(frames))]
+
+
+def _merged_bookings(spark, sf_dir, rule=BOOKINGS_RULE, **how) -> DataFrame:
+    days = (staged_bookings(spark, sf_dir, day) for day in (1, 2))
+    return merge_rows(*_stored(spark, *days), rule, **how)
+
+
+def _merged_customers(spark, sf_dir, **how) -> DataFrame:
+    days = (staged_customers(spark, sf_dir, day) for day in (1, 2))
+    return merge_rows(*_stored(spark, *days), CUSTOMERS_RULE, **how)
 
 
 @query
 def bookings_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge_rows(
-        staged_bookings(spark, sf_dir, 1), staged_bookings(spark, sf_dir, 2), BOOKINGS_RULE
-    )
+    return _merged_bookings(spark, sf_dir)
 
 
 @query
 def customers_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge_rows(
-        staged_customers(spark, sf_dir, 1), staged_customers(spark, sf_dir, 2), CUSTOMERS_RULE
-    )
+    return _merged_customers(spark, sf_dir)
+
+
+@query
+def bookings_merge_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broadcasts a larger day than usual; beyond the limit it shuffles."""
+    return _merged_bookings(spark, sf_dir, broadcast_limit_bytes=256 << 20)
+
+
+@query
+def customers_merge_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged_customers(spark, sf_dir, broadcast_limit_bytes=256 << 20)
 
 
 @query
 def bookings_merge_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge_rows(
-        staged_bookings(spark, sf_dir, 1),
-        staged_bookings(spark, sf_dir, 2),
-        BOOKINGS_RULE,
-        strategy="shuffle",
-    )
+    return _merged_bookings(spark, sf_dir, strategy="shuffle")
 
 
 @query
 def customers_merge_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge_rows(
-        staged_customers(spark, sf_dir, 1),
-        staged_customers(spark, sf_dir, 2),
-        CUSTOMERS_RULE,
-        strategy="shuffle",
-    )
+    return _merged_customers(spark, sf_dir, strategy="shuffle")
 
 
 @query
 def bookings_merge_delete_on_incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge_rows(
-        staged_bookings(spark, sf_dir, 1),
-        staged_bookings(spark, sf_dir, 2),
-        MergeRule("booking_id", "cancelled", delete_on="incoming"),
+    return _merged_bookings(
+        spark, sf_dir, MergeRule("booking_id", "cancelled", delete_on="incoming")
     )
 
 
 @query
 def bookings_merge_null_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Uncleaned target: null keys match nothing, null statuses stay as they are."""
+    """Uncleaned sides: null keys match nothing, null statuses stay as they are."""
     keep = ["booking_id", "customer_id", "car_id", "booking_date", "status", "total_amount"]
-    return merge_rows(
-        raw_bookings(spark, sf_dir, 1).select(keep),
-        raw_bookings(spark, sf_dir, 2).select(keep),
-        BOOKINGS_RULE,
-    )
+    days = (raw_bookings(spark, sf_dir, day).select(keep) for day in (1, 2))
+    return merge_rows(*_stored(spark, *days), BOOKINGS_RULE)
 
 
 @query
 def bookings_merge_repeated_inserts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated new keys are all inserted: the ids of rentals are not in the target."""
-    rentals = bookings_plan(raw_rentals(spark, sf_dir)).withColumn(
-        "booking_id", F.concat(F.lit("R"), "booking_id")
-    )
-    return merge_rows(staged_bookings(spark, sf_dir), rentals, BOOKINGS_RULE)
+    rentals = _renamed(bookings_plan(raw_rentals(spark, sf_dir)))
+    return merge_rows(*_stored(spark, staged_bookings(spark, sf_dir), rentals), BOOKINGS_RULE)
+
+
+@query
+def bookings_merge_hot_inserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One new key holds a third of the staged rows."""
+    rentals = _renamed(bookings_plan(raw_rentals(spark, sf_dir, hot=True)))
+    sides = _stored(spark, staged_bookings(spark, sf_dir), rentals)
+    return merge_rows(*sides, BOOKINGS_RULE, strategy="shuffle")
+
+
+@query
+def bookings_merge_hot_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One key holds a third of the target, and is staged once."""
+    rentals = bookings_plan(raw_rentals(spark, sf_dir, hot=True))
+    sides = _stored(spark, rentals, staged_bookings(spark, sf_dir))
+    return merge_rows(*sides, BOOKINGS_RULE, strategy="shuffle")
+
+
+def _renamed(rentals: DataFrame) -> DataFrame:
+    return rentals.withColumn("booking_id", F.concat(F.lit("R"), "booking_id"))
 
 
 @query
@@ -401,13 +430,15 @@ def run_day_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def mock_bookings_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mock_bookings(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id")))
+def mock_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
+    return mock.mock_bookings(ids)
 
 
 @query
-def mock_customers_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mock_customers(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")))
+def mock_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    return mock.mock_customers(ids)
 
 
 # --- inspection --------------------------------------------------------------
