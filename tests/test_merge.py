@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
+from daybook.operators import merge
 from daybook.operators.merge import (
     BOOKINGS_RULE,
     CUSTOMERS_RULE,
@@ -118,6 +119,41 @@ def test_any_tables(spark, strategy, delete_on, target, updates):
     assert bag(merged) == brute_force(target, updates, delete_on)
 
 
+TARGET_ROWS = st.lists(
+    st.tuples(st.sampled_from(["0", "1", "2", "n1", "n2", None]), STATUS, st.floats(0, 9)), max_size=25
+).map(lambda rows: [(k, None if k in ("n1", "n2") else s, x) for k, s, x in rows])
+STAGED_ROWS = st.lists(
+    st.tuples(st.sampled_from(["0", "1", "n1", "n2", "n2", "r1", "r1", "r2", None]), STATUS, st.floats(0, 9)),
+    max_size=15,
+)
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+@pytest.mark.parametrize("delete_on", ["target", "incoming"])
+@options(
+    max_examples=25,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(target=TARGET_ROWS, updates=STAGED_ROWS)
+def test_any_tables_when_every_repeated_key_is_hot(spark, strategy, delete_on, target, updates):
+    """Keys starting with n have no status in the target, those with r are new."""
+    copies = Counter(row[0] for row in updates if row[0] is not None)
+    acting = {k for k, s, _ in target if delete_on == "incoming" or s is not None}
+    rule = MergeRule("booking_id", "cancelled", delete_on)
+
+    def run():
+        return bag(merge_rows(frame(spark, target), frame(spark, updates), rule, strategy))
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(merge, "_HOT_COPIES", 1)
+        if any(n > 1 and k in acting for k, n in copies.items()):
+            with pytest.raises(AmbiguousMergeError):
+                run()
+        else:
+            assert run() == brute_force(target, updates, delete_on)
+
+
 @pytest.mark.parametrize("rule", [BOOKINGS_RULE, INCOMING])
 @pytest.mark.parametrize("strategy", STRATEGIES)
 def test_same_rows_as_one_full_outer_join(spark, strategy, rule):
