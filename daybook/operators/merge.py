@@ -154,32 +154,33 @@ def merge_rows(
     if profile.repeated_keys:
         _reject_ambiguous(ambiguous_keys(target, updates, rule), rule.key)
 
-    parts = []
+    idle = None
     if profile.repeated_keys and rule.delete_on == "target":
-        # Only rows without a status can still meet a repeated key. Nothing
-        # changes them, so they stay out of the join, which would repeat them.
-        parts.append(target.filter(F.col(rule.status).isNull()))
+        # A repeated key can still meet target rows without a status. They are
+        # not changed, and the key is not new, so its staged rows do nothing.
+        statusless = target.filter(F.col(rule.status).isNull()).select(rule.key).distinct()
+        repeated = repeated_keys(updates, rule.key).select(rule.key)
+        idle = repeated.join(statusless, rule.key, "left_semi")
 
     small = profile.bytes is not None and profile.bytes <= broadcast_limit_bytes
     merge = _merge_small if strategy == "auto" and small else _merge_large
-    parts += merge(target, updates, rule, profile, untouched=parts[0] if parts else None)
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, merge(target, updates, rule, profile, idle))
 
 
-def _merge_small(target, updates, rule, profile, untouched) -> list[DataFrame]:
+def _merge_small(target, updates, rule, profile, idle) -> list[DataFrame]:
     """All staged rows are broadcast; the target is not shuffled."""
     key = rule.key
+    # Neither list of keys is larger than the staged rows, so both fit as well.
+    if idle is not None:
+        updates = updates.join(F.broadcast(idle), key, "left_anti")
     wanted = F.broadcast(updates.select(key))
     present = target.select(key).join(wanted, key, "left_semi").distinct()
-    # The staged rows have at least as many keys, so these fit as well.
     inserted = updates.join(F.broadcast(present), key, "left_anti")
-    if untouched is not None:
-        target = target.filter(F.col(rule.status).isNotNull())
     changed = _apply(target, updates, rule, "left_outer", place=F.broadcast)
     return [changed, _like(inserted, target)]
 
 
-def _merge_large(target, updates, rule, profile, untouched) -> list[DataFrame]:
+def _merge_large(target, updates, rule, profile, idle) -> list[DataFrame]:
     """One full outer join of all rows whose key is neither null nor hot."""
     key, column, parts = rule.key, F.col(rule.key), []
     rows, rest = target, updates
@@ -192,10 +193,8 @@ def _merge_large(target, updates, rule, profile, untouched) -> list[DataFrame]:
         new = sorted(set(hot) - {r[key] for r in met})
         parts.append(_like(rest.filter(column.isin(new)), target))
         rest = rest.filter(~column.isin(hot))
-    if untouched is not None:
-        rows = rows.filter(F.col(rule.status).isNotNull())
-        # They are not in the join, so it cannot tell that their keys are taken.
-        rest = rest.join(untouched.select(key).distinct(), key, "left_anti")
+    if idle is not None:
+        rest = rest.join(idle, key, "left_anti")
 
     hot, keyless = _hot_target_keys(target, key)
     if keyless:

@@ -2,7 +2,7 @@ import random
 from collections import Counter
 
 import pytest
-from hypothesis import HealthCheck, given, settings as options
+from hypothesis import HealthCheck, Phase, given, settings as options
 from hypothesis import strategies as st
 from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
@@ -107,6 +107,7 @@ ROWS = st.lists(st.tuples(KEY, STATUS, st.floats(0, 9)), max_size=20)
 @options(
     max_examples=8,
     deadline=None,
+    phases=[Phase.explicit, Phase.generate],
     suppress_health_check=[HealthCheck.function_scoped_fixture],
 )
 @given(target=ROWS, updates=ROWS)
@@ -133,6 +134,7 @@ STAGED_ROWS = st.lists(
 @options(
     max_examples=25,
     deadline=None,
+    phases=[Phase.explicit, Phase.generate],
     suppress_health_check=[HealthCheck.function_scoped_fixture],
 )
 @given(target=TARGET_ROWS, updates=STAGED_ROWS)
@@ -254,6 +256,16 @@ def test_repeated_keys_leave_a_null_status_row_once(spark, strategy):
     assert bag(merge_rows(target, updates, BOOKINGS_RULE, strategy)) == Counter([("a", None, 1.0)])
 
 
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_a_key_with_and_without_status_next_to_repeated_keys(spark, strategy):
+    target = [("a", None, 1.0), ("a", "pending", 1.0), ("n", None, 1.0)]
+    updates = [("a", "completed", 2.0), ("n", "x", 2.0), ("n", "x", 3.0), ("r", "x", 2.0), ("r", "x", 3.0)]
+    merged = merge_rows(frame(spark, target), frame(spark, updates), BOOKINGS_RULE, strategy)
+    assert bag(merged) == Counter(
+        [("a", None, 1.0), ("a", "completed", 2.0), ("n", None, 1.0), ("r", "x", 2.0), ("r", "x", 3.0)]
+    )
+
+
 def test_ambiguous_keys_lists_them(spark):
     target = frame(spark, [("a", "completed", 1.0), ("a", "pending", 1.0), ("n", None, 1.0)])
     updates = frame(spark, [(k, "pending", 2.0) for k in ["a", "a", "a", "new", "new", "n", "n", None, None]])

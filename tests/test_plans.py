@@ -28,6 +28,13 @@ def test_status_list_reaches_the_scan(spark, tmp_path):
     assert "IsNotNull(booking_id)" in text
 
 
+def test_cheap_tests_come_before_parsing(spark, tmp_path):
+    bookings(spark, {}).write.parquet(f"{tmp_path}/b")
+    text = plan(clean_bookings(spark.read.parquet(f"{tmp_path}/b")))
+    condition = next(line for line in text.splitlines() if line.startswith("Condition"))
+    assert condition.index("completed") < condition.index("gettimestamp")
+
+
 def test_scan_reads_the_needed_columns(spark, tmp_path):
     bookings(spark, {}).write.parquet(f"{tmp_path}/b")
     df = bookings_plan(spark.read.parquet(f"{tmp_path}/b")).select("booking_id")
