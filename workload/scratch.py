@@ -2,22 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from daybook.scratch import scratch_dir
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A fresh folder every executor can reach.
-
-    A cluster names its shared folder in ``spark.checkpoint.dir``; only where
-    that is unset, as in local tests, a local folder is used.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        return tempfile.mkdtemp(prefix="daybook-")
-    return f"{shared.rstrip('/')}/daybook-{uuid.uuid4().hex}"
+__all__ = ["scratch_database", "scratch_dir"]
 
 
 def scratch_database(spark: SparkSession, folder: str) -> str:
