@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import mixing, urls
+from daybook.llm import mixing, pii, quality, simhash, toxicity, urls
 
 QUERIES = {}
 ORACLE = {}
@@ -95,3 +95,45 @@ SELECT page_id, host, path,
         WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)), 'allow') AS verdict
 FROM parts
 """
+
+
+def _fold(modulus: int) -> Column:
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(modulus))
+
+
+def _labels(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").select("doc_id", F.col(name).alias("label"))
+
+
+@query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = _fold(4) == 2
+    model = quality.fit_quality(docs, _labels(spark, sf_dir, "quality").where(~held_out))
+    scored = quality.score_quality(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = _fold(3) == 1
+    model = toxicity.fit_toxicity(docs, _labels(spark, sf_dir, "toxic").where(~held_out))
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.personal_data(docs)
+    counts = ["n_email", "n_ip", "n_card", "n_phone"]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@query
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs)
+    text = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return found.select("doc_id", text, "component_id")
