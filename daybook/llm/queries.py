@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import mixing, pii, quality, simhash, toxicity, urls
+from daybook.llm import decontaminate, lines, mixing, pii, quality, simhash, toxicity, urls
 
 QUERIES = {}
 ORACLE = {}
@@ -137,3 +137,44 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(docs)
     text = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return found.select("doc_id", text, "component_id")
+
+
+@query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its lines, those dropped as repetitions, where the first copies are, and what stays."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = lines.drop_repeated_lines(docs)
+    return found.select("doc_id", "n_lines", "n_dropped", "copies_of", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_shingles", "n_found", "containment")
+
+
+ORACLE["op2_decontaminate"] = r"""
+WITH doc_words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w
+  FROM documents),
+item_words AS (
+  SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w
+  FROM benchmark),
+doc_shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5
+           THEN list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' '))
+           WHEN len(w) > 0 THEN [list_aggregate(w, 'string_agg', ' ')] ELSE [] END) AS s
+  FROM doc_words),
+item_shingles AS (
+  SELECT DISTINCT item_id, unnest(CASE WHEN len(w) >= 5
+           THEN list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' '))
+           WHEN len(w) > 0 THEN [list_aggregate(w, 'string_agg', ' ')] ELSE [] END) AS s
+  FROM item_words),
+sizes AS (SELECT item_id, count(*) AS n_shingles FROM item_shingles GROUP BY item_id)
+SELECT d.doc_id, i.item_id, n_shingles, count(*) AS n_found,
+       CAST(count(*) AS DOUBLE) / n_shingles AS containment
+FROM doc_shingles d JOIN item_shingles i USING (s) JOIN sizes z ON z.item_id = i.item_id
+GROUP BY d.doc_id, i.item_id, n_shingles
+HAVING CAST(count(*) AS DOUBLE) / n_shingles >= 0.8
+"""
