@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import decontaminate, lines, mixing, pii, quality, simhash, toxicity, urls
+from daybook.llm import ann, decontaminate, lines, mixing, pii, quality, simhash, toxicity, urls
 
 QUERIES = {}
 ORACLE = {}
@@ -178,3 +178,9 @@ FROM doc_shingles d JOIN item_shingles i USING (s) JOIN sizes z ON z.item_id = i
 GROUP BY d.doc_id, i.item_id, n_shingles
 HAVING CAST(count(*) AS DOUBLE) / n_shingles >= 0.8
 """
+
+
+@query
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0))
