@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import ann, decontaminate, lines, mixing, pii, quality, simhash, toxicity, urls
+from daybook.llm import ann, decontaminate, katz, lines, mixing, pii, quality, simhash, toxicity, urls
 
 QUERIES = {}
 ORACLE = {}
@@ -184,3 +184,12 @@ HAVING CAST(count(*) AS DOUBLE) / n_shingles >= 0.8
 def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return ann.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+@query
+def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = katz.scores(docs, _fold(10) != 0)
+    return scored.select(
+        "doc_id", (_fold(10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
