@@ -193,3 +193,10 @@ def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", (_fold(10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

@@ -27,6 +27,8 @@ SEGMENTS = 2
 SHINGLE = 3
 #: A bucket with more fingerprints is split into blocks of about this size; every two blocks are compared.
 BLOCK = 1024
+#: Documents to remove up to this number are broadcast; beyond it both sides are shuffled.
+BROADCAST_ROWS = 2_000_000
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -184,21 +186,47 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, segments: int =
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, segments: int = SEGMENTS
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, fp, component_id.
+    """One row per row of ``docs``: doc_id, text_hash, fp, component_id, kept.
 
     Documents link if their fingerprints differ in at most ``max_bits`` bits; component_id
     is the least doc_id that can be reached (null ids are passed over; null if there is no
-    other). Null and blank texts have fingerprint zero, linked like any other. Repeated
-    rows are returned as often as they come. An empty table gives no rows.
+    other), kept is the least (doc_id, text_hash), null first. Null and blank texts have
+    fingerprint zero, linked like any other. Repeated rows are returned as often as they
+    come. An empty table gives no rows.
 
     Copies share a fingerprint and are reduced to one row of it before anything else.
     """
-    marked = stored(with_fingerprint(docs.select("doc_id", "text"), shingle).select("doc_id", "fp"))
-    fps = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    marked = stored(with_fingerprint(hashed, shingle).drop("text"))
+    fps = marked.groupBy("fp").agg(
+        F.min("doc_id").alias("first"), F.min(F.struct("doc_id", "text_hash")).alias("kept")
+    )
     roots = components(fingerprint_links(fps.select("fp"), max_bits, segments))
     placed = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", F.coalesce("root", "fp").alias("root"), "first"
+        "fp", F.coalesce("root", "fp").alias("root"), "first", "kept"
+    )
+    least = placed.groupBy("root").agg(F.min("first").alias("component_id"), F.min("kept").alias("kept"))
+    ids = stored(placed.select("fp", "root").join(least, "root").drop("root"))
+    return marked.join(ids, "fp").select("doc_id", "text_hash", "fp", "component_id", "kept")
+
+
+def keep_one(
+    docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, segments: int = SEGMENTS
+) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: one document of each component stays, unchanged.
+
+    It is the one of least doc_id, then text hash, null first; of rows equal in both, one
+    stays. Texts are not shuffled while the documents to remove are at most BROADCAST_ROWS.
+    """
+    found = near_duplicates(docs, shingle, max_bits, segments)
+    here = F.struct("doc_id", "text_hash")
+    keys = found.groupBy("doc_id", "text_hash").agg(
+        F.count(F.lit(1)).alias("_rows"), F.first(here.eqNullSafe(F.col("kept"))).alias("_stays")
     )
-    least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    ids = stored(placed.join(least, "root").select("fp", "component_id"))
-    return marked.join(ids, "fp").select("doc_id", "fp", "component_id")
+    odd = stored(keys.where("NOT _stays OR _rows > 1").toDF("_key_id", "_key_hash", "_rows", "_stays"))
+    if odd.count() <= BROADCAST_ROWS:
+        odd = F.broadcast(odd)
+    same = docs["doc_id"].eqNullSafe(F.col("_key_id")) & F.xxhash64("text").eqNullSafe(F.col("_key_hash"))
+    single = docs.join(odd, same, "left_anti")
+    repeated = docs.join(odd.where("_stays"), same).dropDuplicates(["_key_id", "_key_hash"])
+    return single.unionByName(repeated.select(docs.columns))
