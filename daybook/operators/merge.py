@@ -1,19 +1,21 @@
 """Keyed merge of a day's staged rows into a target.
 
-The merge is a DataFrame of the target's new contents, computed in one of two ways.
-
-Staged rows that are small enough, by measure, are broadcast: the target is
-left-joined to them without being shuffled, and the staged keys it does not hold
-are added. That scans the target's key column a second time.
-
-Otherwise target and staged rows are shuffled to one full outer join. Such a join
-puts all rows of a key into one task, so keys that hold a large share of a table
-are taken out first and merged without a shuffle:
-
-* a hot key of the target meets one staged row at most (a second one is an
-  error), so the staged rows of all hot keys are few and are broadcast;
-* a hot staged key can only be new, for the same reason, and is inserted as is;
-* rows without a key match nothing and are passed through.
+The merge is a DataFrame of the target's new contents. Staged rows are brought to
+the target's types first, then both ways of computing it do the same:
+
+* the staged rows are counted per key, and the target's keys and statuses are
+  joined to those counts: which staged keys the target holds, and which of the
+  repeated ones would change a row twice, is known before anything is written;
+* the target is left-joined to the staged rows, and the staged rows whose key it
+  does not hold are added. Rows without a key match nothing on either side.
+
+Staged rows that are small enough, by measure, are broadcast, and the target is
+not shuffled. Otherwise both sides are shuffled by key, or the staged side alone
+if the target is bucketed by it. Every join is of a kind that adaptive execution
+splits on the side where a key may be hot: left outer and inner by the target's
+rows, left anti by the staged rows. Its inputs are exchanged directly, and the
+other side holds a key once, or few times. So a hot key takes as many tasks as its
+size calls for, and no list of hot keys is needed.
 """
 
 from __future__ import annotations
@@ -33,16 +35,10 @@ from pyspark.sql.types import (
 )
 
 from daybook.params import BROADCAST_LIMIT_BYTES
+from daybook.scratch import stored
 
-_KNOWN, _MATCHED, _NEW = "__known", "__matched", "__new_"
-
-# A key is hot if it holds more than this share of the rows of a table, so there
-# are fewer hot keys than this; below the number of copies no key is hot.
-_HOT_SHARE = 2_000
-_HOT_COPIES = 10_000
-# Keys followed while looking for the hot ones. A count is then off by a fifth of
-# the share at most.
-_TRACKED_KEYS = 10 * _HOT_SHARE
+_MATCHED, _NEW = "__matched", "__new_"
+_COPIES, _BYTES, _ACTS = "__copies", "__bytes", "__acts"
 
 
 class AmbiguousMergeError(ValueError):
@@ -88,15 +84,22 @@ def profile_updates(updates: DataFrame, key: str) -> UpdateProfile:
     One aggregate, combined per key before the shuffle. The size is None if a
     column's type has no simple bound.
     """
+    return _totals(_per_key(updates, key), key)
+
+
+def _per_key(updates: DataFrame, key: str) -> DataFrame:
     size = _row_bytes(updates)
-    per_key = updates.groupBy(key).agg(
-        F.count(F.lit(1)).alias("copies"),
-        F.sum(size if size is not None else F.lit(None).cast("long")).alias("bytes"),
+    return updates.groupBy(key).agg(
+        F.count(F.lit(1)).alias(_COPIES),
+        F.sum(size if size is not None else F.lit(None).cast("long")).alias(_BYTES),
     )
-    copies, null = F.col("copies"), F.col(key).isNull()
+
+
+def _totals(per_key: DataFrame, key: str) -> UpdateProfile:
+    copies, null = F.col(_COPIES), F.col(key).isNull()
     total = per_key.agg(
         F.coalesce(F.sum(copies), F.lit(0)).alias("rows"),
-        F.sum("bytes").alias("bytes"),
+        F.sum(_BYTES).alias("bytes"),
         F.count_if((copies > 1) & ~null).alias("repeated"),
         F.coalesce(F.sum(F.when(null, copies)), F.lit(0)).alias("nulls"),
     ).first()
@@ -119,11 +122,11 @@ def ambiguous_keys(target: DataFrame, updates: DataFrame, rule: MergeRule) -> Da
 
     When the incoming status decides, a repeated key may not meet any target row.
     """
+    staged = _storable(updates.select(rule.key), target, rule.key)
     if rule.delete_on == "target":
         target = target.filter(F.col(rule.status).isNotNull())
-    return repeated_keys(updates, rule.key).join(
-        target.select(rule.key).distinct(), rule.key, "left_semi"
-    )
+    met = target.select(rule.key).join(repeated_keys(staged, rule.key), rule.key)
+    return met.distinct()
 
 
 def merge_rows(
@@ -137,99 +140,73 @@ def merge_rows(
 
     Matched rows take every staged column but the key; target columns that are
     not staged keep their value, and are null in inserted rows. Null keys match
-    nothing.
+    nothing. The result has the target's columns and types; a staged key that
+    the target's key type cannot hold raises.
 
     ``auto`` measures the staged rows and broadcasts them if they stay below the
-    limit; ``shuffle`` never asks for a broadcast. Either runs an aggregate over
-    the staged rows at once, and raises before anything is written if a target
-    row would be changed twice. ``updates`` is read several times: pass a table.
+    limit; ``broadcast`` raises if they do not; ``shuffle`` never broadcasts
+    them. The result is the same. Either writes the staged keys and those of them
+    that the target holds to scratch tables, and raises before anything else is
+    written if a target row would be changed twice. ``updates`` is read several
+    times: pass a table.
     """
-    if strategy not in ("auto", "shuffle"):
+    if strategy not in ("auto", "broadcast", "shuffle"):
         raise ValueError(f"unknown strategy {strategy!r}")
     unknown = [c for c in updates.columns if c not in target.columns]
     if unknown:
         raise ValueError(f"staged columns missing in the target: {', '.join(unknown)}")
 
-    profile = profile_updates(updates, rule.key)
-    if profile.repeated_keys:
-        _reject_ambiguous(ambiguous_keys(target, updates, rule), rule.key)
+    key = rule.key
+    updates = _storable(updates, target, key)
+    per_key = stored(_per_key(updates, key))
+    profile = _totals(per_key, key)
+    small = profile.bytes is not None and profile.bytes <= broadcast_limit_bytes
+    if strategy == "broadcast" and not small:
+        raise ValueError(f"staged rows of {profile.bytes} bytes exceed {broadcast_limit_bytes}")
+    place = F.broadcast if small and strategy != "shuffle" else lambda side: side
 
-    idle = None
-    if profile.repeated_keys and rule.delete_on == "target":
-        # A repeated key can still meet target rows without a status. They are
+    met = _met(target, per_key, rule, place)
+    if profile.repeated_keys:
+        repeated = met.filter(F.col(_COPIES) > 1)
+        _reject_ambiguous(repeated.filter(_ACTS), key)
+        # A repeated key may still meet target rows without a status. They are
         # not changed, and the key is not new, so its staged rows do nothing.
-        statusless = target.filter(F.col(rule.status).isNull()).select(rule.key).distinct()
-        repeated = repeated_keys(updates, rule.key).select(rule.key)
-        idle = repeated.join(statusless, rule.key, "left_semi")
+        acting = updates.join(place(repeated.select(key)), key, "left_anti")
+    else:
+        acting = updates
+    inserted = updates.join(place(met.select(key)), key, "left_anti")
+    return _apply(target, acting, rule, place).unionByName(_like(inserted, target))
 
-    small = profile.bytes is not None and profile.bytes <= broadcast_limit_bytes
-    merge = _merge_small if strategy == "auto" and small else _merge_large
-    return reduce(DataFrame.unionByName, merge(target, updates, rule, profile, idle))
 
+def _met(target, per_key, rule: MergeRule, place) -> DataFrame:
+    """The staged keys that the target holds, once each: key, copies, and whether a row would change.
 
-def _merge_small(target, updates, rule, profile, idle) -> list[DataFrame]:
-    """All staged rows are broadcast; the target is not shuffled."""
+    Reads the target's key and status. The matches are stored before they are
+    combined per key: an aggregate right above the join would keep its partitions
+    together, and so a hot key in one task.
+    """
     key = rule.key
-    # Neither list of keys is larger than the staged rows, so both fit as well.
-    if idle is not None:
-        updates = updates.join(F.broadcast(idle), key, "left_anti")
-    wanted = F.broadcast(updates.select(key))
-    present = target.select(key).join(wanted, key, "left_semi").distinct()
-    inserted = updates.join(F.broadcast(present), key, "left_anti")
-    changed = _apply(target, updates, rule, "left_outer", place=F.broadcast)
-    return [changed, _like(inserted, target)]
-
-
-def _merge_large(target, updates, rule, profile, idle) -> list[DataFrame]:
-    """One full outer join of all rows whose key is neither null nor hot."""
-    key, column, parts = rule.key, F.col(rule.key), []
-    rows, rest = target, updates
-    if profile.null_keys:
-        parts.append(_like(rest.filter(column.isNull()), target))
-        rest = rest.filter(column.isNotNull())
-    hot = _hot_staged_keys(updates, key, profile) if profile.repeated_keys else []
-    if hot:
-        met = target.select(key).filter(column.isin(hot)).distinct().collect()
-        new = sorted(set(hot) - {r[key] for r in met})
-        parts.append(_like(rest.filter(column.isin(new)), target))
-        rest = rest.filter(~column.isin(hot))
-    if idle is not None:
-        rest = rest.join(idle, key, "left_anti")
-
-    hot, keyless = _hot_target_keys(target, key)
-    if keyless:
-        parts.append(rows.filter(column.isNull()))
-        rows = rows.filter(column.isNotNull())
-    if hot:
-        few = rest.filter(column.isin(hot))
-        parts.append(
-            _apply(rows.filter(column.isin(hot)), few, rule, "left_outer", place=F.broadcast)
-        )
-        rows, rest = rows.filter(~column.isin(hot)), rest.filter(~column.isin(hot))
-    return [_apply(rows, rest, rule, "full_outer"), *parts]
-
+    acts = F.col(rule.status).isNotNull() if rule.delete_on == "target" else F.lit(True)
+    staged = place(per_key.filter(F.col(key).isNotNull()).select(key, _COPIES))
+    matches = stored(target.select(key, acts.alias(_ACTS)).join(staged, key))
+    return stored(matches.groupBy(key, _COPIES).agg(F.bool_or(_ACTS).alias(_ACTS)))
 
-def _hot_staged_keys(updates: DataFrame, key: str, profile: UpdateProfile) -> list:
-    """Exactly the repeated keys above the hot share."""
-    least = max(profile.rows // _HOT_SHARE, _HOT_COPIES)
-    hot = repeated_keys(updates, key).filter(F.col("copies") > least)
-    return [r[key] for r in hot.collect()]
 
+def _storable(updates: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """Staged columns in the target's types; a key that does not fit raises."""
+    types = {f.name: f.dataType for f in target.schema}
 
-def _hot_target_keys(target: DataFrame, key: str) -> tuple[list, int]:
-    """Keys above the hot share, by estimate, and the number of rows without key.
+    def value(c: str) -> Column:
+        column = F.col(c)
+        if updates.schema[c].dataType == types[c]:
+            return column
+        if c != key:
+            return column.cast(types[c]).alias(c)
+        problem = F.concat(F.lit(f"{c} does not fit the target's type: "), column.cast("string"))
+        fitted = F.coalesce(column.try_cast(types[c]), F.raise_error(problem).cast(types[c]))
+        return F.when(column.isNotNull(), fitted).alias(c)
 
-    One pass over the key column without a shuffle. Which keys are listed has no
-    bearing on the result of the merge, so an estimate will do.
-    """
-    found = target.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col(key).isNull()).alias("keyless"),
-        F.expr(f"approx_top_k(`{key}`, {_HOT_SHARE}, {_TRACKED_KEYS})").alias("top"),
-    ).first()
-    least = max(found["rows"] // _HOT_SHARE, _HOT_COPIES)
-    hot = [t["item"] for t in found["top"] if t["item"] is not None and t["count"] > least]
-    return hot, found["keyless"]
+    return updates.select(*[value(c) for c in updates.columns])
 
 
 def merge_into(updates: DataFrame, target_name: str, rule: MergeRule) -> None:
@@ -267,23 +244,20 @@ def _as_new(updates: DataFrame, key: str) -> DataFrame:
     return updates.select(*renamed, F.lit(True).alias(_MATCHED))
 
 
-def _apply(target, updates, rule: MergeRule, how: str, place=lambda side: side) -> DataFrame:
-    """Join and decide each row; a full outer join also inserts."""
-    new = place(_as_new(updates, rule.key))
-    joined = target.withColumn(_KNOWN, F.lit(True)).join(new, rule.key, how)
-    known, matched = (F.coalesce(F.col(m), F.lit(False)) for m in (_KNOWN, _MATCHED))
+def _apply(target, updates, rule: MergeRule, place) -> DataFrame:
+    """Every target row, updated, deleted or left alone."""
+    joined = target.join(place(_as_new(updates, rule.key)), rule.key, "left_outer")
+    matched = F.coalesce(F.col(_MATCHED), F.lit(False))
     prefix = "" if rule.delete_on == "target" else _NEW
     decides = F.col(prefix + rule.status)
     # A null status makes both tests unknown: the row is neither updated nor deleted.
-    deleted = known & matched & F.coalesce(decides == rule.delete_status, F.lit(False))
-    updated = known & matched & F.coalesce(decides != rule.delete_status, F.lit(False))
-    types = {f.name: f.dataType for f in target.schema}
+    deleted = matched & F.coalesce(decides == rule.delete_status, F.lit(False))
+    updated = matched & F.coalesce(decides != rule.delete_status, F.lit(False))
 
     def value(c: str) -> Column:
         if c == rule.key or c not in updates.columns:
             return F.col(c)
-        incoming = F.col(_NEW + c).cast(types[c])
-        return F.when(updated | ~known, incoming).otherwise(F.col(c)).alias(c)
+        return F.when(updated, F.col(_NEW + c)).otherwise(F.col(c)).alias(c)
 
     return joined.filter(~deleted).select(*[value(c) for c in target.columns])
 
