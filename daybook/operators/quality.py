@@ -75,13 +75,22 @@ class Check:
         )
 
 
+_RESULT = (
+    "check string, check_level string, check_status string, "
+    "constraint string, constraint_status string, constraint_message string"
+)
+
+
 def verify(df: DataFrame, *checks: Check) -> DataFrame:
     """One row per constraint: check, check_level, check_status, constraint,
     constraint_status, constraint_message.
 
-    A fraction over an empty table is null, and null counts as failed.
+    A fraction over an empty table is null, and null counts as failed. Checks without
+    constraints give no rows, and pass.
     """
     tests = [(i, c) for i, check in enumerate(checks) for c in check.constraints]
+    if not tests:
+        return df.sparkSession.createDataFrame([], _RESULT)
     # Constraints that look at the same rows share their count.
     counts = {"rows": F.count(F.lit(1))}
     for _, c in tests:
@@ -139,7 +148,7 @@ def roll_up(results: DataFrame) -> DataFrame:
         F.when(F.col("check_status") == SUCCESS, 0),
     )
     names = F.array(*[F.lit(name) for name in _SEVERITY])
-    return results.agg(F.get(names, F.max(rank)).alias("status"))
+    return results.agg(F.get(names, F.coalesce(F.max(rank), F.lit(0))).alias("status"))
 
 
 class Verification:
@@ -158,7 +167,7 @@ class Verification:
 
     @property
     def status(self) -> str:
-        return max((r["check_status"] for r in self.rows), key=_SEVERITY.index)
+        return max((r["check_status"] for r in self.rows), key=_SEVERITY.index, default=SUCCESS)
 
     @property
     def failures(self) -> list[Row]:

@@ -46,6 +46,10 @@ class PipelineParams:
     # table format's own MERGE (needs a format that has one).
     target_mode: str = "snapshot"
     broadcast_limit_bytes: int = BROADCAST_LIMIT_BYTES
+    # Snapshots are stored in so many hash buckets of the merge key, and the target is
+    # then not shuffled by a merge; 0 stores them as they come. A bucket is read by one
+    # task, so this is for keys that are unique, or nearly so.
+    buckets: int = 0
 
     def __post_init__(self):
         if not re.fullmatch(r"\d{8}", self.date):

@@ -118,7 +118,9 @@ def _merge_to_snapshot(
             rule,
             broadcast_limit_bytes=params.broadcast_limit_bytes,
         )
-    return write_snapshot(spark, contents, target, params.table_format)
+    return write_snapshot(
+        spark, contents, target, params.table_format, params.buckets, rule.key
+    )
 
 
 def _merge_in_place(

@@ -66,13 +66,18 @@ def stage_customers(
     )
 
 
+def first_rows(df: DataFrame, rows: int = 5) -> DataFrame:
+    """What a preview shows (L1); which rows these are is left open."""
+    return df.limit(rows)
+
+
 def show_preview(rows: int = 5, truncate: bool = False) -> Preview:
     """A hook that prints the schema and the first rows (L1, L2)."""
 
     def look(label: str, df: DataFrame) -> None:
         print(label)
         df.printSchema()
-        df.show(rows, truncate=truncate)
+        first_rows(df, rows).show(rows, truncate=truncate)
 
     return look
 

@@ -3,8 +3,10 @@
 A target in snapshot mode is a view over one of two slot tables. A run writes
 the slot the view does not use, verifies it, and then repoints the view, which
 is a single catalog change. A run that dies earlier leaves the view as it was,
-and the next run overwrites the unfinished slot. Readers see the old rows or the
-new ones, never a mix, and no more than two copies are kept.
+and the next run overwrites the unfinished slot: every table has a fixed folder
+below its database, so files without a catalog entry are overwritten too. Readers
+see the old rows or the new ones, never a mix. Two copies are kept; an adopted
+table is a third one until the publish after the first, which drops it.
 """
 
 from __future__ import annotations
@@ -36,9 +38,24 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.table(name)
 
 
-def overwrite_table(df: DataFrame, name: str, table_format: str = "parquet") -> None:
-    """Replace the contents of ``name``."""
-    df.write.format(table_format).mode("overwrite").saveAsTable(name)
+def overwrite_table(
+    df: DataFrame, name: str, table_format: str = "parquet", buckets: int = 0, key: str | None = None
+) -> None:
+    """Replace the contents of ``name`` (S6), whatever an earlier run left in its folder.
+
+    With ``buckets`` the rows are stored in so many hash buckets of ``key``, sorted by it.
+    """
+    writer = df.write.format(table_format).mode("overwrite").option("path", _folder(df.sparkSession, name))
+    if buckets:
+        writer = writer.bucketBy(buckets, key).sortBy(key)
+    writer.saveAsTable(name)
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """The table's folder below its database."""
+    *database, table = name.split(".")
+    database = ".".join(database) or spark.catalog.currentDatabase()
+    return f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{table.lower()}"
 
 
 def row_count(spark: SparkSession, name: str) -> int:
@@ -85,14 +102,24 @@ class Snapshot:
 
 
 def write_snapshot(
-    spark: SparkSession, df: DataFrame, target: str, table_format: str = "parquet"
+    spark: SparkSession,
+    df: DataFrame,
+    target: str,
+    table_format: str = "parquet",
+    buckets: int = 0,
+    key: str | None = None,
 ) -> Snapshot:
-    """Write ``df`` to the unused slot of ``target`` and verify its row count."""
+    """Write ``df`` to the unused slot of ``target`` and verify its row count.
+
+    With ``buckets``, later merges by ``key`` do not shuffle the target. The rows are
+    dealt by bucket first, so that there is one file for each.
+    """
     in_use = current_slot(spark, target)
     slot = next(target + s for s in SLOT_SUFFIXES if target + s != in_use)
     written = Observation()
-    counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
-    overwrite_table(counted, slot, table_format)
+    dealt = df.repartition(buckets, key) if buckets else df
+    counted = dealt.observe(written, F.count(F.lit(1)).alias("rows"))
+    overwrite_table(counted, slot, table_format, buckets, key)
     rows = row_count(spark, slot)
     if rows != written.get["rows"]:
         raise PublishError(f"{slot}: wrote {written.get['rows']} rows, found {rows}")
@@ -114,6 +141,10 @@ def publish(spark: SparkSession, *snapshots: Snapshot) -> None:
             else:
                 _point(spark, target, before)
         raise
+    for target, before in done:
+        if before is not None and before.endswith(SLOT_SUFFIXES):
+            # Both slots are live now.
+            spark.sql(f"DROP TABLE IF EXISTS {quoted(target + ADOPTED_SUFFIX)}")
 
 
 def _is_view(spark: SparkSession, name: str) -> bool:

@@ -21,7 +21,7 @@ GOOD_CUSTOMER = {
     "name": "Ada Chen",
     "email": "ada@example.com",
     "signup_date": "2024-01-15",
-    "phone_number": "5069757321",
+    "phone_number": "2025550143",
     "status": "active",
 }
 

@@ -9,27 +9,27 @@ from daybook.functions.phone import phone_format
 
 # Every layout of the feed, and edge cases.
 GOLDEN = {
-    "(598)619-6093x2712": "+5986 (196) 093-2712 (Ext: 712)",
-    "001-346-433-6710": "+001 (346) 433-6710 (Ext: 710)",
-    "(713)549-2151": "(713) 549-2151",
-    "914-450-4988x20157": "+91445 (049) 882-0157 (Ext: 157)",
-    "318.522.6668": "(318) 522-6668",
-    "001-846-594-8333x96424": "+00184659 (483) 339-6424 (Ext: 424)",
-    "(893)629-6855x38375": "+89362 (968) 553-8375 (Ext: 375)",
-    "+1-344-790-1828": "+1 (344) 790-1828",
-    "575-819-1640x6873": "+5758 (191) 640-6873 (Ext: 873)",
-    "001-381-766-5425x210": "+001381 (766) 542-5210 (Ext: 210)",
-    "+1-820-928-4775x5422": "+1 (820) 928-47755422 (Ext: 5422)",
-    "419-216-6483": "(419) 216-6483",
-    "+1-288-407-6288x349": "+1 (288) 407-6288349 (Ext: 349)",
-    "(324)735-6969x857": "+324 (735) 696-9857 (Ext: 857)",
-    "680.575.0141x68065": "+68057 (501) 416-8065 (Ext: 065)",
-    "+1-374-878-0093x69897": "+1 (374) 878-009369897 (Ext: 69897)",
-    "887.620.6916x262": "+887 (620) 691-6262 (Ext: 262)",
-    "5069757321": "(506) 975-7321",
-    "854.753.2983x2015": "+8547 (532) 983-2015 (Ext: 015)",
-    "486-783-8614x665": "+486 (783) 861-4665 (Ext: 665)",
-    "001-394-330-9016x9205": "+0013943 (309) 016-9205 (Ext: 205)",
+    "(236)803-8134x9509": "+2368 (038) 134-9509 (Ext: 509)",
+    "001-478-744-8501": "+001 (478) 744-8501 (Ext: 501)",
+    "(504)273-9020": "(504) 273-9020",
+    "307-721-7366x91025": "+30772 (173) 669-1025 (Ext: 025)",
+    "406.299.8886": "(406) 299-8886",
+    "001-678-237-6444x38797": "+00167823 (764) 443-8797 (Ext: 797)",
+    "(634)893-8622x46452": "+63489 (386) 224-6452 (Ext: 452)",
+    "+1-477-531-0696": "+1 (477) 531-0696",
+    "252-603-0871x8654": "+2526 (030) 871-8654 (Ext: 654)",
+    "001-460-588-2792x901": "+001460 (588) 279-2901 (Ext: 901)",
+    "+1-691-396-7552x2799": "+1 (691) 396-75522799 (Ext: 2799)",
+    "703-908-8764": "(703) 908-8764",
+    "+1-966-715-8966x473": "+1 (966) 715-8966473 (Ext: 473)",
+    "(497)542-8383x625": "+497 (542) 838-3625 (Ext: 625)",
+    "861.252.1070x86182": "+86125 (210) 708-6182 (Ext: 182)",
+    "+1-457-656-1134x83635": "+1 (457) 656-113483635 (Ext: 83635)",
+    "665.891.8308x989": "+665 (891) 830-8989 (Ext: 989)",
+    "2183525490": "(218) 352-5490",
+    "627.524.9364x9102": "+6275 (249) 364-9102 (Ext: 102)",
+    "768-564-6807x882": "+768 (564) 680-7882 (Ext: 882)",
+    "001-437-441-3108x3912": "+0014374 (413) 108-3912 (Ext: 912)",
     "5551234": "5551234",
     "ext": "ext",
     "": "",

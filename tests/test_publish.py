@@ -12,7 +12,8 @@ from daybook.sources.tables import (
     table_exists,
     write_snapshot,
 )
-from tests.helpers import bag, ids, staged_bookings
+from daybook.operators.merge import BOOKINGS_RULE, merge_rows
+from tests.helpers import bag, ids, plan, staged_bookings
 
 
 def day(spark, *keys):
@@ -109,6 +110,51 @@ def test_a_plain_table_is_adopted(spark, database):
     assert ids(spark.table(f"{target}__adopted"), "booking_id") == ["a"]
 
 
+def test_the_adopted_table_goes_when_both_slots_are_live(spark, database):
+    target = f"{database}.bookings"
+    overwrite_table(day(spark, "a"), target)
+    adopt(spark, target)
+    for keys, names in (
+        (["b"], {"bookings", "bookings__a", "bookings__adopted"}),
+        (["c"], {"bookings", "bookings__a", "bookings__b"}),
+        (["d"], {"bookings", "bookings__a", "bookings__b"}),
+    ):
+        publish(spark, write_snapshot(spark, day(spark, *keys), target))
+        assert ids(spark.table(target), "booking_id") == keys
+        assert {t.name for t in spark.catalog.listTables(database)} == names
+
+
+@pytest.mark.parametrize("left", ["bookings__a", "bookings__b", "staging"])
+def test_files_of_a_killed_run_are_overwritten(spark, database, left):
+    """A run that died while it wrote leaves files, and no catalog entry."""
+    folder = spark.catalog.getDatabase(database).locationUri
+    target = f"{database}.bookings"
+    if left == "bookings__b":
+        publish(spark, write_snapshot(spark, day(spark, "a"), target))
+    day(spark, "lost").write.parquet(f"{folder}/{left}")
+    if left == "staging":
+        overwrite_table(day(spark, "b"), f"{database}.staging")
+        assert ids(spark.table(f"{database}.staging"), "booking_id") == ["b"]
+    else:
+        publish(spark, write_snapshot(spark, day(spark, "b"), target))
+        assert current_slot(spark, target) == f"{database}.{left}"
+        assert ids(spark.table(target), "booking_id") == ["b"]
+
+
+def test_a_bucketed_target_is_not_shuffled_by_a_merge(spark, database, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    target = f"{database}.bookings"
+    for keys in (["a", "b"], ["a", "b", "c"]):
+        publish(spark, write_snapshot(spark, day(spark, *keys), target, buckets=4, key="booking_id"))
+        overwrite_table(day(spark, "b", "d"), f"{database}.staged")
+        merged = merge_rows(spark.table(target), spark.table(f"{database}.staged"), BOOKINGS_RULE, "shuffle")
+        joins = plan(merged, "simple").split("SortMergeJoin")
+        left_outer = next(j for j in joins if "LeftOuter" in j)
+        assert "SelectedBucketsCount: 4 out of 4" in left_outer
+        assert left_outer.split("SelectedBucketsCount")[0].count("Exchange") == 0
+        assert ids(merged, "booking_id") == sorted({*keys, "d"})
+
+
 def test_an_interrupted_adoption_is_finished(spark, database):
     target = f"{database}.bookings"
     overwrite_table(day(spark, "a"), target)

@@ -106,3 +106,9 @@ def test_all_constraints_share_one_scan(spark, tmp_path):
     text = plan(verify(spark.read.parquet(path), BOOKINGS_CHECK), "simple")
     assert text.count("FileScan") == 1
     assert text.count("Exchange") == 1
+
+
+def test_a_check_without_constraints_passes(spark):
+    run = Verification(spark.range(3), Check(CheckLevel.ERROR, "empty"))
+    assert run.status == "Success" and run.rows == []
+    assert roll_up(run.results).first()["status"] == "Success"

@@ -11,7 +11,8 @@ from daybook.operators.clean import booking_stages, customer_stages, funnel
 from daybook.operators.merge import BOOKINGS_RULE, CUSTOMERS_RULE, merge_rows
 from daybook.schemas import BOOKINGS_STAGED
 from workload.feeds import raw_bookings, raw_customers
-from workload.queries import staged_bookings, staged_customers
+from workload.oracle import ORACLE
+from workload.queries import QUERIES, staged_bookings, staged_customers
 from workload.scratch import scratch_dir
 
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -22,13 +23,20 @@ def con():
     return connect(SMALL)
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_its_sql(spark, con, name):
-    assert difference(queries()[name](spark, SMALL), con, oracle_sql()[name]) is None
+    assert difference(QUERIES[name](spark, SMALL), con, ORACLE[name]) is None
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
+
+
+@pytest.mark.parametrize("name", ["bookings_staged", "bookings_duration", "bookings_quality_failing"])
+def test_queries_do_not_depend_on_the_sessions_zone(spark, con, settings, name):
+    settings(spark__sql__session__timeZone="America/New_York")
+    assert difference(QUERIES[name](spark, SMALL), con, ORACLE[name]) is None
 
 
 def test_entry(spark):

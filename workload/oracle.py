@@ -363,7 +363,19 @@ CUSTOMER_STAGES = [
     ("signup_date", CUSTOMER_SIGNUP),
 ]
 
-RAW_MERGE_COLUMNS = BOOKING_COLUMNS[:6]
+RAW_MERGE_COLUMNS = [*BOOKING_COLUMNS[:4], "start_time", "end_time", *BOOKING_COLUMNS[4:6]]
+
+
+def numbered_orders(where: str, price: str) -> str:
+    return f"SELECT CAST(o_orderkey AS INT) AS order_key, o_orderstatus AS status, {price} AS o_totalprice FROM orders WHERE {where}"
+
+
+MERGED_ORDERS = merged(
+    numbered_orders("o_orderkey % 3 <> 0", "o_totalprice"),
+    numbered_orders("o_orderkey % 2 = 0", "0.0::DOUBLE"),
+    ["order_key", "status", "o_totalprice"],
+    "F",
+)
 
 ORACLE = {
     "bookings_drop_null_keys": where(raw_bookings(), BOOKING_KEYS),
@@ -432,6 +444,8 @@ FROM ({checked(table, check)})"""
     "bookings_merge_null_status": merged(
         raw_bookings(1), raw_bookings(2), RAW_MERGE_COLUMNS, "cancelled"
     ),
+    "merge_number_keys": MERGED_ORDERS,
+    "merge_number_keys_shuffle": MERGED_ORDERS,
     "bookings_merge_repeated_inserts": merged(
         staged_bookings(), renamed(STAGED_RENTALS), BOOKING_COLUMNS, "cancelled"
     ),

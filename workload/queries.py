@@ -35,7 +35,7 @@ from daybook.operators.quality import (
 )
 from daybook.params import DATE_TIME_FORMAT, PipelineParams
 from daybook.plans.daily import run_day
-from daybook.plans.staging import bookings_plan, customers_plan
+from daybook.plans.staging import bookings_plan, customers_plan, first_rows
 from daybook.sources.json_files import read_bookings, read_customers, write_json
 from daybook.sources import mock
 from daybook.sources.tables import publish, write_snapshot
@@ -51,7 +51,7 @@ def query(fn):
 
 
 def staged_bookings(spark, sf_dir, day=None) -> DataFrame:
-    return bookings_plan(raw_bookings(spark, sf_dir, day))
+    return bookings_plan(raw_bookings(spark, sf_dir, day), time_zone="UTC")
 
 
 def staged_customers(spark, sf_dir, day=None) -> DataFrame:
@@ -119,7 +119,7 @@ def bookings_split_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bookings_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hours = hours_between(F.col("start_time"), F.col("end_time"), DATE_TIME_FORMAT)
+    hours = hours_between(F.col("start_time"), F.col("end_time"), DATE_TIME_FORMAT, "UTC")
     return raw_bookings(spark, sf_dir).select(
         "booking_id", "start_time", "end_time", hours.alias("total_duration")
     )
@@ -236,7 +236,7 @@ def customers_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def bookings_quality_failing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rentals that end before they start fail the duration constraint."""
-    return verify(bookings_plan(raw_rentals(spark, sf_dir)), BOOKINGS_CHECK)
+    return verify(bookings_plan(raw_rentals(spark, sf_dir), time_zone="UTC"), BOOKINGS_CHECK)
 
 
 @query
@@ -257,7 +257,7 @@ def quality_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = {
         "bookings": (staged_bookings(spark, sf_dir), BOOKINGS_CHECK),
         "customers": (staged_customers(spark, sf_dir), CUSTOMERS_CHECK),
-        "rentals": (bookings_plan(raw_rentals(spark, sf_dir)), BOOKINGS_CHECK),
+        "rentals": (bookings_plan(raw_rentals(spark, sf_dir), time_zone="UTC"), BOOKINGS_CHECK),
     }
     statuses = [
         roll_up(verify(df, check)).select(F.lit(name).alias("run"), "status")
@@ -300,13 +300,13 @@ def customers_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bookings_merge_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Broadcasts a larger day than usual; beyond the limit it shuffles."""
-    return _merged_bookings(spark, sf_dir, broadcast_limit_bytes=256 << 20)
+    """Broadcasts a larger day than usual; beyond the limit it raises."""
+    return _merged_bookings(spark, sf_dir, strategy="broadcast", broadcast_limit_bytes=256 << 20)
 
 
 @query
 def customers_merge_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _merged_customers(spark, sf_dir, broadcast_limit_bytes=256 << 20)
+    return _merged_customers(spark, sf_dir, strategy="broadcast", broadcast_limit_bytes=256 << 20)
 
 
 @query
@@ -329,22 +329,21 @@ def bookings_merge_delete_on_incoming(spark: SparkSession, sf_dir: str) -> DataF
 @query
 def bookings_merge_null_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Uncleaned sides: null keys match nothing, null statuses stay as they are."""
-    keep = ["booking_id", "customer_id", "car_id", "booking_date", "status", "total_amount"]
-    days = (raw_bookings(spark, sf_dir, day).select(keep) for day in (1, 2))
+    days = (raw_bookings(spark, sf_dir, day) for day in (1, 2))
     return merge_rows(*_stored(spark, *days), BOOKINGS_RULE)
 
 
 @query
 def bookings_merge_repeated_inserts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated new keys are all inserted: the ids of rentals are not in the target."""
-    rentals = _renamed(bookings_plan(raw_rentals(spark, sf_dir)))
+    rentals = _renamed(bookings_plan(raw_rentals(spark, sf_dir), time_zone="UTC"))
     return merge_rows(*_stored(spark, staged_bookings(spark, sf_dir), rentals), BOOKINGS_RULE)
 
 
 @query
 def bookings_merge_hot_inserts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One new key holds a third of the staged rows."""
-    rentals = _renamed(bookings_plan(raw_rentals(spark, sf_dir, hot=True)))
+    rentals = _renamed(bookings_plan(raw_rentals(spark, sf_dir, hot=True), time_zone="UTC"))
     sides = _stored(spark, staged_bookings(spark, sf_dir), rentals)
     return merge_rows(*sides, BOOKINGS_RULE, strategy="shuffle")
 
@@ -352,7 +351,7 @@ def bookings_merge_hot_inserts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def bookings_merge_hot_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One key holds a third of the target, and is staged once."""
-    rentals = bookings_plan(raw_rentals(spark, sf_dir, hot=True))
+    rentals = bookings_plan(raw_rentals(spark, sf_dir, hot=True), time_zone="UTC")
     sides = _stored(spark, rentals, staged_bookings(spark, sf_dir))
     return merge_rows(*sides, BOOKINGS_RULE, strategy="shuffle")
 
@@ -361,10 +360,32 @@ def _renamed(rentals: DataFrame) -> DataFrame:
     return rentals.withColumn("booking_id", F.concat(F.lit("R"), "booking_id"))
 
 
+@query
+def merge_number_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target's keys are int, the staged ones bigint; the result has the target's type."""
+    return _merged_orders(spark, sf_dir, "broadcast")
+
+
+@query
+def merge_number_keys_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged_orders(spark, sf_dir, "shuffle")
+
+
+def _merged_orders(spark, sf_dir, strategy) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("bigint").alias("order_key"), F.col("o_orderstatus").alias("status"), "o_totalprice"
+    )
+    key = F.col("order_key")
+    target = orders.where(key % 3 != 0).withColumn("order_key", key.cast("int"))
+    updates = orders.where(key % 2 == 0).withColumn("o_totalprice", F.lit(0.0))
+    sides = _stored(spark, target, updates)
+    return merge_rows(*sides, MergeRule("order_key", "F"), strategy=strategy)
+
+
 @query
 def merge_ambiguous_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ambiguous_keys(
-        staged_bookings(spark, sf_dir), bookings_plan(raw_rentals(spark, sf_dir)), BOOKINGS_RULE
+        staged_bookings(spark, sf_dir), bookings_plan(raw_rentals(spark, sf_dir), time_zone="UTC"), BOOKINGS_RULE
     )
 
 
@@ -399,6 +420,7 @@ def _two_days(spark: SparkSession, sf_dir: str) -> PipelineParams:
             bookings_delta_table=f"{database}.bookings",
             customers_delta_table=f"{database}.customers",
             as_of_date=AS_OF_DATE,
+            time_zone="UTC",
         )
         write_json(raw_bookings(spark, sf_dir, day), params.input_path("bookings"))
         write_json(raw_customers(spark, sf_dir, day), params.input_path("customers"))
@@ -448,9 +470,9 @@ def mock_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def preview_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many rows the previews show; which rows is left open by design."""
     previews = [
-        ("bookings", raw_bookings(spark, sf_dir).limit(5)),
-        ("customers", raw_customers(spark, sf_dir).limit(5)),
-        ("staged customers", staged_customers(spark, sf_dir).limit(10)),
+        ("bookings", first_rows(raw_bookings(spark, sf_dir))),
+        ("customers", first_rows(raw_customers(spark, sf_dir))),
+        ("staged customers", first_rows(staged_customers(spark, sf_dir), 10)),
     ]
     sizes = [
         df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("preview"), "rows")
