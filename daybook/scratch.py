@@ -29,4 +29,5 @@ def stored(df: DataFrame, *partition_by: str, compression: str = "snappy") -> Da
     path = scratch_dir(spark)
     writer = df.write.option("compression", compression)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return spark.read.parquet(path)
+    # The schema is given: a table without rows may have no file that tells it.
+    return spark.read.schema(df.schema).parquet(path)
