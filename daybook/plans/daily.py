@@ -27,7 +27,7 @@ from daybook.plans.staging import Preview, Staged, stage_bookings, stage_custome
 from daybook.sources.tables import (
     Snapshot,
     adopt,
-    overwrite_table,
+    create_table,
     publish,
     read_table,
     row_count,
@@ -133,7 +133,7 @@ def _merge_in_place(
     if table_exists(spark, target):
         merge_into(updates, target, rule)
     else:
-        overwrite_table(updates, target, params.table_format)
+        create_table(updates, target, params.table_format)
 
 
 def _both(spark: SparkSession, *jobs: Callable[[], object]) -> list:

@@ -6,7 +6,8 @@ is a single catalog change. A run that dies earlier leaves the view as it was,
 and the next run overwrites the unfinished slot: every table has a fixed folder
 below its database, so files without a catalog entry are overwritten too. Readers
 see the old rows or the new ones, never a mix. Two copies are kept; an adopted
-table is a third one until the publish after the first, which drops it.
+table is a third one until the publish after the first, which drops it (the files
+of an adopted external table are not the catalog's, and stay).
 """
 
 from __future__ import annotations
@@ -51,6 +52,11 @@ def overwrite_table(
     writer.saveAsTable(name)
 
 
+def create_table(df: DataFrame, name: str, table_format: str = "parquet") -> None:
+    """Create a table that the catalog manages, for formats that commit by themselves."""
+    df.write.format(table_format).saveAsTable(name)
+
+
 def _folder(spark: SparkSession, name: str) -> str:
     """The table's folder below its database."""
     *database, table = name.split(".")

@@ -51,3 +51,16 @@ def test_seed_and_status_values(spark):
 def test_huge_ids_do_not_overflow(spark):
     assert mock_bookings(ids_from(spark, 9_000_000_000_000_000_000, 3)).count() == 3
     assert len(mock_customers(ids_from(spark, 9_000_000_000_000_000_000, 3)).collect()) == 3
+
+
+def test_the_mock_job_writes_a_day_the_other_jobs_read(spark, database, tmp_path):
+    from daybook.__main__ import JOBS, parse
+
+    job, params, preview = parse(
+        ["mock", "--date", "20241016", "--path", str(tmp_path), "--staging_bookings_delta", f"{database}.b",
+         "--staging_customers_delta", f"{database}.c"]
+    )
+    assert (job, preview) == ("mock", False)
+    assert JOBS[job](spark, params) == str(tmp_path)
+    assert JOBS["bookings"](spark, params).rows_read == 175
+    assert JOBS["customers"](spark, params).rows_read == 150

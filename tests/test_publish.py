@@ -1,3 +1,6 @@
+from pathlib import Path
+from urllib.parse import urlparse
+
 import pytest
 
 from daybook.sources import tables
@@ -112,8 +115,10 @@ def test_a_plain_table_is_adopted(spark, database):
 
 def test_the_adopted_table_goes_when_both_slots_are_live(spark, database):
     target = f"{database}.bookings"
-    overwrite_table(day(spark, "a"), target)
+    day(spark, "a").write.saveAsTable(target)
     adopt(spark, target)
+    adopted = Path(urlparse(spark.table(f"{target}__adopted").inputFiles()[0]).path)
+    assert adopted.exists()
     for keys, names in (
         (["b"], {"bookings", "bookings__a", "bookings__adopted"}),
         (["c"], {"bookings", "bookings__a", "bookings__b"}),
@@ -122,6 +127,7 @@ def test_the_adopted_table_goes_when_both_slots_are_live(spark, database):
         publish(spark, write_snapshot(spark, day(spark, *keys), target))
         assert ids(spark.table(target), "booking_id") == keys
         assert {t.name for t in spark.catalog.listTables(database)} == names
+    assert not adopted.exists()
 
 
 @pytest.mark.parametrize("left", ["bookings__a", "bookings__b", "staging"])

@@ -50,7 +50,7 @@ def test_duration_follows_the_session_zone_unless_told(spark, settings):
 def test_customer_columns(spark):
     row = reshape_customers(customers(spark, {}), "2025-01-01").first()
     assert row.signup_date == datetime.date(2024, 1, 15)
-    assert row.phone_number == "(506) 975-7321"
+    assert row.phone_number == "(202) 555-0143"
     assert row.tenure_in_days == 352
 
 
