@@ -233,41 +233,53 @@ def _summed(model: _Unigram, large: dict[int, tuple[int, int]]):
     """All pairs of a partition to sums per document (kind 0), per context (1), and what backs off (2)."""
 
     def total(group: pd.DataFrame) -> pd.DataFrame:
+        # Arrays as long as the partition has tokens are narrow, and dropped once they are used.
         blobs = [_unpacked(b) for b in group["blob"]]
-        w = np.concatenate([b[0][b[1]] for b in blobs])
-        v = np.concatenate([b[2][b[3]] for b in blobs])
         offsets = np.cumsum([0, *[len(b[4]) for b in blobs]])
         doc = np.concatenate([b[6] + np.uint32(o) for b, o in zip(blobs, offsets[:-1], strict=True)])
         keys = np.concatenate([b[4] for b in blobs])
         train = np.concatenate([b[5] for b in blobs]).astype(bool)[doc]
+        w = np.concatenate([b[0][b[1]] for b in blobs])
+        v = np.concatenate([b[2][b[3]] for b in blobs])
         del blobs
+        pair = _mixed(_mixed(w) + v)
         words, in_w = np.unique(w, return_inverse=True)
+        in_w = in_w.astype(np.uint32)
+        del w
         count = np.bincount(in_w[train], minlength=len(words))
         for h, (c, _) in large.items():
             at = np.searchsorted(words, np.uint64(h))
             if at < len(words) and words[at] == np.uint64(h):
                 count[at] = c
-        pair = _mixed(_mixed(w) + v)
         _, first, in_pair = np.unique(pair, return_index=True, return_inverse=True)
         del pair
-        pair_count = np.bincount(in_pair[train], minlength=len(first))
+        pair_w, pair_v = in_w[first], v[first]
+        pair_count = np.bincount(in_pair[train], minlength=len(first)).astype(np.int32)
+        seen = pair_count[in_pair]
+        del in_pair, first, train
         share = model.share(count)
 
         n_docs = len(keys)
-        seen = pair_count[in_pair]
-        gain = np.where(seen > GOOD_TURING, np.log10(np.maximum(seen - LARGE_DISCOUNT, 0.5)), 0.0)
         own = np.where((count > 0) & (words != _END), np.log10(np.maximum(count, 1)), 0.0)
-        gain -= own[in_w]
-        gain += np.where(seen == 0, np.log10(share)[in_w], 0.0)
-        sums = lambda x: np.bincount(doc, weights=x, minlength=n_docs)
+        low = np.log10(share)
+        gain = -own[in_w]
+        many, off = np.flatnonzero(seen > GOOD_TURING), np.flatnonzero(seen == 0)
+        gain[many] += np.log10(seen[many] - LARGE_DISCOUNT)
+        gain[off] += low[in_w[off]]
+        of_doc = lambda some: np.bincount(doc[some], minlength=n_docs).astype(np.int32)
         per_doc = {"kind": 0, "key": keys, "v": 0, "total": np.bincount(doc, minlength=n_docs)}
-        per_doc["known"] = np.bincount(doc[count[in_w] > 0], minlength=n_docs)
+        per_doc["known"] = of_doc((count > 0)[in_w])
         for r, name in enumerate(_COUNTS, 1):
-            per_doc[name] = np.bincount(doc[seen == r], minlength=n_docs)
-        per_doc["a"], per_doc["b"] = sums(np.log10(count + 0.1)[in_w]), sums(gain)
+            per_doc[name] = of_doc(seen == r)
+        per_doc["b"] = np.bincount(doc, weights=gain, minlength=n_docs)
+        del gain
+        per_doc["a"] = np.bincount(doc, weights=np.log10(count + 0.1)[in_w], minlength=n_docs)
+        back = {"kind": 2, "key": keys[doc[off]], "v": v[off].view(np.int64), "total": 1, "known": 0, "a": 0.0, "b": 0.0}
+        back |= dict.fromkeys(_COUNTS, 0)
+        del in_w, v, seen, doc
 
         known_pairs = pair_count > 0
-        pair_v, pair_c = v[first][known_pairs], pair_count[known_pairs]
+        pair_v, pair_c = pair_v[known_pairs], pair_count[known_pairs]
         contexts, in_v = np.unique(pair_v, return_inverse=True)
         n_v = len(contexts)
         add = lambda x: np.bincount(in_v, weights=x, minlength=n_v)
@@ -275,11 +287,8 @@ def _summed(model: _Unigram, large: dict[int, tuple[int, int]]):
         for r, name in enumerate(_COUNTS, 1):
             per_v[name] = np.bincount(in_v[pair_c == r], minlength=n_v)
         per_v["a"] = add(np.where(pair_c > GOOD_TURING, pair_c - LARGE_DISCOUNT, 0.0))
-        per_v["b"] = add(share[in_w[first][known_pairs]])
+        per_v["b"] = add(share[pair_w[known_pairs]])
 
-        off = np.flatnonzero(seen == 0)
-        back = {"kind": 2, "key": keys[doc[off]], "v": v[off].view(np.int64), "total": 1, "known": 0, "a": 0.0, "b": 0.0}
-        back |= dict.fromkeys(_COUNTS, 0)
         return pd.concat([pd.DataFrame(x) for x in (per_doc, per_v, back)], ignore_index=True)
 
     return total
@@ -320,7 +329,7 @@ def scores(docs: DataFrame, train: Column) -> DataFrame:
     pairs = keyed.select("text", "key", "train").mapInPandas(_pairs(parts, large), "part int, blob binary")
     counts = ", ".join(f"{n} long" for n in _COUNTS)
     schema = f"kind int, key long, v long, total long, known long, {counts}, a double, b double"
-    summed = stored(pairs.groupBy("part").applyInPandas(_summed(model, large), schema), "kind")
+    summed = stored(pairs.groupBy("part").applyInPandas(_summed(model, large), schema), "kind", compression="zstd")
     return _put_together(keyed, summed, n_tokens, n_types)
 
 
@@ -341,8 +350,8 @@ def _put_together(keyed: DataFrame, summed: DataFrame, n_tokens: int, n_types: i
     weight = contexts.select(
         F.col("key").alias("v"), (F.log10(left / (1 - F.col("low"))) + F.log10(F.col("c").cast("double"))).alias("add")
     )
-    off = of(2).groupBy("key", "v").agg(F.sum("total").alias("n"))
-    backed = off.join(weight, "v", "left").groupBy("key").agg(F.sum(F.col("n") * F.coalesce("add", F.lit(0.0))).alias("add"))
+    off = of(2).select("key", "v").join(weight, "v", "left")
+    backed = off.groupBy("key").agg(F.sum(F.coalesce("add", F.lit(0.0))).alias("add"))
 
     gains = sum((F.col(n) * float(np.log10((i + 1) * x)) for i, (n, x) in enumerate(zip(small, d, strict=True))), F.col("b"))
     documents = (
