@@ -35,6 +35,8 @@ PROBES = (1, 2, 4, 8, 12, 16, 24, 32, 48, 64)
 SAMPLE, QUERIES = 12_000, 300
 #: Share of true neighbours that the fit must find in the sample.
 RECALL = 0.95
+#: Finds a task gathers before it keeps the best of each query.
+GATHERED = 100_000
 #: A bucket with more vectors is searched in parts of about this size.
 PART = 4096
 BROADCAST_ROWS = 500_000
@@ -172,10 +174,17 @@ def _searched(k: int):
             row, col = row[order], col[order]
             place = np.arange(len(row)) - np.searchsorted(row, row)
             row, col = row[place < k], col[place < k]
-            yield pd.DataFrame({"qid": part["vid"].to_numpy()[row], "vid": ids[col]})
+            qid = part["vid"].to_numpy()[row]
+            yield pd.DataFrame({"qid": qid, "vid": ids[col], "first": first[col], "near": scores[row, col].round(12)})
+
+    def kept(found: list[pd.DataFrame]) -> pd.DataFrame:
+        """The k best of each query among the finds of a task."""
+        rows = pd.concat(found, ignore_index=True).drop_duplicates(["qid", "vid"])
+        rows = rows.sort_values(["qid", "near", "first"], ascending=[True, False, True])
+        return rows[rows.groupby("qid").cumcount() < k]
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, block = None, []
+        current, block, found, limit = None, [], [], GATHERED
         for batch in batches:
             for key, rows in batch.groupby(["dim", "table", "bucket", "part"], sort=False):
                 if key != current:
@@ -184,7 +193,12 @@ def _searched(k: int):
                 if len(stored_rows):
                     block.append(stored_rows)
                 if len(probes) and block:
-                    yield from best(block, probes)
+                    found += best(block, probes)
+            if sum(map(len, found)) > limit:
+                found = [kept(found)]
+                limit = GATHERED + len(found[0])
+        if found:
+            yield kept(found)
 
     return search
 
@@ -266,7 +280,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, index: Index | N
     entries = entries.join(large, bucket, "left").withColumn("part", mine).drop("parts")
     lookups = lookups.join(large, bucket, "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
     dealt = entries.unionByName(lookups).repartition(*bucket, "part").sortWithinPartitions(*bucket, "part", "probe")
-    found = dealt.mapInPandas(_searched(k + 1), "qid long, vid long").distinct()
+    found = dealt.mapInPandas(_searched(k + 1), "qid long, vid long, first long, near double").distinct()
+    nearest_first = W.partitionBy("qid").orderBy(F.desc("near"), "first")
+    found = found.withColumn("place", F.row_number().over(nearest_first)).where(F.col("place") <= k + 1).drop("first", "near", "place")
 
     a = known.select(F.col("vid").alias("qid"), F.col("embedding").alias("a"))
     b = known.select("vid", "ids", F.col("embedding").alias("b"))
