@@ -145,10 +145,10 @@ def merge_rows(
 
     ``auto`` measures the staged rows and broadcasts them if they stay below the
     limit; ``broadcast`` raises if they do not; ``shuffle`` never broadcasts
-    them. The result is the same. Either writes the staged keys and those of them
-    that the target holds to scratch tables, and raises before anything else is
-    written if a target row would be changed twice. ``updates`` is read several
-    times: pass a table.
+    them. The result is the same. A large merge, or one with repeated keys, writes
+    the staged keys that the target holds to scratch tables; all raise before
+    anything else is written if a target row would be changed twice. ``updates`` is
+    read several times: pass a table.
     """
     if strategy not in ("auto", "broadcast", "shuffle"):
         raise ValueError(f"unknown strategy {strategy!r}")
@@ -158,15 +158,17 @@ def merge_rows(
 
     key = rule.key
     updates = _storable(updates, target, key)
-    per_key = stored(_per_key(updates, key))
+    per_key = _per_key(updates, key)
     profile = _totals(per_key, key)
-    small = profile.bytes is not None and profile.bytes <= broadcast_limit_bytes
-    if strategy == "broadcast" and not small:
+    fits = profile.bytes is not None and profile.bytes <= broadcast_limit_bytes
+    if strategy == "broadcast" and not fits:
         raise ValueError(f"staged rows of {profile.bytes} bytes exceed {broadcast_limit_bytes}")
-    place = F.broadcast if small and strategy != "shuffle" else lambda side: side
+    small = fits and strategy != "shuffle"
+    place = F.broadcast if small else lambda side: side
 
-    met = _met(target, per_key, rule, place)
+    met = _met(target, per_key if small else stored(per_key), rule, small)
     if profile.repeated_keys:
+        met = stored(met) if small else met
         repeated = met.filter(F.col(_COPIES) > 1)
         _reject_ambiguous(repeated.filter(_ACTS), key)
         # A repeated key may still meet target rows without a status. They are
@@ -178,18 +180,20 @@ def merge_rows(
     return _apply(target, acting, rule, place).unionByName(_like(inserted, target))
 
 
-def _met(target, per_key, rule: MergeRule, place) -> DataFrame:
+def _met(target, per_key, rule: MergeRule, small: bool) -> DataFrame:
     """The staged keys that the target holds, once each: key, copies, and whether a row would change.
 
-    Reads the target's key and status. The matches are stored before they are
+    Reads the target's key and status. Large matches are stored before they are
     combined per key: an aggregate right above the join would keep its partitions
-    together, and so a hot key in one task.
+    together, and so a hot key in one task. After a broadcast join there is nothing
+    to keep together.
     """
     key = rule.key
     acts = F.col(rule.status).isNotNull() if rule.delete_on == "target" else F.lit(True)
-    staged = place(per_key.filter(F.col(key).isNotNull()).select(key, _COPIES))
-    matches = stored(target.select(key, acts.alias(_ACTS)).join(staged, key))
-    return stored(matches.groupBy(key, _COPIES).agg(F.bool_or(_ACTS).alias(_ACTS)))
+    staged = per_key.filter(F.col(key).isNotNull()).select(key, _COPIES)
+    matches = target.select(key, acts.alias(_ACTS)).join(F.broadcast(staged) if small else staged, key)
+    each = (matches if small else stored(matches)).groupBy(key, _COPIES).agg(F.bool_or(_ACTS).alias(_ACTS))
+    return each if small else stored(each)
 
 
 def _storable(updates: DataFrame, target: DataFrame, key: str) -> DataFrame:
