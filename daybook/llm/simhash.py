@@ -218,7 +218,11 @@ def keep_one(
     It is the one of least doc_id, then text hash, null first; of rows equal in both, one
     stays. Texts are not shuffled while the documents to remove are at most BROADCAST_ROWS.
     """
-    found = near_duplicates(docs, shingle, max_bits, segments)
+    return keep_first(docs, near_duplicates(docs, shingle, max_bits, segments))
+
+
+def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``found`` (doc_id, text_hash, kept; one row each) keeps, as in ``keep_one``."""
     here = F.struct("doc_id", "text_hash")
     keys = found.groupBy("doc_id", "text_hash").agg(
         F.count(F.lit(1)).alias("_rows"), F.first(here.eqNullSafe(F.col("kept"))).alias("_stays")

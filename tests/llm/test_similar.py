@@ -1,0 +1,71 @@
+"""Near-duplicates of the pipeline: against brute-force Jaccard."""
+
+import random
+
+import pytest
+
+import corpus_pipeline
+from daybook.llm import simhash, similar
+from tests.llm.test_duplicates import closure
+
+
+def plain_shingles(text):
+    words = (text or "").translate({c: c + 32 for c in range(65, 91)}).split()
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("small, block, frequent", [(64, 1024, 200_000), (3, 4, 200_000), (3, 4, 0), (2, 1, 20)])
+def test_near_copies_by_brute_force(spark, monkeypatch, small, block, frequent):
+    monkeypatch.setattr(similar, "SMALL_LIST", small)
+    monkeypatch.setattr(similar, "BLOCK", block)
+    monkeypatch.setattr(similar, "FREQUENT", frequent)
+    draw = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    shared = [draw.choice(vocabulary) for _ in range(30)]
+    texts = [None, "", " \n", "one", "One", "a b c d e", "a b c d e f"]
+    for _ in range(12):
+        base = shared + [draw.choice(vocabulary) for _ in range(draw.choice([5, 60, 200]))]
+        for _ in range(draw.randint(1, 9)):
+            words = list(base)
+            for _ in range(draw.randint(0, 6)):
+                words[draw.randrange(len(words))] = draw.choice(vocabulary)
+            texts.append(" ".join(words))
+    rows = [(i, t, "x") for i, t in enumerate(texts)] + [(None, texts[-1], "x"), (2, texts[2], "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sets = [plain_shingles(r[1]) for r in rows]
+    linked = lambda i, j: jaccard(sets[i], sets[j]) >= 0.8
+    roots = closure(len(rows), linked)
+    some = sum(linked(i, j) and rows[i][1] != rows[j][1] for i in range(len(rows)) for j in range(i))
+    assert some > 30 and len(set(roots)) > 15
+    got = similar.similar_documents(docs).collect()
+    assert len(got) == len(rows)
+    want = {}
+    for i, root in enumerate(roots):
+        want.setdefault(root, []).append(rows[i][0])
+    expected = {(rows[i][0], min(x for x in want[root] if x is not None)) for i, root in enumerate(roots)}
+    assert {(r["doc_id"], r["component_id"]) for r in got} == expected
+    kept = similar.keep_one(docs)
+    assert kept.columns == docs.columns and kept.count() == len(set(roots))
+    assert similar.keep_one(docs.limit(0)).count() == 0
+
+
+def test_stage_removes_copies_beyond_three_bits(spark):
+    """Pairs of similarity 0.8 to 1 whose fingerprints differ by more than 3 bits."""
+    draw = random.Random(6)
+    rows = []
+    for n in range(12):
+        words = [f"t{n}x{draw.randrange(5000)}" for _ in range(300)]
+        rows.append((2 * n, " ".join(words)))
+        for at in (40, 120, 200, 260):
+            words[at] = "changed"
+        rows.append((2 * n + 1, " ".join(words)))
+    far = [(simhash.fingerprint(rows[i][1], 5) ^ simhash.fingerprint(rows[i + 1][1], 5)) % (1 << 64) for i in range(0, 24, 2)]
+    assert sum(x.bit_count() > 3 for x in far) > 6
+    assert all(0.8 <= jaccard(plain_shingles(rows[i][1]), plain_shingles(rows[i + 1][1])) < 1 for i in range(0, 24, 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = corpus_pipeline.without_near_duplicates(spark, docs, "")
+    assert sorted(r["doc_id"] for r in out.collect()) == list(range(0, 24, 2))
