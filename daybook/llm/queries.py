@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import ann, decontaminate, katz, lines, mixing, pii, quality, simhash, toxicity, urls
+from daybook.llm import ann, decontaminate, katz, lines, mixing, phrases, pii, quality, simhash, toxicity, urls
 
 QUERIES = {}
 ORACLE = {}
@@ -195,6 +195,54 @@ def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+ORACLE["op11_phrases"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ;:!?,' || chr(10) || chr(11) || chr(12) || chr(13) || chr(9),
+                     'abcdefghijklmnopqrstuvwxyz......... '), '.')) AS piece
+  FROM documents),
+worded AS MATERIALIZED (
+  SELECT lang, list_filter(string_split(piece, ' '), lambda w: w <> '') AS w FROM pieces),
+counts AS MATERIALIZED (
+  SELECT lang, phrase, words, count(*) AS f
+  FROM (SELECT lang, n AS words,
+               unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS phrase
+        FROM worded, (VALUES (1), (2), (3), (4)) sizes(n))
+  GROUP BY ALL),
+known AS MATERIALIZED (SELECT * FROM counts WHERE f >= 30),
+cand AS MATERIALIZED (SELECT lang, phrase, words, f AS a, string_split(phrase, ' ') AS w FROM known WHERE words > 1),
+split AS MATERIALIZED (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, words)) AS k FROM cand)),
+heads AS MATERIALIZED (
+  SELECT s.*, x.f AS l FROM split s JOIN known x ON x.lang || ' ' || x.phrase = s.lang || ' ' || s.head),
+cuts AS (
+  SELECT h.lang, h.phrase, h.a, h.k, h.l, y.f AS r,
+         CAST(2000000 AS HUGEINT) * h.a // (CAST(h.l AS HUGEINT) + y.f) AS score
+  FROM heads h JOIN known y ON y.lang || ' ' || y.phrase = h.lang || ' ' || h.tail),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, array_to_string(w[pos:pos + size - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, words - size + 2)) AS pos
+        FROM (SELECT *, unnest(range(2, words)) AS size FROM cand WHERE words > 2))
+  GROUP BY ALL),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN inside i USING (lang, phrase)
+  WHERE i.longer IS NULL OR CAST(100 AS HUGEINT) * i.longer < CAST(80 AS HUGEINT) * b.a),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE words = 1 GROUP BY lang)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
