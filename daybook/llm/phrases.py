@@ -38,7 +38,7 @@ TOP = 2_000
 #: log2 of the bits of a bitmap: 16 MB, whatever the input.
 BITS = 27
 #: Tokens that a task counts at a time.
-BLOCK = 1_500_000
+BLOCK = 1_200_000
 #: Parts in which the best phrases of a language are looked for before they are ranked together.
 RANK_PARTS = 256
 
@@ -48,6 +48,8 @@ _FOLD = bytes.maketrans(
 )
 _MULTIPLIER = np.uint64(0x9E37_79B9_7F4A_7C15)
 _MASK = (1 << BITS) - 1
+#: Words of 64 bits that come to the driver as one row.
+_CHUNK = 1 << 13
 _SHARD_KEYS = [xxhash.xxh64_intdigest(bytes([s])) & _MASK for s in range(256)]
 
 
@@ -69,40 +71,41 @@ class _Block:
     def add(self, text: str, lang: str, shard: int) -> None:
         ids = self.ids
         tokens = text.encode("utf-8", "replace").translate(_FOLD).replace(b"\n", b" \n ").split(b" ")
-        part = np.array([ids.setdefault(w, len(ids)) for w in tokens if w] + [0], dtype=np.int64)
+        part = np.array([ids.setdefault(w, len(ids)) for w in tokens if w] + [0], dtype=np.int32)
         self.parts.append(part)
         self.owners.append((len(part), self.langs.setdefault(lang, len(self.langs)), shard))
         self.size += len(part)
 
-    def close(self) -> None:
+    def close(self, longest: int) -> None:
         self.a = np.concatenate(self.parts)
         lengths, langs, shards = (np.array(x) for x in zip(*self.owners, strict=True))
+        self.parts, self.owners = [], []
         self.lang = np.repeat(langs.astype(np.int32), lengths)
         self.shard = np.repeat(shards.astype(np.uint8), lengths)
         self.words = list(self.ids)
         self.names = list(self.langs)
         word = np.array([xxhash.xxh64_intdigest(w) for w in self.words], dtype=np.uint64)
         name = np.array([xxhash.xxh64_intdigest(x.encode("utf-8", "replace"), 1) for x in self.names], dtype=np.uint64)
-        self.hash = word[self.a]
+        hashed = word[self.a]
         #: keys[n - 1][i]: hash of the n words from i on, with their language; ok: they are of one piece.
-        self.keys, self.ok = [_mix(self.hash + name[self.lang])], [self.a > 0]
-        for n in range(2, LONGEST + 1):
+        self.keys, self.ok = [_mix(hashed + name[self.lang])], [self.a > 0]
+        for n in range(2, longest + 1):
             last = self.keys[-1][:-1]
-            self.keys.append(_mix(last * _MULTIPLIER + self.hash[n - 1 :]))
+            self.keys.append(_mix(last * _MULTIPLIER + hashed[n - 1 :]))
             self.ok.append(self.ok[-1][:-1] & (self.a[n - 1 :] > 0))
 
 
-def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[_Block]:
+def _blocks(batches: Iterator[pd.DataFrame], longest: int = LONGEST) -> Iterator[_Block]:
     block = _Block()
     for batch in batches:
         for text, lang, shard in zip(batch["text"], batch["lang"], batch["shard"], strict=True):
             block.add(text, lang, shard)
             if block.size >= BLOCK:
-                block.close()
+                block.close(longest)
                 yield block
                 block = _Block()
     if block.size:
-        block.close()
+        block.close(longest)
         yield block
 
 
@@ -119,7 +122,7 @@ def _has(bits: np.ndarray, index: np.ndarray) -> np.ndarray:
 
 
 def _pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for block in _blocks(batches):
+    for block in _blocks(batches, 2):
         yield from _shard_counts(block, 2, block.ok[1])
 
 
@@ -178,20 +181,27 @@ def _phrases(candidates) -> Callable:
     return count
 
 
+def _chunk(rows: pd.DataFrame) -> pd.DataFrame:
+    bits = np.zeros(_CHUNK, dtype=np.int64)
+    bits[rows["word"].to_numpy(dtype=np.int64) % _CHUNK] = rows["bits"].to_numpy(dtype=np.int64)
+    return pd.DataFrame({"chunk": [int(rows["chunk"].iloc[0])], "bits": [bits.tobytes()]})
+
+
 def _bitmap(index: Column, keys: DataFrame):
-    """The keys' bits, broadcast. One row for each 64 bits that are not all zero comes to the driver."""
+    """The keys' bits, broadcast. They come to the driver in chunks, 16 MB together at most."""
     spark = keys.sparkSession
     word, bit = F.shiftright(index, 6), index.bitwiseAND(F.lit(63)).cast("int")
-    one = F.expr("shiftleft(1L, bit)")
     words = (
         keys.select(word.alias("word"), bit.alias("bit"))
         .groupBy("word")
-        .agg(F.bit_or(one).alias("bits"))
-        .toPandas()
+        .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+        .withColumn("chunk", F.expr(f"word div {_CHUNK}"))
     )
-    bits = np.zeros(1 << (BITS - 6), dtype=np.int64)
-    bits[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64)
-    return spark.sparkContext.broadcast(bits.tobytes())
+    whole = bytearray(1 << (BITS - 3))
+    for row in words.groupBy("chunk").applyInPandas(_chunk, "chunk long, bits binary").toLocalIterator():
+        at = row["chunk"] * _CHUNK * 8
+        whole[at : at + _CHUNK * 8] = row["bits"]
+    return spark.sparkContext.broadcast(bytes(whole))
 
 
 def phrase_counts(

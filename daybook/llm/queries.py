@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import ann, decontaminate, katz, lines, mixing, phrases, pii, quality, simhash, toxicity, urls
+from daybook.llm import ann, decontaminate, katz, lines, mixing, phrases, pii, quality, runs, simhash, toxicity, urls
+from daybook.llm.text import or_empty
 
 QUERIES = {}
 ORACLE = {}
@@ -243,6 +247,45 @@ FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
 
 
+def _planted(texts: pd.Series, ids: pd.Series) -> pd.Series:
+    """Every tenth text, by its id, goes on periodically from some word on."""
+
+    def planted(text: str, of: str) -> str:
+        h = zlib.crc32(of.encode())
+        g, w = h // 10, text.encode("utf-8", "replace").split() if h % 10 == 0 else []
+        if not w:
+            return text
+        n = len(w)
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        return b" ".join(w[:a] + [w[a + i % p] for i in range(n - a)]).decode()
+
+    return pd.Series([planted(t, i) for t, i in zip(texts, ids, strict=True)], dtype=object)
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    planted = F.pandas_udf(_planted, "string")(or_empty(F.col("text")), id_text)
+    found = runs.with_runs(docs.withColumn("text", planted))
+    longest = F.array_sort(
+        F.transform("runs", lambda r: F.struct((-r["length"]).alias("key"), r["start"], r["period"], r["length"]))
+    )
+    lines_ = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    top = F.col("top")
+    return found.withColumn("top", F.get(longest, F.lit(0))).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        top["start"].alias("start"),
+        top["length"].alias("length"),
+        top["period"].alias("period"),
+        F.expr("(1000 * top.length) div top.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines_, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
