@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from daybook.llm.bits import MASK, bitmap, has
 from daybook.llm.text import or_empty
 from daybook.scratch import stored
 
@@ -35,8 +36,6 @@ SHARDS = 8
 COVERED = 80
 SCALE = 2_000_000
 TOP = 2_000
-#: log2 of the bits of a bitmap: 16 MB, whatever the input.
-BITS = 27
 #: Tokens that a task counts at a time.
 BLOCK = 1_200_000
 #: Parts in which the best phrases of a language are looked for before they are ranked together.
@@ -47,10 +46,7 @@ _FOLD = bytes.maketrans(
     bytes(range(97, 123)) + b"\n" * 10 + b" ",
 )
 _MULTIPLIER = np.uint64(0x9E37_79B9_7F4A_7C15)
-_MASK = (1 << BITS) - 1
-#: Words of 64 bits that come to the driver as one row.
-_CHUNK = 1 << 13
-_SHARD_KEYS = [xxhash.xxh64_intdigest(bytes([s])) & _MASK for s in range(256)]
+_SHARD_KEYS = [xxhash.xxh64_intdigest(bytes([s])) & MASK for s in range(256)]
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -117,10 +113,6 @@ def _shard_counts(block: _Block, n: int, chosen: np.ndarray) -> Iterator[pd.Data
         yield pd.DataFrame({"key": key.view(np.int64), "shard": np.int32(shard), "n": count.astype(np.int64)})
 
 
-def _has(bits: np.ndarray, index: np.ndarray) -> np.ndarray:
-    return (bits[index >> np.uint64(3)] >> (index & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
-
-
 def _pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for block in _blocks(batches, 2):
         yield from _shard_counts(block, 2, block.ok[1])
@@ -131,8 +123,8 @@ def _longer(frequent) -> Callable:
         bits = np.frombuffer(frequent.value, dtype=np.uint8)
         salt = np.array(_SHARD_KEYS, dtype=np.uint64)
         for block in _blocks(batches):
-            index = (block.keys[1] & np.uint64(_MASK)) ^ salt[block.shard[:-1]]
-            pair = chosen = block.ok[1] & _has(bits, index)
+            index = (block.keys[1] & np.uint64(MASK)) ^ salt[block.shard[:-1]]
+            pair = chosen = block.ok[1] & has(bits, index)
             for n in range(3, LONGEST + 1):
                 chosen = chosen[:-1] & pair[n - 2 :]
                 yield from _shard_counts(block, n, chosen)
@@ -166,7 +158,7 @@ def _phrases(candidates) -> Callable:
             for n in range(1, LONGEST + 1):
                 chosen = block.ok[n - 1]
                 if n > 1:
-                    chosen = chosen & _has(bits, block.keys[n - 1] & np.uint64(_MASK))
+                    chosen = chosen & has(bits, block.keys[n - 1] & np.uint64(MASK))
                 starts, counts = _exact(block, n, chosen)
                 words, a = block.words, block.a
                 yield pd.DataFrame(
@@ -181,29 +173,6 @@ def _phrases(candidates) -> Callable:
     return count
 
 
-def _chunk(rows: pd.DataFrame) -> pd.DataFrame:
-    bits = np.zeros(_CHUNK, dtype=np.int64)
-    bits[rows["word"].to_numpy(dtype=np.int64) % _CHUNK] = rows["bits"].to_numpy(dtype=np.int64)
-    return pd.DataFrame({"chunk": [int(rows["chunk"].iloc[0])], "bits": [bits.tobytes()]})
-
-
-def _bitmap(index: Column, keys: DataFrame):
-    """The keys' bits, broadcast. They come to the driver in chunks, 16 MB together at most."""
-    spark = keys.sparkSession
-    word, bit = F.shiftright(index, 6), index.bitwiseAND(F.lit(63)).cast("int")
-    words = (
-        keys.select(word.alias("word"), bit.alias("bit"))
-        .groupBy("word")
-        .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
-        .withColumn("chunk", F.expr(f"word div {_CHUNK}"))
-    )
-    whole = bytearray(1 << (BITS - 3))
-    for row in words.groupBy("chunk").applyInPandas(_chunk, "chunk long, bits binary").toLocalIterator():
-        at = row["chunk"] * _CHUNK * 8
-        whole[at : at + _CHUNK * 8] = row["bits"]
-    return spark.sparkContext.broadcast(bytes(whole))
-
-
 def phrase_counts(
     docs: DataFrame, text: str = "text", lang: str = "lang", support: int = SUPPORT, shards: int = SHARDS
 ) -> DataFrame:
@@ -224,12 +193,12 @@ def phrase_counts(
         summed = counted.groupBy("key", "shard").agg(F.sum("n").alias("n"))
         return stored(summed.where(F.col("n") >= local_support).select("key", "shard"))
 
-    low = F.col("key").bitwiseAND(F.lit(_MASK))
+    low = F.col("key").bitwiseAND(F.lit(MASK))
     salts = F.array(*[F.lit(k).cast("long") for k in _SHARD_KEYS[:shards]])
     pairs = frequent(source.mapInPandas(_pairs, schema))
     in_shard = low.bitwiseXOR(F.get(salts, F.col("shard")))
-    longer = frequent(source.mapInPandas(_longer(_bitmap(in_shard, pairs)), schema))
-    candidates = _bitmap(low, pairs.unionByName(longer).select("key"))
+    longer = frequent(source.mapInPandas(_longer(bitmap(in_shard, pairs)), schema))
+    candidates = bitmap(low, pairs.unionByName(longer).select("key"))
     counted = source.mapInPandas(_phrases(candidates), "lang string, phrase string, words int, f long")
     summed = counted.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
     return stored(summed.where((F.col("words") == 1) | (F.col("f") >= support)))

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import ann, decontaminate, katz, lines, mixing, phrases, pii, quality, runs, simhash, toxicity, urls
+from daybook.llm import ann, decontaminate, katz, lines, mixing, phrases, pii, quality, repeats, runs, simhash, toxicity, urls
 from daybook.llm.text import or_empty
 
 QUERIES = {}
@@ -286,6 +286,34 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op13_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.drop_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLE["op13_repeated_passages"] = r"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+windows AS MATERIALIZED (
+  SELECT id, pos, array_to_string(w[pos:pos + 34], ' ') AS seq
+  FROM (SELECT id, w, unnest(range(1, len(w) - 33)) AS pos FROM docs)),
+repeated AS (SELECT id, pos FROM windows WHERE seq IN (SELECT seq FROM windows GROUP BY seq HAVING count(*) > 1)),
+gone AS (
+  SELECT id, list(DISTINCT word) AS words
+  FROM (SELECT id, unnest(range(pos, pos + 35)) AS word FROM repeated) GROUP BY id),
+judged AS (
+  SELECT d.doc_id, d.w, len(d.w) AS n_words, coalesce(len(g.words), 0) AS n_removed,
+         CASE WHEN g.id IS NULL THEN range(1, len(d.w) + 1)
+              ELSE list_sort(list_filter(range(1, len(d.w) + 1), lambda i: NOT list_contains(g.words, i))) END AS stay
+  FROM docs d LEFT JOIN gone g ON g.id = d.id)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string(list_transform(stay, lambda i: w[i]), ' '), '')) AS kept_sha256
+FROM judged
+"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
