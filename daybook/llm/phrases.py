@@ -37,7 +37,7 @@ COVERED = 80
 SCALE = 2_000_000
 TOP = 2_000
 #: Tokens that a task counts at a time.
-BLOCK = 1_200_000
+BLOCK = 400_000
 #: Parts in which the best phrases of a language are looked for before they are ranked together.
 RANK_PARTS = 256
 
