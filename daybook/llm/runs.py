@@ -34,7 +34,7 @@ from daybook.llm.text import or_empty
 
 MIN_LENGTH = 12
 #: Words of several documents that are worked on together; a longer document stands alone.
-BLOCK = 200_000
+BLOCK = 80_000
 #: Dyadic blocks looked up at a time.
 LOOKUPS = 1 << 18
 
