@@ -159,6 +159,8 @@ def _phrases(candidates) -> Callable:
                 chosen = block.ok[n - 1]
                 if n > 1:
                     chosen = chosen & has(bits, block.keys[n - 1] & np.uint64(MASK))
+                if not chosen.any():
+                    continue
                 starts, counts = _exact(block, n, chosen)
                 words, a = block.words, block.a
                 yield pd.DataFrame(

@@ -121,14 +121,18 @@ class _Block:
         for name in ("a", "h", "first", "windows", "doc"):
             setattr(self, name, getattr(self, name)[chosen])
 
-    def single(self) -> None:
-        """Each window a segment of its own, dealt by its words."""
-        which = np.repeat(np.arange(len(self.first)), self.windows)
-        offset = np.arange(len(which)) - np.repeat(np.cumsum(self.windows) - self.windows, self.windows)
+    def cut(self, chosen: np.ndarray) -> None:
+        """Each window of the chosen segments becomes a segment of its own, dealt by its words."""
+        parts = np.where(chosen, self.windows, 1)
+        which = np.repeat(np.arange(len(parts)), parts)
+        offset = np.arange(len(which)) - np.repeat(np.cumsum(parts) - parts, parts)
+        chosen = chosen[which]
         self.keep(which)
-        self.first, self.windows = self.first + offset, np.ones(len(which), dtype=np.int64)
-        self.h = self.hash(self.first, self.window)
-        self.a = _mix(self.h + np.uint64(0x5851_F42D_4C95_7F2D))
+        self.first = self.first + offset
+        self.windows = np.where(chosen, 1, self.windows)
+        own = self.hash(self.first, self.windows + self.window - 1)
+        self.h = np.where(chosen, own, self.h)
+        self.a = np.where(chosen, _mix(own + np.uint64(0x5851_F42D_4C95_7F2D)), self.a)
 
     def places(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         t = np.array(list(self.texts), dtype=np.int64).reshape(-1, 2)[self.doc]
@@ -138,8 +142,8 @@ class _Block:
         return b" ".join(self.words[self.first[i] : self.first[i] + self.windows[i] + self.window - 1]).decode()
 
 
-def _blocks(batches: Iterator[pd.DataFrame], window: int, repeated, hot=None) -> Iterator[_Block]:
-    """Blocks with the segments of repeated anchors; with ``hot`` those of hot anchors, window by window."""
+def _blocks(batches: Iterator[pd.DataFrame], window: int, repeated=None, hot=None) -> Iterator[_Block]:
+    """Blocks with the segments of repeated anchors; those of hot anchors are cut into windows."""
     block = _Block(window)
 
     def closed() -> _Block:
@@ -148,8 +152,7 @@ def _blocks(batches: Iterator[pd.DataFrame], window: int, repeated, hot=None) ->
             set_ = np.frombuffer(repeated.value, dtype=np.uint8)
             block.keep(bits.has(set_, block.a & np.uint64(bits.MASK)))
         if hot is not None:
-            block.keep(np.isin(block.a.view(np.int64), hot.value))
-            block.single()
+            block.cut(np.isin(block.a.view(np.int64), hot.value))
         return block
 
     for batch in batches:
@@ -162,18 +165,22 @@ def _blocks(batches: Iterator[pd.DataFrame], window: int, repeated, hot=None) ->
         yield closed()
 
 
-def _anchors(window: int) -> Callable:
+def _segments(window: int) -> Callable:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for block in _blocks(batches, window, None):
-            weight = np.array([n for _, n in block.texts.values()], dtype=np.int64)[block.doc]
-            a, which = np.unique(block.a, return_inverse=True)
-            n = np.bincount(which, weights=weight, minlength=len(a)).astype(np.int64)
-            yield pd.DataFrame({"a": a.view(np.int64), "n": n})
+        for block in _blocks(batches, window):
+            if not len(block.a):
+                continue
+            order = np.lexsort((block.h, block.a))
+            a, h = block.a[order], block.h[order]
+            weight = np.array([n for _, n in block.texts.values()], dtype=np.int64)[block.doc][order]
+            new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (h[1:] != h[:-1])])
+            n = np.add.reduceat(weight, new)
+            yield pd.DataFrame({"a": a[new].view(np.int64), "h": h[new].view(np.int64), "n": n})
 
     return count
 
 
-def _occurrences(window: int, repeated, hot=None) -> Callable:
+def _occurrences(window: int, repeated, hot) -> Callable:
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block in _blocks(batches, window, repeated, hot):
             weight = np.array([n for _, n in block.texts.values()], dtype=np.int64)
@@ -209,13 +216,16 @@ def _texts_at(window: int, repeated, hot, places) -> Callable:
         for block in _blocks(batches, window, repeated, hot):
             t1, _, start = block.places()
             block.keep(bits.has(set_, _place_index(t1, start.astype(np.int64))))
-            pairs = np.stack([block.a, block.h], 1)
-            _, one = np.unique(pairs, axis=0, return_index=True) if len(pairs) else (None, [])
+            if not len(block.a):
+                continue
+            order = np.lexsort((block.h, block.a))
+            a, h = block.a[order], block.h[order]
+            new = np.r_[True, (a[1:] != a[:-1]) | (h[1:] != h[:-1])]
             yield pd.DataFrame(
                 {
-                    "a": block.a[one].view(np.int64) if len(pairs) else [],
-                    "h": block.h[one].view(np.int64) if len(pairs) else [],
-                    "text": [block.text(i) for i in one],
+                    "a": a[new].view(np.int64),
+                    "h": h[new].view(np.int64),
+                    "text": [block.text(i) for i in order[new]],
                 }
             )
 
@@ -233,7 +243,8 @@ def _texts_of(window: int) -> Callable:
                 for w in wanted:
                     end = w["start"] + w["windows"] + window - 1
                     rows.append((w["a"], w["h"], b" ".join(words[w["start"] : end]).decode()))
-            yield pd.DataFrame(rows, columns=["a", "h", "text"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["a", "h", "text"])
 
     return find
 
@@ -364,10 +375,7 @@ def _segment_texts(texts: DataFrame, found: DataFrame, window: int, repeated, ho
     if found.count() <= BITMAP_KEYS:
         index = F.pandas_udf(_index_of_place, "long")(F.col("t1"), F.col("start").cast("long"))
         places = bits.bitmap(F.col("index"), found.select(index.alias("index")))
-        whole = texts.mapInPandas(_texts_at(window, repeated, None, places), _SEGMENT)
-        if hot is None:
-            return whole
-        return whole.unionByName(texts.mapInPandas(_texts_at(window, repeated, hot, places), _SEGMENT))
+        return texts.mapInPandas(_texts_at(window, repeated, hot, places), _SEGMENT)
     wanted = found.groupBy("t1", "t2").agg(F.collect_list(F.struct("a", "h", "start", "windows")).alias("wanted"))
     joined = texts.dropDuplicates(["t1", "t2"]).join(wanted, ["t1", "t2"])
     return joined.select("text", "wanted").mapInPandas(_texts_of(window), _SEGMENT)
@@ -378,28 +386,22 @@ def repeated_spans(texts: DataFrame, window: int = WINDOW) -> DataFrame:
 
     ``texts`` has text, not null, and t1, t2, hashes that tell different texts apart.
     """
-    spark = texts.sparkSession
-    anchors = texts.mapInPandas(_anchors(window), "a long, n long").groupBy("a").agg(F.sum("n").alias("n"))
-    twice = stored(anchors.where("n > 1").select("a"))
-    few = twice.count() <= BITMAP_KEYS
+    counted = texts.mapInPandas(_segments(window), "a long, h long, n long").groupBy("a", "h").agg(F.sum("n").alias("n"))
+    anchors = counted.groupBy("a").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("segments"))
+    twice = stored(anchors.where("n > 1").select("a", "segments"))
+    n_anchors, n_segments = twice.agg(F.count(F.lit(1)), F.sum("segments")).first()
+    few = n_anchors <= BITMAP_KEYS
     repeated = bits.bitmap(F.col("a").bitwiseAND(F.lit(bits.MASK)), twice) if few else None
-
-    def occurrences(hot=None) -> DataFrame:
-        found = texts.mapInPandas(_occurrences(window, repeated, hot), _OCCURRENCE)
-        return found if few or hot is not None else found.join(twice, "a", "left_semi")
-
-    places = stored(occurrences())
+    limit = max(ANCHOR_SEGMENTS, (n_segments or 0) // HOT_ANCHORS)
+    large = twice.where(F.col("segments") > limit).select("a")  # HOT_ANCHORS rows at most
+    hot_list = np.array([r["a"] for r in large.toLocalIterator()], dtype=np.int64)
+    hot = texts.sparkSession.sparkContext.broadcast(hot_list) if len(hot_list) else None
+    occurrences = texts.mapInPandas(_occurrences(window, repeated, hot), _OCCURRENCE)
+    if not few:  # windows of hot anchors have keys of their own
+        known = occurrences.join(twice, "a", "left").where("segments IS NOT NULL OR windows = 1")
+        occurrences = known.drop("segments")
+    places = stored(occurrences)
     found = stored(_representatives(places))
-    limit = max(ANCHOR_SEGMENTS, found.count() // HOT_ANCHORS)
-    large = stored(found.groupBy("a").agg(F.count(F.lit(1)).alias("segments")).where(F.col("segments") > limit))
-    hot_list = [r["a"] for r in large.select("a").toLocalIterator()]  # HOT_ANCHORS at most
-    hot = None
-    if hot_list:
-        hot = spark.sparkContext.broadcast(np.array(hot_list, dtype=np.int64))
-        single = stored(occurrences(hot))
-        cool = F.broadcast(large.select("a"))
-        places = places.join(cool, "a", "left_anti").unionByName(single)
-        found = stored(found.join(cool, "a", "left_anti").unionByName(_representatives(single)))
     segments = _segment_texts(texts, found, window, repeated, hot)
     streamed = segments.repartition("a").sortWithinPartitions("a", "h")
     spans = stored(streamed.mapInPandas(_streamed(window), "a long, h long, first array<int>, last array<int>"))
