@@ -38,6 +38,8 @@ SCALE = 2_000_000
 TOP = 2_000
 #: Tokens that a task counts at a time.
 BLOCK = 400_000
+#: Phrases that a task counts before it hands them on.
+COUNTED = 250_000
 #: Parts in which the best phrases of a language are looked for before they are ranked together.
 RANK_PARTS = 256
 
@@ -118,13 +120,18 @@ def _pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield from _shard_counts(block, 2, block.ok[1])
 
 
-def _longer(frequent) -> Callable:
+def _longer(frequent, local_support: int) -> Callable:
+    """Counts of longer phrases, and the words of frequent pairs, with a count that lets them pass."""
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = np.frombuffer(frequent.value, dtype=np.uint8)
         salt = np.array(_SHARD_KEYS, dtype=np.uint64)
         for block in _blocks(batches):
             index = (block.keys[1] & np.uint64(MASK)) ^ salt[block.shard[:-1]]
             pair = chosen = block.ok[1] & has(bits, index)
+            used = np.r_[pair, False] | np.r_[False, pair]
+            words = np.unique(block.keys[0][used])
+            yield pd.DataFrame({"key": words.view(np.int64), "shard": np.int32(0), "n": np.int64(local_support)})
             for n in range(3, LONGEST + 1):
                 chosen = chosen[:-1] & pair[n - 2 :]
                 yield from _shard_counts(block, n, chosen)
@@ -152,25 +159,32 @@ def _exact(block: _Block, n: int, chosen: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def _phrases(candidates) -> Callable:
+    """Rows (lang, phrase, words, f) of the candidates; phrase '' with words 0 stands for all words."""
+
+    def rows(counts: Counter) -> pd.DataFrame:
+        frame = pd.DataFrame(list(counts), columns=["lang", "phrase", "words"])
+        frame["f"] = np.array(list(counts.values()), dtype=np.int64)
+        return frame
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = np.frombuffer(candidates.value, dtype=np.uint8)
+        counts: Counter = Counter()
         for block in _blocks(batches):
+            words, names, a = block.words, block.names, block.a
+            sizes = np.bincount(block.lang[block.ok[0]], minlength=len(names)).tolist()
+            counts.update({(lang, "", 0): n for lang, n in zip(names, sizes, strict=True) if n})
             for n in range(1, LONGEST + 1):
-                chosen = block.ok[n - 1]
-                if n > 1:
-                    chosen = chosen & has(bits, block.keys[n - 1] & np.uint64(MASK))
+                chosen = block.ok[n - 1] & has(bits, block.keys[n - 1] & np.uint64(MASK))
                 if not chosen.any():
                     continue
-                starts, counts = _exact(block, n, chosen)
-                words, a = block.words, block.a
-                yield pd.DataFrame(
-                    {
-                        "lang": [block.names[x] for x in block.lang[starts]],
-                        "phrase": [b" ".join(words[w] for w in a[i : i + n]).decode() for i in starts],
-                        "words": np.int32(n),
-                        "f": counts.astype(np.int64),
-                    }
-                )
+                starts, found = _exact(block, n, chosen)
+                for i, lang, f in zip(starts.tolist(), block.lang[starts].tolist(), found.tolist(), strict=True):
+                    counts[names[lang], b" ".join([words[w] for w in a[i : i + n]]).decode(), n] += f
+            if len(counts) >= COUNTED:
+                yield rows(counts)
+                counts = Counter()
+        if counts:
+            yield rows(counts)
 
     return count
 
@@ -178,9 +192,10 @@ def _phrases(candidates) -> Callable:
 def phrase_counts(
     docs: DataFrame, text: str = "text", lang: str = "lang", support: int = SUPPORT, shards: int = SHARDS
 ) -> DataFrame:
-    """(lang, phrase, words, f): all single words, and all phrases of 2 to LONGEST words with f >= support.
+    """(lang, phrase, words, f): all phrases of 2 to LONGEST words with f >= support, and the words in them.
 
-    Words and pieces as in ``collocations``; f counts all occurrences, overlapping ones too.
+    Words and pieces as in ``collocations``; f counts all occurrences, overlapping ones too. A row
+    of each language with an empty phrase and words 0 has the number of all its words.
     """
     if not 1 <= shards <= len(_SHARD_KEYS):
         raise ValueError(f"shards must be 1 to {len(_SHARD_KEYS)}")
@@ -199,11 +214,11 @@ def phrase_counts(
     salts = F.array(*[F.lit(k).cast("long") for k in _SHARD_KEYS[:shards]])
     pairs = frequent(source.mapInPandas(_pairs, schema))
     in_shard = low.bitwiseXOR(F.get(salts, F.col("shard")))
-    longer = frequent(source.mapInPandas(_longer(bitmap(in_shard, pairs)), schema))
+    longer = frequent(source.mapInPandas(_longer(bitmap(in_shard, pairs), local_support), schema))
     candidates = bitmap(low, pairs.unionByName(longer).select("key"))
     counted = source.mapInPandas(_phrases(candidates), "lang string, phrase string, words int, f long")
     summed = counted.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
-    return stored(summed.where((F.col("words") == 1) | (F.col("f") >= support)))
+    return stored(summed.where((F.col("words") == 0) | (F.col("f") >= support)))
 
 
 def _exact_number(column: Column | str) -> Column:
@@ -230,7 +245,7 @@ def collocations(
     An empty table, and one without frequent phrases, gives no rows. Other columns are not read.
     """
     counts = phrase_counts(docs, text, lang, support, shards)
-    known = counts.where(F.col("f") >= support)
+    known = counts.where("words > 0")
     phrases = known.where("words > 1").select("lang", "phrase", "words", F.col("f").alias("a"))
     parts = phrases.withColumn("w", F.split("phrase", " ")).withColumn(
         "k", F.explode(F.expr("sequence(1, words - 1)"))
@@ -270,5 +285,5 @@ def collocations(
     ranked = found.withColumn("rank", rank)
     if top is not None:
         ranked = ranked.where(F.col("rank") <= top)
-    sizes = counts.where("words = 1").groupBy("lang").agg(F.sum("f").alias("n"))
+    sizes = counts.where("words = 0").select("lang", F.col("f").alias("n"))
     return ranked.join(sizes, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
