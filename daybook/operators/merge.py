@@ -1,21 +1,27 @@
 """Keyed merge of a day's staged rows into a target.
 
 The merge is a DataFrame of the target's new contents. Staged rows are brought to
-the target's types first, then both ways of computing it do the same:
+the target's types and counted per key first, then both ways of computing it do
+the same:
 
-* the staged rows are counted per key, and the target's keys and statuses are
-  joined to those counts: which staged keys the target holds, and which of the
-  repeated ones would change a row twice, is known before anything is written;
 * the target is left-joined to the staged rows, and the staged rows whose key it
-  does not hold are added. Rows without a key match nothing on either side.
+  does not hold are added. Rows without a key match nothing on either side, and
+  take part in no join;
+* keys that several staged rows carry are asked for in the target before anything
+  is written. If one meets a row that would change, the merge is refused; if
+  not, its rows are inserted or do nothing, and no other join sees them. Without
+  such keys, the usual case, nothing is asked and nothing is stored.
 
 Staged rows that are small enough, by measure, are broadcast, and the target is
 not shuffled. Otherwise both sides are shuffled by key, or the staged side alone
-if the target is bucketed by it. Every join is of a kind that adaptive execution
-splits on the side where a key may be hot: left outer and inner by the target's
-rows, left anti by the staged rows. Its inputs are exchanged directly, and the
-other side holds a key once, or few times. So a hot key takes as many tasks as its
-size calls for, and no list of hot keys is needed.
+if the target is bucketed by it; if the staged side is too, neither is. Which keys
+the target holds is read from its key column: keys are reduced to one a task before
+they are shuffled, and a bitmap of the staged keys' hashes, of fixed size, leaves out
+nearly all that are not staged.
+
+Joins in which a key of the target may be hot are left outer or inner by the target's
+rows with the exchanges right below, so adaptive execution splits them over tasks;
+the other side holds a key once. No list of hot keys is needed.
 """
 
 from __future__ import annotations
@@ -39,6 +45,13 @@ from daybook.scratch import stored
 
 _MATCHED, _NEW = "__matched", "__new_"
 _COPIES, _BYTES, _ACTS = "__copies", "__bytes", "__acts"
+_WORD, _BIT, _BITS = "__word", "__bit", "__bits"
+
+#: Rows of 64 bits in the filter of staged keys, what they take in a hash table, and
+#: the staged rows up to which the filter lets few others pass.
+FILTER_WORDS = 1 << 18
+FILTER_BYTES = FILTER_WORDS * 64
+FILTER_KEYS = 1 << 22
 
 
 class AmbiguousMergeError(ValueError):
@@ -145,10 +158,10 @@ def merge_rows(
 
     ``auto`` measures the staged rows and broadcasts them if they stay below the
     limit; ``broadcast`` raises if they do not; ``shuffle`` never broadcasts
-    them. The result is the same. A large merge, or one with repeated keys, writes
-    the staged keys that the target holds to scratch tables; all raise before
-    anything else is written if a target row would be changed twice. ``updates`` is
-    read several times: pass a table.
+    anything. The result is the same. A merge with repeated keys writes these, and a
+    large one the other staged rows, to scratch tables; it raises before anything
+    else is written if a target row would be changed twice. ``updates`` is read
+    several times: pass a table.
     """
     if strategy not in ("auto", "broadcast", "shuffle"):
         raise ValueError(f"unknown strategy {strategy!r}")
@@ -166,34 +179,65 @@ def merge_rows(
     small = fits and strategy != "shuffle"
     place = F.broadcast if small else lambda side: side
 
-    met = _met(target, per_key if small else stored(per_key), rule, small)
+    acting, added = updates.filter(F.col(key).isNotNull()), []
+    if profile.null_keys:
+        added.append(updates.filter(F.col(key).isNull()))
     if profile.repeated_keys:
-        met = stored(met) if small else met
-        repeated = met.filter(F.col(_COPIES) > 1)
-        _reject_ambiguous(repeated.filter(_ACTS), key)
+        repeated = stored(per_key.filter((F.col(_COPIES) > 1) & F.col(key).isNotNull()).select(key))
+        met = _met(target, repeated, rule, small)
+        _reject_ambiguous(met.filter(_ACTS), key)
         # A repeated key may still meet target rows without a status. They are
         # not changed, and the key is not new, so its staged rows do nothing.
-        acting = updates.join(place(repeated.select(key)), key, "left_anti")
+        new = repeated.join(place(met.select(key)), key, "left_anti")
+        added.append(updates.join(place(new if small else stored(new)), key, "left_semi"))
+        acting = acting.join(place(repeated), key, "left_anti")
+        acting = acting if small else stored(acting)
+    filtered = strategy == "auto" and not small and profile.rows <= FILTER_KEYS
+    if filtered and FILTER_BYTES <= broadcast_limit_bytes:
+        held = _possible(target.select(key), acting.select(key), key)
+    elif small:
+        held = target.select(key).join(F.broadcast(acting.select(key)), key, "left_semi")
     else:
-        acting = updates
-    inserted = updates.join(place(met.select(key)), key, "left_anti")
-    return _apply(target, acting, rule, place).unionByName(_like(inserted, target))
+        held = target.select(key)
+    added.append(acting.join(place(held.distinct()), key, "left_anti"))
+    kept = _apply(target, acting, rule, place)
+    return reduce(DataFrame.unionByName, [_like(rows, target) for rows in added], kept)
 
 
-def _met(target, per_key, rule: MergeRule, small: bool) -> DataFrame:
-    """The staged keys that the target holds, once each: key, copies, and whether a row would change.
+def _met(target, repeated, rule: MergeRule, small: bool) -> DataFrame:
+    """The repeated keys that the target holds, once each, and whether a row would change.
 
     Reads the target's key and status. Large matches are stored before they are
     combined per key: an aggregate right above the join would keep its partitions
-    together, and so a hot key in one task. After a broadcast join there is nothing
-    to keep together.
+    together, and so a hot key in one task.
     """
     key = rule.key
     acts = F.col(rule.status).isNotNull() if rule.delete_on == "target" else F.lit(True)
-    staged = per_key.filter(F.col(key).isNotNull()).select(key, _COPIES)
-    matches = target.select(key, acts.alias(_ACTS)).join(F.broadcast(staged) if small else staged, key)
-    each = (matches if small else stored(matches)).groupBy(key, _COPIES).agg(F.bool_or(_ACTS).alias(_ACTS))
-    return each if small else stored(each)
+    matches = target.select(key, acts.alias(_ACTS)).join(F.broadcast(repeated) if small else repeated, key)
+    each = (matches if small else stored(matches)).groupBy(key).agg(F.bool_or(_ACTS).alias(_ACTS))
+    return stored(each)
+
+
+def _possible(held: DataFrame, staged: DataFrame, key: str) -> DataFrame:
+    """The rows of ``held`` whose key may be staged: all that are, and few others.
+
+    A bit is set for each staged key, 64 of them to a broadcast row, FILTER_WORDS rows at most.
+    """
+
+    def word(df: DataFrame) -> Column:
+        return F.xxhash64(df[key]).bitwiseAND(F.lit(FILTER_WORDS - 1)).alias(_WORD)
+
+    def bit(df: DataFrame) -> Column:
+        # Other bits of the hash than those that choose the word.
+        return F.shiftrightunsigned(F.xxhash64(df[key]), 58).cast("int").alias(_BIT)
+
+    words = (
+        staged.select(word(staged), bit(staged))
+        .groupBy(_WORD)
+        .agg(F.bit_or(F.expr(f"shiftleft(1L, {_BIT})")).alias(_BITS))
+    )
+    probed = held.select(key, word(held), bit(held)).join(F.broadcast(words), _WORD)
+    return probed.filter(F.expr(f"getbit({_BITS}, {_BIT}) = 1")).select(key)
 
 
 def _storable(updates: DataFrame, target: DataFrame, key: str) -> DataFrame:

@@ -333,8 +333,8 @@ def test_small_updates_are_broadcast_and_the_target_is_not_shuffled(spark, saved
     text = plan(merge_rows(target, updates, BOOKINGS_RULE), "simple")
     assert text.count("BroadcastHashJoin") == 3
     assert "SortMergeJoin" not in text
-    # One brings staged keys together to count them, one the matched keys, combined before.
-    assert text.count("Exchange hashpartitioning") == 2
+    # Brings the held keys among the staged ones together, combined before.
+    assert text.count("Exchange hashpartitioning") == 1
 
 
 def test_large_updates_are_not_broadcast(spark, saved, settings):
@@ -354,13 +354,38 @@ def test_a_large_merge_reads_the_target_once_and_its_keys_once(spark, saved, set
     writes = []
     monkeypatch.setattr(merge, "stored", lambda df: writes.append(df) or stored(df))
     text = plan(merge_rows(target, updates, BOOKINGS_RULE, "shuffle"), "formatted")
-    files = str(target.inputFiles()[0]).rsplit("/", 1)[0]
-    assert text.count(files.split(":", 1)[1].lstrip("/")) == 1
+    assert writes == []
+    folder = str(target.inputFiles()[0]).rsplit("/", 1)[0].split(":", 1)[1].lstrip("/")
+    scans = [part for part in text.split("Scan parquet") if f"/{folder}]" in part]
+    assert len(scans) == 2
+    assert sorted("ReadSchema: struct<booking_id:string>" in part for part in scans) == [False, True]
     assert "SinglePartition" not in text
-    keys = plan(writes[1], "formatted")
-    schemas = [line for line in keys.splitlines() if line.startswith("ReadSchema")]
-    assert "ReadSchema: struct<booking_id:string,status:string>" in schemas
-    assert "SinglePartition" not in keys
+
+
+def test_repeated_keys_are_asked_for_alone(spark, saved, monkeypatch):
+    target, updates = saved("t", frame(spark, TARGET)), saved("u", frame(spark, [("new", "pending", 1.0)] * 3 + UPDATES))
+    writes = []
+    monkeypatch.setattr(merge, "stored", lambda df: writes.append(df.columns) or stored(df))
+    merged = merge_rows(target, updates, BOOKINGS_RULE, "shuffle")
+    assert writes[0] == ["booking_id"] and ["booking_id", "__acts"] in writes
+    assert bag(merged) == brute_force(TARGET, [("new", "pending", 1.0)] * 3 + UPDATES)
+
+
+def test_a_large_day_shuffles_few_other_keys_of_the_target(spark, saved, settings, monkeypatch):
+    """Of 60,000 keys of the target about the 600 staged ones pass the filter."""
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    target, updates, _ = hot_frames(spark, saved)
+    target = saved("t", target.unionByName(updates.withColumn("booking_id", F.concat(F.lit("o"), "booking_id"))))
+    updates = saved("u", updates.where("crc32(booking_id) % 50 = 0"))
+    possible = merge._possible(target.select("booking_id"), updates.select("booking_id"), "booking_id")
+    staged, met = updates.count(), updates.join(target, "booking_id", "left_semi").count()
+    assert possible.join(updates, "booking_id", "left_semi").count() == met > 100
+    assert possible.count() <= met + 10 < staged
+    want = bag(merge_rows(target, updates, BOOKINGS_RULE, "shuffle"))
+    monkeypatch.setattr(merge, "FILTER_BYTES", 1)
+    filtered = merge_rows(target, updates, BOOKINGS_RULE, broadcast_limit_bytes=100)
+    assert merge._WORD in plan(filtered, "simple")
+    assert bag(filtered) == want
 
 
 KEY_TYPES = {
