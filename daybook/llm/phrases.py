@@ -37,9 +37,9 @@ COVERED = 80
 SCALE = 2_000_000
 TOP = 2_000
 #: Tokens that a task counts at a time.
-BLOCK = 400_000
+BLOCK = 200_000
 #: Phrases that a task counts before it hands them on.
-COUNTED = 250_000
+COUNTED = 80_000
 #: Parts in which the best phrases of a language are looked for before they are ranked together.
 RANK_PARTS = 256
 
