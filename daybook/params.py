@@ -50,12 +50,24 @@ class PipelineParams:
     # then not shuffled by a merge; 0 stores them as they come. A bucket is read by one
     # task, so this is for keys that are unique, or nearly so.
     buckets: int = 0
+    # Snapshots are stored in so many parts by a hash of the merge key, and a day writes only
+    # the parts that hold its keys; 0 writes the whole target. Not together with buckets.
+    parts: int = 0
+    # What a run does with a target that says it holds this day already: "merge" again (which
+    # deletes and updates again), "skip" the target, or "refuse" the run.
+    on_published: str = "merge"
 
     def __post_init__(self):
         if not re.fullmatch(r"\d{8}", self.date):
             raise ValueError(f"date must be yyyyMMdd, got {self.date!r}")
         if self.target_mode not in ("snapshot", "row_level"):
             raise ValueError(f"unknown target_mode {self.target_mode!r}")
+        if self.on_published not in ("merge", "skip", "refuse"):
+            raise ValueError(f"unknown on_published {self.on_published!r}")
+        if self.parts and (self.buckets or self.table_format != "parquet"):
+            raise ValueError("parts are parquet, and not bucketed")
+        if self.on_published != "merge" and self.target_mode != "snapshot":
+            raise ValueError("only snapshots say which day they hold")
 
     @classmethod
     def from_mapping(cls, values: Mapping[str, str]) -> PipelineParams:

@@ -24,11 +24,14 @@ from daybook.operators.quality import (
 )
 from daybook.params import PipelineParams
 from daybook.plans.staging import Preview, Staged, stage_bookings, stage_customers
+from daybook.sources.parts import parts_in, read_parts, touched_parts, write_parts
 from daybook.sources.tables import (
     Snapshot,
     adopt,
     create_table,
+    current_slot,
     publish,
+    published_day,
     read_table,
     row_count,
     table_exists,
@@ -44,6 +47,10 @@ class Merged:
     customers: int
 
 
+class DayPublishedError(RuntimeError):
+    """A target holds the day already, and merging it again was to be refused."""
+
+
 @dataclass(frozen=True)
 class Day:
     staged_bookings: Staged
@@ -80,13 +87,19 @@ def check_and_merge(
             _merge_in_place(spark, params, *side)
         counts = [row_count(spark, target) for _, target, _ in sides]
     else:
+        done = [params.on_published != "merge" and _holds_day(spark, params, side[1]) for side in sides]
+        open_ = [side for side, is_done in zip(sides, done, strict=True) if not is_done]
         # Both results exist in full before either target changes.
         snapshots = _both(
             spark,
-            *[lambda s=side: _merge_to_snapshot(spark, params, *s) for side in sides],
+            *[lambda s=side: _merge_to_snapshot(spark, params, *s) for side in open_],
         )
-        publish(spark, *snapshots)
-        counts = [s.rows for s in snapshots]
+        publish(spark, *snapshots, day=params.date)
+        rows = {s.target: s.rows for s in snapshots}
+        counts = [
+            row_count(spark, target) if is_done else rows[target]
+            for (_, target, _), is_done in zip(sides, done, strict=True)
+        ]
     return Merged(*counts)
 
 
@@ -110,17 +123,27 @@ def _merge_to_snapshot(
     rule: MergeRule,
 ) -> Snapshot:
     adopt(spark, target)
-    contents = updates
-    if table_exists(spark, target):
-        contents = merge_rows(
-            read_table(spark, target),
-            updates,
-            rule,
-            broadcast_limit_bytes=params.broadcast_limit_bytes,
-        )
-    return write_snapshot(
-        spark, contents, target, params.table_format, params.buckets, rule.key
-    )
+    if not table_exists(spark, target):
+        if params.parts:
+            return write_parts(spark, updates, target, rule.key, params.parts)
+        return write_snapshot(spark, updates, target, params.table_format, params.buckets, rule.key)
+    slot = current_slot(spark, target)
+    rows, touched = read_table(spark, target), None
+    if params.parts and parts_in(spark, slot) == params.parts:
+        touched = touched_parts(rows, updates, rule.key, params.parts)
+        rows = read_parts(spark, slot, touched)
+    contents = merge_rows(rows, updates, rule, broadcast_limit_bytes=params.broadcast_limit_bytes)
+    if params.parts:
+        return write_parts(spark, contents, target, rule.key, params.parts, touched)
+    return write_snapshot(spark, contents, target, params.table_format, params.buckets, rule.key)
+
+
+def _holds_day(spark: SparkSession, params: PipelineParams, target: str) -> bool:
+    if published_day(spark, target) != params.date:
+        return False
+    if params.on_published == "refuse":
+        raise DayPublishedError(f"{target} holds {params.date} already")
+    return True
 
 
 def _merge_in_place(
@@ -139,5 +162,5 @@ def _merge_in_place(
 def _both(spark: SparkSession, *jobs: Callable[[], object]) -> list:
     """Run independent jobs side by side, so that one fills the other's gaps."""
     inherit = inheritable_thread_target(spark)
-    with ThreadPoolExecutor(len(jobs)) as pool:
+    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
         return [done.result() for done in [pool.submit(inherit(j)) for j in jobs]]

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.operators.clean import clean_bookings, clean_customers
+from daybook.operators.merge import BOOKINGS_RULE, CUSTOMERS_RULE
 from daybook.operators.reshape import reshape_bookings, reshape_customers
 from daybook.params import DATE_TIME_FORMAT, PipelineParams
 from daybook.sources.json_files import read_bookings, read_customers
@@ -48,6 +49,7 @@ def stage_bookings(
         raw,
         lambda df: bookings_plan(df, params.date_time_format, params.time_zone),
         params.staging_bookings_delta,
+        BOOKINGS_RULE.key,
         params,
         preview,
     )
@@ -61,6 +63,7 @@ def stage_customers(
         raw,
         lambda df: customers_plan(df, params.as_of_date),
         params.staging_customers_delta,
+        CUSTOMERS_RULE.key,
         params,
         preview,
     )
@@ -82,7 +85,7 @@ def show_preview(rows: int = 5, truncate: bool = False) -> Preview:
     return look
 
 
-def _stage(raw, plan, table, params, preview) -> Staged:
+def _stage(raw, plan, table, key, params, preview) -> Staged:
     if preview:
         preview(f"{table}: input", raw)
         preview(f"{table}: staged", plan(raw))
@@ -90,5 +93,7 @@ def _stage(raw, plan, table, params, preview) -> Staged:
     read, kept = Observation(), Observation()
     rows = F.count(F.lit(1)).alias("rows")
     staged = plan(raw.observe(read, rows)).observe(kept, rows)
-    overwrite_table(staged, table, params.table_format)
+    # In the targets' buckets, staged rows are dealt once, here, and a merge deals neither side.
+    dealt = staged.repartition(params.buckets, key) if params.buckets else staged
+    overwrite_table(dealt, table, params.table_format, params.buckets, key)
     return Staged(table, read.get["rows"], kept.get["rows"])

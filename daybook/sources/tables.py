@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 SLOT_SUFFIXES = ("__a", "__b")
 ADOPTED_SUFFIX = "__adopted"
 SLOT_PROPERTY = "daybook.slot"
+DAY_PROPERTY = "daybook.day"
+#: The column that a slot stored in parts is partitioned by; targets do not show it.
+PART = "__part"
 
 
 class PublishError(RuntimeError):
@@ -46,7 +49,7 @@ def overwrite_table(
 
     With ``buckets`` the rows are stored in so many hash buckets of ``key``, sorted by it.
     """
-    writer = df.write.format(table_format).mode("overwrite").option("path", _folder(df.sparkSession, name))
+    writer = df.write.format(table_format).mode("overwrite").option("path", folder_of(df.sparkSession, name))
     if buckets:
         writer = writer.bucketBy(buckets, key).sortBy(key)
     writer.saveAsTable(name)
@@ -57,7 +60,7 @@ def create_table(df: DataFrame, name: str, table_format: str = "parquet") -> Non
     df.write.format(table_format).saveAsTable(name)
 
 
-def _folder(spark: SparkSession, name: str) -> str:
+def folder_of(spark: SparkSession, name: str) -> str:
     """The table's folder below its database."""
     *database, table = name.split(".")
     database = ".".join(database) or spark.catalog.currentDatabase()
@@ -73,13 +76,30 @@ def current_slot(spark: SparkSession, name: str) -> str | None:
     """The table a target's view reads; None for an absent or plain table."""
     if not table_exists(spark, name) or not _is_view(spark, name):
         return None
-    rows = spark.sql(f"SHOW TBLPROPERTIES {quoted(name)}").collect()
-    slot = {r["key"]: r["value"] for r in rows}.get(SLOT_PROPERTY)
+    slot = _properties(spark, name).get(SLOT_PROPERTY)
     if slot is None:
         raise PublishError(f"{name} is a view this library did not create")
     return slot
 
 
+def unused_slot(spark: SparkSession, target: str) -> str:
+    """The slot that the target's view does not read."""
+    in_use = current_slot(spark, target)
+    return next(target + s for s in SLOT_SUFFIXES if target + s != in_use)
+
+
+def published_day(spark: SparkSession, name: str) -> str | None:
+    """The day whose rows were merged into a target last; None if it does not say."""
+    if not table_exists(spark, name) or not _is_view(spark, name):
+        return None
+    return _properties(spark, name).get(DAY_PROPERTY)
+
+
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {quoted(name)}").collect()
+    return {r["key"]: r["value"] for r in rows}
+
+
 def adopt(spark: SparkSession, name: str) -> None:
     """Turn an existing plain table into a target: rename it, put a view over it.
 
@@ -120,8 +140,7 @@ def write_snapshot(
     With ``buckets``, later merges by ``key`` do not shuffle the target. The rows are
     dealt by bucket first, so that there is one file for each.
     """
-    in_use = current_slot(spark, target)
-    slot = next(target + s for s in SLOT_SUFFIXES if target + s != in_use)
+    slot = unused_slot(spark, target)
     written = Observation()
     dealt = df.repartition(buckets, key) if buckets else df
     counted = dealt.observe(written, F.count(F.lit(1)).alias("rows"))
@@ -132,22 +151,26 @@ def write_snapshot(
     return Snapshot(target, slot, rows)
 
 
-def publish(spark: SparkSession, *snapshots: Snapshot) -> None:
-    """Repoint every target to its snapshot; on failure repoint those done back."""
-    done: list[tuple[str, str | None]] = []
+def publish(spark: SparkSession, *snapshots: Snapshot, day: str | None = None) -> None:
+    """Repoint every target to its snapshot; on failure repoint those done back.
+
+    A target remembers ``day`` from the same catalog change that repoints it.
+    """
+    done: list[tuple[str, str | None, str | None]] = []
     try:
         for snapshot in snapshots:
             before = current_slot(spark, snapshot.target)
-            _point(spark, snapshot.target, snapshot.slot)
-            done.append((snapshot.target, before))
+            day_before = published_day(spark, snapshot.target)
+            _point(spark, snapshot.target, snapshot.slot, day)
+            done.append((snapshot.target, before, day_before))
     except Exception:
-        for target, before in reversed(done):
+        for target, before, day_before in reversed(done):
             if before is None:
                 spark.sql(f"DROP VIEW IF EXISTS {quoted(target)}")
             else:
-                _point(spark, target, before)
+                _point(spark, target, before, day_before)
         raise
-    for target, before in done:
+    for target, before, _ in done:
         if before is not None and before.endswith(SLOT_SUFFIXES):
             # Both slots are live now.
             spark.sql(f"DROP TABLE IF EXISTS {quoted(target + ADOPTED_SUFFIX)}")
@@ -157,10 +180,15 @@ def _is_view(spark: SparkSession, name: str) -> bool:
     return spark.catalog.getTable(name).tableType == "VIEW"
 
 
-def _point(spark: SparkSession, name: str, slot: str) -> None:
-    literal = slot.replace("\\", "\\\\").replace("'", "\\'")
+def _point(spark: SparkSession, name: str, slot: str, day: str | None = None) -> None:
+    def literal(text: str) -> str:
+        return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    properties = {SLOT_PROPERTY: slot} | ({DAY_PROPERTY: day} if day is not None else {})
+    listed = ", ".join(f"{literal(k)} = {literal(v)}" for k, v in properties.items())
+    hidden = f" EXCEPT ({PART})" if PART in spark.table(slot).columns else ""
     spark.sql(
         f"CREATE OR REPLACE VIEW {quoted(name)} "
-        f"TBLPROPERTIES ('{SLOT_PROPERTY}' = '{literal}') "
-        f"AS SELECT * FROM {quoted(slot)}"
+        f"TBLPROPERTIES ({listed}) "
+        f"AS SELECT *{hidden} FROM {quoted(slot)}"
     )
