@@ -1,7 +1,7 @@
 """Phrase collocations by SON partitioning.
 
 A phrase is frequent if it occurs ``support`` times in its language. Documents are
-dealt into SHARDS shards by a hash of the text, and a phrase that is frequent over
+dealt into SHARDS shards by a hash of their id, so that copies spread evenly, and a phrase that is frequent over
 all occurs at least support / SHARDS times in one shard or other. So every shard
 is mined completely at that lower support, the phrases frequent in some shard are
 united, and exactly those are counted over all documents.
@@ -190,7 +190,12 @@ def _phrases(candidates) -> Callable:
 
 
 def phrase_counts(
-    docs: DataFrame, text: str = "text", lang: str = "lang", support: int = SUPPORT, shards: int = SHARDS
+    docs: DataFrame,
+    text: str = "text",
+    lang: str = "lang",
+    support: int = SUPPORT,
+    shards: int = SHARDS,
+    deal_by: str | None = None,
 ) -> DataFrame:
     """(lang, phrase, words, f): all phrases of 2 to LONGEST words with f >= support, and the words in them.
 
@@ -199,10 +204,13 @@ def phrase_counts(
     """
     if not 1 <= shards <= len(_SHARD_KEYS):
         raise ValueError(f"shards must be 1 to {len(_SHARD_KEYS)}")
-    whole = docs.select(
-        or_empty(F.col(text)).alias("text"), F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang")
+    whole = or_empty(F.col(text))
+    dealt_by = F.xxhash64(whole) if deal_by is None else F.xxhash64(F.col(deal_by), F.length(whole))
+    source = docs.select(
+        whole.alias("text"),
+        F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
+        F.pmod(dealt_by, F.lit(shards)).cast("int").alias("shard"),
     )
-    source = whole.withColumn("shard", F.pmod(F.xxhash64("text"), F.lit(shards)).cast("int"))
     local_support = -(-support // shards)
     schema = "key long, shard int, n long"
 
@@ -232,6 +240,7 @@ def collocations(
     support: int = SUPPORT,
     top: int | None = TOP,
     shards: int = SHARDS,
+    deal_by: str | None = None,
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the best phrases of each language, all of them if ``top`` is None.
 
@@ -241,10 +250,11 @@ def collocations(
     shortest first part); l and r count its parts. A phrase inside a longer one that accounts for
     COVERED percent of its occurrences goes.
 
-    A null text is empty, a null language is ``und``. Repeated rows count as often as they come.
+    ``deal_by`` names the column that deals documents to shards, by default the text; the result does
+    not depend on it. A null text is empty, a null language is ``und``. Repeated rows count as often as they come.
     An empty table, and one without frequent phrases, gives no rows. Other columns are not read.
     """
-    counts = phrase_counts(docs, text, lang, support, shards)
+    counts = phrase_counts(docs, text, lang, support, shards, deal_by)
     known = counts.where("words > 0")
     phrases = known.where("words > 1").select("lang", "phrase", "words", F.col("f").alias("a"))
     parts = phrases.withColumn("w", F.split("phrase", " ")).withColumn(

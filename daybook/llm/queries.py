@@ -201,7 +201,8 @@ def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return phrases.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return phrases.collocations(docs, deal_by="doc_id")
 
 
 ORACLE["op11_phrases"] = r"""
