@@ -37,6 +37,8 @@ class PipelineParams:
     file_prefix: str = ""
     # Reads pretty-printed files; such files are not splittable.
     multi_line: bool = False
+    # Reads arrays of flat records by many tasks, however long a line is.
+    split_arrays: bool = False
     # End date of the customer tenure; None means the day of the run.
     as_of_date: str | None = None
     # Zone the time texts are read in; None means the session's zone.
@@ -62,6 +64,8 @@ class PipelineParams:
             raise ValueError(f"date must be yyyyMMdd, got {self.date!r}")
         if self.target_mode not in ("snapshot", "row_level"):
             raise ValueError(f"unknown target_mode {self.target_mode!r}")
+        if self.split_arrays and self.multi_line:
+            raise ValueError("split_arrays reads records over several lines by itself")
         if self.on_published not in ("merge", "skip", "refuse"):
             raise ValueError(f"unknown on_published {self.on_published!r}")
         if self.parts and (self.buckets or self.table_format != "parquet"):

@@ -44,7 +44,7 @@ def customers_plan(raw: DataFrame, as_of_date: str | None = None) -> DataFrame:
 def stage_bookings(
     spark: SparkSession, params: PipelineParams, preview: Preview | None = None
 ) -> Staged:
-    raw = read_bookings(spark, params.input_path("bookings"), params.multi_line)
+    raw = read_bookings(spark, params.input_path("bookings"), params.multi_line, params.split_arrays)
     return _stage(
         raw,
         lambda df: bookings_plan(df, params.date_time_format, params.time_zone),
@@ -58,7 +58,7 @@ def stage_bookings(
 def stage_customers(
     spark: SparkSession, params: PipelineParams, preview: Preview | None = None
 ) -> Staged:
-    raw = read_customers(spark, params.input_path("customers"), params.multi_line)
+    raw = read_customers(spark, params.input_path("customers"), params.multi_line, params.split_arrays)
     return _stage(
         raw,
         lambda df: customers_plan(df, params.as_of_date),

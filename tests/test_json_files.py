@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from daybook.params import DATE_TIME_FORMAT, PipelineParams
 from daybook.schemas import BOOKINGS_RAW, CUSTOMERS_RAW
 from daybook.sources.json_files import read_bookings, read_customers, write_json
-from tests.helpers import GOOD_BOOKING, GOOD_CUSTOMER, bag, bookings, customers, ids
+from tests.helpers import GOOD_BOOKING, GOOD_CUSTOMER, bag, bookings, customers, ids, plan
 
 
 def saved(tmp_path, text):
@@ -119,3 +119,55 @@ def test_params_from_job_strings():
 def test_bad_params(values):
     with pytest.raises(ValueError):
         PipelineParams.from_mapping(values)
+
+
+# --- long arrays, cut into records ---
+
+PIECES = {
+    "one line": '[{"booking_id": "a", "total_amount": 1.5},{"booking_id":"b"} , {"booking_id": null}]',
+    "blanks": ' [ {"booking_id": "a" ,\t"status" : "x"}\n,\n{ } ] ',
+    "several arrays": '[{"booking_id":"a"}]\n[{"booking_id":"b"},{"booking_id":"c"}]\n[]\n',
+    "records by line": '{"booking_id":"a"}\n{"booking_id":"b","other":true}\n',
+    "escapes": r'[{"booking_id":"q\"\\","status":"x\u007d"},{"booking_id":"ä,[]:"}]',
+    "other types": '[{"booking_id":7,"total_amount":"12.5"},{"booking_id":-1.5,"total_amount":2e1}]',
+    "empty": "[]",
+    "nothing": "",
+    "brace in a value": '[{"booking_id":"a}"},{"booking_id":"{b"}]',
+    "nested": '[{"booking_id":"a","more":{"x":1}},{"booking_id":"b"}]',
+    "malformed": '{"booking_id":"a"}\n{"booking_id":\n{"booking_id":"c"}\n',
+    "cut off": '[{"booking_id":"a"},{"booking_id":"b"',
+    "null in an array": '[null,{"booking_id":"a"}]',
+}
+
+
+@pytest.mark.parametrize("name", [n for n in PIECES if n != "blanks"])
+def test_cut_arrays_give_the_same_rows(spark, tmp_path, name):
+    (tmp_path / "f.json").write_text(PIECES[name], encoding="utf-8")
+    path = str(tmp_path / "f.json")
+    assert bag(read_bookings(spark, path, split_arrays=True)) == bag(read_bookings(spark, path))
+
+
+def test_records_over_several_lines(spark, tmp_path):
+    (tmp_path / "f.json").write_text(PIECES["blanks"])
+    path = str(tmp_path / "f.json")
+    cut = read_bookings(spark, path, split_arrays=True)
+    assert bag(cut) == bag(read_bookings(spark, path, multi_line=True))
+    assert sorted((r["booking_id"] or "", r["status"] or "") for r in cut.collect()) == [("", ""), ("a", "x")]
+
+
+def test_one_line_takes_many_tasks(spark, tmp_path, settings):
+    settings(spark__sql__files__maxPartitionBytes="64k", spark__sql__files__openCostInBytes="1k")
+    records = [{"booking_id": f"B{i}", "status": "x" * (i % 50), "total_amount": i / 2} for i in range(20_000)]
+    (tmp_path / "f.json").write_text(json.dumps(records))
+    cut = read_bookings(spark, str(tmp_path / "f.json"), split_arrays=True)
+    assert cut.rdd.getNumPartitions() > 10
+    assert min(cut.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()) > 0
+    assert read_bookings(spark, str(tmp_path / "f.json")).rdd.getNumPartitions() >= 1
+    assert bag(cut) == bag(read_bookings(spark, str(tmp_path / "f.json")))
+    assert "Exchange" not in plan(cut, "simple") and "Python" not in plan(cut, "simple")
+
+
+def test_long_values_do_not_overflow(spark, tmp_path):
+    (tmp_path / "f.json").write_text(json.dumps([{"booking_id": 'x\\"' * 200_000}, {"booking_id": "y"}]))
+    cut = read_bookings(spark, str(tmp_path / "f.json"), split_arrays=True)
+    assert sorted(len(r["booking_id"]) for r in cut.collect()) == [1, 600_000]

@@ -405,6 +405,7 @@ FROM (SELECT customer_id, {as_date("signup_date")} AS signup FROM ({raw_customer
     "customers_funnel": funnel(raw_customers(), CUSTOMER_STAGES),
     "bookings_json_scan": raw_bookings(),
     "bookings_json_array_scan": raw_bookings(),
+    "bookings_json_split_array_scan": raw_bookings(),
     "customers_json_scan": raw_customers(),
     "bookings_json_undeclared_keys": """
 SELECT CAST(o_orderkey AS VARCHAR) AS booking_id, CAST(NULL AS VARCHAR) AS customer_id,
@@ -466,6 +467,10 @@ SELECT 'bookings' AS target, count(*) AS rows FROM ({MERGED_BOOKINGS})
 UNION ALL
 SELECT 'customers' AS target, count(*) AS rows FROM ({MERGED_CUSTOMERS})""",
     "run_day_bookings": MERGED_BOOKINGS,
+    "run_day_bookings_in_parts": MERGED_BOOKINGS,
+    "run_day_bookings_in_buckets": MERGED_BOOKINGS,
+    "run_day_customers_retried": MERGED_CUSTOMERS,
+    "bookings_merge_filtered": MERGED_BOOKINGS,
     "run_day_customers": MERGED_CUSTOMERS,
     "mock_bookings": MOCK_BOOKINGS,
     "mock_customers": MOCK_CUSTOMERS,

@@ -23,6 +23,7 @@ from daybook.operators.merge import (
     CUSTOMERS_RULE,
     MergeRule,
     ambiguous_keys,
+    FILTER_BYTES,
     merge_rows,
 )
 from daybook.operators.quality import (
@@ -193,6 +194,16 @@ def customers_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bookings_json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_bookings(spark, _array_lines(spark, sf_dir))
+
+
+@query
+def bookings_json_split_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines, cut into records before they are dealt to tasks."""
+    return read_bookings(spark, _array_lines(spark, sf_dir), split_arrays=True)
+
+
+def _array_lines(spark: SparkSession, sf_dir: str) -> str:
     """Lines that each hold an array of up to 100 records."""
     path = f"{scratch_dir(spark)}/arrays.json"
     raw = raw_bookings(spark, sf_dir)
@@ -203,7 +214,7 @@ def bookings_json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("record")), F.lit("]")).alias("line"))
     )
     lines.select("line").write.text(path)
-    return read_bookings(spark, path)
+    return path
 
 
 @query
@@ -408,7 +419,7 @@ def _first_load(spark, staged, name) -> DataFrame:
 # --- the daily run: JSON in, two days merged ---------------------------------
 
 
-def _two_days(spark: SparkSession, sf_dir: str) -> PipelineParams:
+def _two_days(spark: SparkSession, sf_dir: str, retried: bool = False, **how) -> PipelineParams:
     folder = scratch_dir(spark)
     database = scratch_database(spark, folder)
     for day, date in ((1, "20241016"), (2, "20241017")):
@@ -421,10 +432,13 @@ def _two_days(spark: SparkSession, sf_dir: str) -> PipelineParams:
             customers_delta_table=f"{database}.customers",
             as_of_date=AS_OF_DATE,
             time_zone="UTC",
+            **how,
         )
         write_json(raw_bookings(spark, sf_dir, day), params.input_path("bookings"))
         write_json(raw_customers(spark, sf_dir, day), params.input_path("customers"))
         run_day(spark, params)
+    if retried:
+        run_day(spark, params)
     return params
 
 
@@ -448,6 +462,32 @@ def run_day_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(_two_days(spark, sf_dir).customers_delta_table)
 
 
+@query
+def run_day_bookings_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Targets in parts; a large merge of the parts that the second day touches."""
+    params = _two_days(spark, sf_dir, parts=16, broadcast_limit_bytes=1000, split_arrays=True)
+    return spark.table(params.bookings_delta_table)
+
+
+@query
+def run_day_bookings_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging and target in the same buckets."""
+    params = _two_days(spark, sf_dir, buckets=8, broadcast_limit_bytes=1000)
+    return spark.table(params.bookings_delta_table)
+
+
+@query
+def run_day_customers_retried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second day run twice, as after a lost driver; the second run leaves the targets alone."""
+    return spark.table(_two_days(spark, sf_dir, retried=True, on_published="skip").customers_delta_table)
+
+
+@query
+def bookings_merge_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge too large to broadcast, with the staged keys' filter on the target's keys."""
+    return _merged_bookings(spark, sf_dir, broadcast_limit_bytes=FILTER_BYTES)
+
+
 # --- mock feeds, numbered by the tables' keys --------------------------------
 
 
