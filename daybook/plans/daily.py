@@ -36,6 +36,7 @@ from daybook.sources.tables import (
     row_count,
     table_exists,
     write_snapshot,
+    written_metrics,
 )
 
 
@@ -68,8 +69,13 @@ def check_and_merge(
         preview(params.staging_bookings_delta, bookings)
         preview(params.staging_customers_delta, customers)
 
-    on_bookings = Verification(bookings, BOOKINGS_CHECK)
-    on_customers = Verification(customers, CUSTOMERS_CHECK)
+    # Counted when they were written, if nothing has changed since.
+    measured = [
+        written_metrics(spark, name) if params.target_mode == "snapshot" else None
+        for name in (params.staging_bookings_delta, params.staging_customers_delta)
+    ]
+    on_bookings = Verification(bookings, BOOKINGS_CHECK, measured=measured[0])
+    on_customers = Verification(customers, CUSTOMERS_CHECK, measured=measured[1])
     # Both are computed before either is tested.
     _both(spark, lambda: on_bookings.rows, lambda: on_customers.rows)
     if preview:

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.operators.clean import clean_bookings, clean_customers
 from daybook.operators.merge import BOOKINGS_RULE, CUSTOMERS_RULE
+from daybook.operators.quality import BOOKINGS_CHECK, CUSTOMERS_CHECK, metrics
 from daybook.operators.reshape import reshape_bookings, reshape_customers
 from daybook.params import DATE_TIME_FORMAT, PipelineParams
 from daybook.sources.json_files import read_bookings, read_customers
-from daybook.sources.tables import overwrite_table
+from daybook.sources.tables import adopt, overwrite_table, publish, write_snapshot
 
 # Called with a label and a frame. Looking at the frame costs a job of its own,
 # so the plans take a hook only on request.
@@ -50,6 +51,7 @@ def stage_bookings(
         lambda df: bookings_plan(df, params.date_time_format, params.time_zone),
         params.staging_bookings_delta,
         BOOKINGS_RULE.key,
+        BOOKINGS_CHECK,
         params,
         preview,
     )
@@ -64,6 +66,7 @@ def stage_customers(
         lambda df: customers_plan(df, params.as_of_date),
         params.staging_customers_delta,
         CUSTOMERS_RULE.key,
+        CUSTOMERS_CHECK,
         params,
         preview,
     )
@@ -85,15 +88,24 @@ def show_preview(rows: int = 5, truncate: bool = False) -> Preview:
     return look
 
 
-def _stage(raw, plan, table, key, params, preview) -> Staged:
+def _stage(raw, plan, table, key, check, params, preview) -> Staged:
     if preview:
         preview(f"{table}: input", raw)
         preview(f"{table}: staged", plan(raw))
-    # Both counts ride on the write, so the input is read once.
-    read, kept = Observation(), Observation()
+    # All counts ride on the write, those of the checks too, so the input is read once
+    # and what is staged need not be read to be checked.
+    spark, read, kept = raw.sparkSession, Observation(), Observation()
     rows = F.count(F.lit(1)).alias("rows")
-    staged = plan(raw.observe(read, rows)).observe(kept, rows)
-    # In the targets' buckets, staged rows are dealt once, here, and a merge deals neither side.
-    dealt = staged.repartition(params.buckets, key) if params.buckets else staged
-    overwrite_table(dealt, table, params.table_format, params.buckets, key)
-    return Staged(table, read.get["rows"], kept.get["rows"])
+    counts = [count.alias(label) for label, count in metrics(check).items()]
+    staged = plan(raw.observe(read, rows)).observe(kept, *counts)
+    if params.target_mode == "row_level":  # the format commits by itself
+        overwrite_table(staged, table, params.table_format)
+        return Staged(table, read.get["rows"], kept.get["rows"])
+    # Readers see the day before until all of this one is there. In the targets' buckets,
+    # staged rows are dealt once, here, and a merge deals neither side.
+    adopt(spark, table)
+    snapshot = write_snapshot(spark, staged, table, params.table_format, params.buckets, key)
+    if kept.get["rows"] == snapshot.rows:  # a task that ran twice may have counted twice
+        snapshot = replace(snapshot, metrics=dict(kept.get))
+    publish(spark, snapshot)
+    return Staged(table, read.get["rows"], snapshot.rows)

@@ -12,6 +12,8 @@ of an adopted external table are not the catalog's, and stay).
 
 from __future__ import annotations
 
+import hashlib
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,6 +23,8 @@ SLOT_SUFFIXES = ("__a", "__b")
 ADOPTED_SUFFIX = "__adopted"
 SLOT_PROPERTY = "daybook.slot"
 DAY_PROPERTY = "daybook.day"
+METRICS_PROPERTY = "daybook.metrics"
+FILES_PROPERTY = "daybook.files"
 #: The column that a slot stored in parts is partitioned by; targets do not show it.
 PART = "__part"
 
@@ -125,6 +129,8 @@ class Snapshot:
     target: str
     slot: str
     rows: int
+    #: Counts over its rows, for whoever checks them.
+    metrics: dict[str, int] | None = None
 
 
 def write_snapshot(
@@ -154,37 +160,64 @@ def write_snapshot(
 def publish(spark: SparkSession, *snapshots: Snapshot, day: str | None = None) -> None:
     """Repoint every target to its snapshot; on failure repoint those done back.
 
-    A target remembers ``day`` from the same catalog change that repoints it.
+    A target remembers ``day`` and the snapshot's metrics from the same catalog change
+    that repoints it.
     """
-    done: list[tuple[str, str | None, str | None]] = []
+    done: list[tuple[str, dict[str, str]]] = []
     try:
         for snapshot in snapshots:
-            before = current_slot(spark, snapshot.target)
-            day_before = published_day(spark, snapshot.target)
-            _point(spark, snapshot.target, snapshot.slot, day)
-            done.append((snapshot.target, before, day_before))
+            before = {}
+            if current_slot(spark, snapshot.target) is not None:
+                before = _properties(spark, snapshot.target)
+            _point(spark, snapshot.target, snapshot.slot, _notes(spark, snapshot, day))
+            done.append((snapshot.target, before))
     except Exception:
-        for target, before, day_before in reversed(done):
-            if before is None:
+        for target, before in reversed(done):
+            if not before:
                 spark.sql(f"DROP VIEW IF EXISTS {quoted(target)}")
             else:
-                _point(spark, target, before, day_before)
+                notes = {k: v for k, v in before.items() if k in (DAY_PROPERTY, METRICS_PROPERTY, FILES_PROPERTY)}
+                _point(spark, target, before[SLOT_PROPERTY], notes)
         raise
-    for target, before, _ in done:
-        if before is not None and before.endswith(SLOT_SUFFIXES):
+    for target, before in done:
+        if before.get(SLOT_PROPERTY, "").endswith(SLOT_SUFFIXES):
             # Both slots are live now.
             spark.sql(f"DROP TABLE IF EXISTS {quoted(target + ADOPTED_SUFFIX)}")
 
 
+def _notes(spark: SparkSession, snapshot: Snapshot, day: str | None) -> dict[str, str]:
+    notes = {} if day is None else {DAY_PROPERTY: day}
+    if snapshot.metrics is not None:
+        notes[METRICS_PROPERTY] = json.dumps(snapshot.metrics)
+        notes[FILES_PROPERTY] = _files(spark, snapshot.slot)
+    return notes
+
+
+def _files(spark: SparkSession, table: str) -> str:
+    """A digest of the names of a table's files; no file is read."""
+    return hashlib.sha256("\n".join(sorted(spark.table(table).inputFiles())).encode()).hexdigest()
+
+
+def written_metrics(spark: SparkSession, name: str) -> dict[str, int] | None:
+    """The metrics taken when a table's rows were written; None if it has none, or other files by now."""
+    slot = current_slot(spark, name)
+    if slot is None:
+        return None
+    noted = _properties(spark, name)
+    if METRICS_PROPERTY not in noted or noted.get(FILES_PROPERTY) != _files(spark, slot):
+        return None
+    return json.loads(noted[METRICS_PROPERTY])
+
+
 def _is_view(spark: SparkSession, name: str) -> bool:
     return spark.catalog.getTable(name).tableType == "VIEW"
 
 
-def _point(spark: SparkSession, name: str, slot: str, day: str | None = None) -> None:
+def _point(spark: SparkSession, name: str, slot: str, notes: dict[str, str] | None = None) -> None:
     def literal(text: str) -> str:
         return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    properties = {SLOT_PROPERTY: slot} | ({DAY_PROPERTY: day} if day is not None else {})
+    properties = {SLOT_PROPERTY: slot} | (notes or {})
     listed = ", ".join(f"{literal(k)} = {literal(v)}" for k, v in properties.items())
     hidden = f" EXCEPT ({PART})" if PART in spark.table(slot).columns else ""
     spark.sql(

@@ -1,14 +1,14 @@
 import pytest
 
 from daybook.__main__ import main, parse
-from daybook.operators.quality import QualityError
+from daybook.operators.quality import BOOKINGS_CHECK, QualityError, Verification, metrics
 from daybook.params import PipelineParams
 from daybook.plans.daily import Merged, check_and_merge, run_day
 from daybook.plans.staging import Staged, show_preview, stage_bookings, stage_customers
 from daybook.schemas import BOOKINGS_STAGED, CUSTOMERS_STAGED
 from daybook.sources.json_files import write_json
-from daybook.sources.tables import current_slot, overwrite_table, table_exists
-from tests.helpers import bookings, customers, ids
+from daybook.sources.tables import current_slot, overwrite_table, table_exists, written_metrics
+from tests.helpers import bookings, customers, ids, staged_bookings
 
 
 @pytest.fixture
@@ -160,3 +160,84 @@ def test_command_line(spark, params, capsys):
 def test_command_line_needs_date_and_path():
     with pytest.raises(SystemExit):
         parse(["day", "--date", "20241017"])
+
+
+# --- staging: swapped in whole, checked while it is written ---
+
+
+def test_a_killed_staging_job_leaves_the_staged_day(spark, params, monkeypatch):
+    feed(spark, params(), [{"booking_id": "a"}])
+    stage_bookings(spark, params())
+    before = spark.table(params().staging_bookings_delta).collect()
+    feed(spark, params(), [{"booking_id": "b"}, {"booking_id": "c"}])
+
+    def killed(*_, **__):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr("daybook.plans.staging.publish", killed)
+        with pytest.raises(KeyboardInterrupt):
+            stage_bookings(spark, params())
+    assert spark.table(params().staging_bookings_delta).collect() == before
+    assert stage_bookings(spark, params()).rows_kept == 2
+    assert ids(spark.table(params().staging_bookings_delta), "booking_id") == ["b", "c"]
+
+
+def test_a_plain_staging_table_is_taken_over(spark, params):
+    name = params().staging_bookings_delta
+    overwrite_table(bookings(spark, {"booking_id": "old"}), name)
+    feed(spark, params(), [{"booking_id": "a"}])
+    for _ in range(3):
+        stage_bookings(spark, params())
+        assert ids(spark.table(name), "booking_id") == ["a"]
+    assert not table_exists(spark, f"{name}__adopted")
+
+
+def _checked_without_reading(spark, params, monkeypatch):
+    """The check results of a run, and whether a staging table was read for them."""
+    from daybook.operators import quality
+
+    read, real = [], quality.verify
+    with monkeypatch.context() as patch:
+        patch.setattr(quality, "verify", lambda df, *checks: read.append(1) or real(df, *checks))
+        try:
+            check_and_merge(spark, params)
+            said = "passed"
+        except QualityError as error:
+            said = str(error)
+    return said, len(read)
+
+
+def test_checks_ride_on_the_staging_write(spark, params, monkeypatch):
+    p = params()
+    feed(spark, p, [{"booking_id": "a"}, {"booking_id": "b", "total_amount": -1.0}])
+    stage_bookings(spark, p)
+    stage_customers(spark, p)
+    said, read = _checked_without_reading(spark, p, monkeypatch)
+    assert read == 0 and "NonNegative(total_amount): Value: 0.5" in said
+    measured = written_metrics(spark, p.staging_bookings_delta)
+    fresh = spark.table(p.staging_bookings_delta).agg(*[c.alias(k) for k, c in metrics(BOOKINGS_CHECK).items()])
+    assert measured == fresh.first().asDict()
+
+
+def test_staged_rows_that_changed_are_read(spark, params, monkeypatch):
+    p = params()
+    feed(spark, p, [{"booking_id": "a"}])
+    stage_bookings(spark, p)
+    stage_customers(spark, p)
+    slot = current_slot(spark, p.staging_bookings_delta)
+    staged_bookings(spark, ("z", "pending", -5.0)).write.insertInto(slot)
+    assert written_metrics(spark, p.staging_bookings_delta) is None
+    said, read = _checked_without_reading(spark, p, monkeypatch)
+    assert read == 1 and "NonNegative(total_amount): Value: 0.5" in said
+
+
+def test_a_check_of_other_constraints_reads_the_table(spark, params):
+    p = params()
+    feed(spark, p, [{"booking_id": "a"}])
+    stage_bookings(spark, p)
+    df, measured = spark.table(p.staging_bookings_delta), written_metrics(spark, p.staging_bookings_delta)
+    other = BOOKINGS_CHECK.is_complete("total_amount")
+    with_and_without = [Verification(df, other, measured=m).rows for m in (measured, None)]
+    assert with_and_without[0] == with_and_without[1] and len(with_and_without[0]) == 13
+    assert Verification(df, BOOKINGS_CHECK, measured=measured).rows == Verification(df, BOOKINGS_CHECK).rows

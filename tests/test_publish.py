@@ -86,10 +86,10 @@ def test_failed_publish_restores_the_first_target(spark, database, monkeypatch,
     snapshots = [write_snapshot(spark, day(spark, "new"), n) for n in names]
     point = tables._point
 
-    def failing(spark, name, slot):
+    def failing(spark, name, slot, notes=None):
         if name == names[1]:
             raise RuntimeError("catalog is gone")
-        point(spark, name, slot)
+        point(spark, name, slot, notes)
 
     monkeypatch.setattr(tables, "_point", failing)
     with pytest.raises(RuntimeError, match="catalog is gone"):
