@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -39,7 +40,7 @@ TOP = 2_000
 #: Tokens that a task counts at a time.
 BLOCK = 200_000
 #: Phrases that a task counts before it hands them on.
-COUNTED = 80_000
+COUNTED = 250_000
 #: Parts in which the best phrases of a language are looked for before they are ranked together.
 RANK_PARTS = 256
 
@@ -56,22 +57,38 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(27))
 
 
-class _Block:
-    """Documents as word numbers, 0 between pieces; words and languages are numbered in order of appearance."""
+class _Vocabulary:
+    """Words and languages, numbered in order of appearance; 0 stands between pieces."""
 
     def __init__(self):
         self.ids: dict[bytes, int] = {b"\n": 0}
         self.langs: dict[str, int] = {}
+        self.words: list[bytes] = []
+        self.hashes = np.zeros(0, dtype=np.uint64)
+
+    def hashed(self) -> tuple[np.ndarray, np.ndarray]:
+        new = list(islice(self.ids, len(self.words), None))
+        self.words += new
+        self.hashes = np.r_[self.hashes, np.array([xxhash.xxh64_intdigest(w) for w in new], dtype=np.uint64)]
+        names = [xxhash.xxh64_intdigest(x.encode("utf-8", "replace"), 1) for x in self.langs]
+        return self.hashes, np.array(names, dtype=np.uint64)
+
+
+class _Block:
+    """Documents as word numbers, 0 between pieces."""
+
+    def __init__(self, vocabulary: _Vocabulary | None = None):
+        self.vocabulary = vocabulary or _Vocabulary()
         self.parts: list[np.ndarray] = []
         self.owners: list[tuple[int, int, int]] = []
         self.size = 0
 
     def add(self, text: str, lang: str, shard: int) -> None:
-        ids = self.ids
+        ids, langs = self.vocabulary.ids, self.vocabulary.langs
         tokens = text.encode("utf-8", "replace").translate(_FOLD).replace(b"\n", b" \n ").split(b" ")
         part = np.array([ids.setdefault(w, len(ids)) for w in tokens if w] + [0], dtype=np.int32)
         self.parts.append(part)
-        self.owners.append((len(part), self.langs.setdefault(lang, len(self.langs)), shard))
+        self.owners.append((len(part), langs.setdefault(lang, len(langs)), shard))
         self.size += len(part)
 
     def close(self, longest: int) -> None:
@@ -80,10 +97,7 @@ class _Block:
         self.parts, self.owners = [], []
         self.lang = np.repeat(langs.astype(np.int32), lengths)
         self.shard = np.repeat(shards.astype(np.uint8), lengths)
-        self.words = list(self.ids)
-        self.names = list(self.langs)
-        word = np.array([xxhash.xxh64_intdigest(w) for w in self.words], dtype=np.uint64)
-        name = np.array([xxhash.xxh64_intdigest(x.encode("utf-8", "replace"), 1) for x in self.names], dtype=np.uint64)
+        word, name = self.vocabulary.hashed()
         hashed = word[self.a]
         #: keys[n - 1][i]: hash of the n words from i on, with their language; ok: they are of one piece.
         self.keys, self.ok = [_mix(hashed + name[self.lang])], [self.a > 0]
@@ -93,15 +107,17 @@ class _Block:
             self.ok.append(self.ok[-1][:-1] & (self.a[n - 1 :] > 0))
 
 
-def _blocks(batches: Iterator[pd.DataFrame], longest: int = LONGEST) -> Iterator[_Block]:
-    block = _Block()
+def _blocks(
+    batches: Iterator[pd.DataFrame], longest: int = LONGEST, vocabulary: _Vocabulary | None = None
+) -> Iterator[_Block]:
+    block = _Block(vocabulary)
     for batch in batches:
         for text, lang, shard in zip(batch["text"], batch["lang"], batch["shard"], strict=True):
             block.add(text, lang, shard)
             if block.size >= BLOCK:
                 block.close(longest)
                 yield block
-                block = _Block()
+                block = _Block(vocabulary)
     if block.size:
         block.close(longest)
         yield block
@@ -139,52 +155,78 @@ def _longer(frequent, local_support: int) -> Callable:
     return count
 
 
-def _exact(block: _Block, n: int, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A start of each different phrase of n words among the chosen starts, and how often it occurs."""
-    starts = np.flatnonzero(chosen)
-    _, first, which, count = np.unique(
-        block.keys[n - 1][starts], return_index=True, return_inverse=True, return_counts=True
-    )
-    rep = starts[first][which]
-    same = block.lang[starts] == block.lang[rep]
-    for j in range(n):
-        same &= block.a[starts + j] == block.a[rep + j]
-    if same.all():
-        return starts[first], count
-    seen: dict[tuple, int] = {}  # two phrases with one hash
+class _Counts:
+    """Occurrences of phrases of n words over the blocks of a task, by hash, each hash with its words."""
+
+    def __init__(self, n: int):
+        self.n = n
+        self.keys, self.f = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+        #: The language and the words of each.
+        self.ids = np.zeros((0, n + 1), dtype=np.int32)
+
+    def add(self, block: _Block, chosen: np.ndarray) -> bool:
+        """Count the chosen starts; False, and nothing is counted, if two phrases have one hash."""
+        starts = np.flatnonzero(chosen)
+        keys, first, which, f = np.unique(
+            block.keys[self.n - 1][starts], return_index=True, return_inverse=True, return_counts=True
+        )
+        ids = np.stack([block.lang[starts], *[block.a[starts + j] for j in range(self.n)]], axis=1)
+        own = ids[first]
+        keys, where, again = np.unique(np.r_[self.keys, keys], return_index=True, return_inverse=True)
+        all_ids = np.r_[self.ids, own]
+        if (ids != own[which]).any() or (all_ids != all_ids[where][again]).any():
+            return False
+        self.f = np.bincount(again, weights=np.r_[self.f, f], minlength=len(keys)).astype(np.int64)
+        self.keys, self.ids = keys, all_ids[where]
+        return True
+
+    def rows(self, vocabulary: _Vocabulary) -> pd.DataFrame:
+        words, langs = vocabulary.words, list(vocabulary.langs)
+        return _rows([(langs[i[0]], b" ".join([words[w] for w in i[1:]]).decode(), self.n) for i in self.ids.tolist()], self.f)
+
+
+def _rows(phrases: list[tuple], f) -> pd.DataFrame:
+    frame = pd.DataFrame(phrases, columns=["lang", "phrase", "words"])
+    frame["f"] = np.array(f, dtype=np.int64)
+    return frame
+
+
+def _one_by_one(block: _Block, n: int, chosen: np.ndarray) -> pd.DataFrame:
+    words, langs = block.vocabulary.words, list(block.vocabulary.langs)
     found = Counter(
-        seen.setdefault((int(block.lang[i]), *block.a[i : i + n].tolist()), int(i)) for i in starts
+        (langs[block.lang[i]], b" ".join([words[w] for w in block.a[i : i + n]]).decode(), n)
+        for i in np.flatnonzero(chosen).tolist()
     )
-    return np.array(list(found), dtype=np.int64), np.array(list(found.values()), dtype=np.int64)
+    return _rows(list(found), list(found.values()))
 
 
 def _phrases(candidates) -> Callable:
     """Rows (lang, phrase, words, f) of the candidates; phrase '' with words 0 stands for all words."""
 
-    def rows(counts: Counter) -> pd.DataFrame:
-        frame = pd.DataFrame(list(counts), columns=["lang", "phrase", "words"])
-        frame["f"] = np.array(list(counts.values()), dtype=np.int64)
-        return frame
-
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = np.frombuffer(candidates.value, dtype=np.uint8)
-        counts: Counter = Counter()
-        for block in _blocks(batches):
-            words, names, a = block.words, block.names, block.a
-            sizes = np.bincount(block.lang[block.ok[0]], minlength=len(names)).tolist()
-            counts.update({(lang, "", 0): n for lang, n in zip(names, sizes, strict=True) if n})
+        vocabulary, sizes = _Vocabulary(), Counter()
+        counts = [_Counts(n) for n in range(1, LONGEST + 1)]
+
+        def counted() -> Iterator[pd.DataFrame]:
+            for of_size in counts:
+                if len(of_size.keys):
+                    yield of_size.rows(vocabulary)
+
+        for block in _blocks(batches, LONGEST, vocabulary):
+            langs = list(vocabulary.langs)
+            for lang, size in enumerate(np.bincount(block.lang[block.ok[0]], minlength=len(langs)).tolist()):
+                sizes[langs[lang], "", 0] += size
             for n in range(1, LONGEST + 1):
                 chosen = block.ok[n - 1] & has(bits, block.keys[n - 1] & np.uint64(MASK))
-                if not chosen.any():
-                    continue
-                starts, found = _exact(block, n, chosen)
-                for i, lang, f in zip(starts.tolist(), block.lang[starts].tolist(), found.tolist(), strict=True):
-                    counts[names[lang], b" ".join([words[w] for w in a[i : i + n]]).decode(), n] += f
-            if len(counts) >= COUNTED:
-                yield rows(counts)
-                counts = Counter()
-        if counts:
-            yield rows(counts)
+                if chosen.any() and not counts[n - 1].add(block, chosen):
+                    yield _one_by_one(block, n, chosen)
+            if sum(len(c.keys) for c in counts) >= COUNTED:
+                yield from counted()
+                counts = [_Counts(n) for n in range(1, LONGEST + 1)]
+        yield from counted()
+        if sizes:
+            yield _rows(list(sizes), list(sizes.values()))
 
     return count
 

@@ -15,7 +15,7 @@ def frame(spark, rows):
     return spark.createDataFrame([(*r, "theirs", 1) for r in rows], SCHEMA)
 
 
-def counted(rows):
+def counted_of(rows):
     counts = defaultdict(Counter)
     for text, lang in rows:
         low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
@@ -28,7 +28,7 @@ def counted(rows):
 
 def brute(rows, support, top):
     out = []
-    for lang, counts in counted(rows).items():
+    for lang, counts in counted_of(rows).items():
         n = sum(c for p, c in counts.items() if " " not in p)
         many = {p: c for p, c in counts.items() if " " in p and c >= support}
         found = []
@@ -77,16 +77,35 @@ def test_overlaps_and_repeated_rows(spark):
     }
 
 
-def test_small_blocks_and_one_hash_for_all(spark):
-    """Two phrases of one hash are told apart by their words."""
+def test_phrases_of_one_hash_are_told_apart():
     block = phrases._Block()
     for text in ("p q. p q. r s", "P Q\tr"):
         block.add(text, "en", 0)
     block.close(2)
+    counts = phrases._Counts(2)
+    assert counts.add(block, block.ok[1]) and sorted(counts.f.tolist()) == [1, 1, 3]
     block.keys[1][:] = 7
-    starts, counts = phrases._exact(block, 2, block.ok[1])
-    got = {tuple(block.words[x].decode() for x in block.a[i : i + 2]): int(c) for i, c in zip(starts, counts)}
-    assert got == {("p", "q"): 3, ("r", "s"): 1, ("q", "r"): 1}
+    assert not counts.add(block, block.ok[1]) and not phrases._Counts(2).add(block, block.ok[1])
+    found = phrases._one_by_one(block, 2, block.ok[1])
+    assert sorted(map(tuple, found.values.tolist())) == [("en", "p q", 2, 3), ("en", "q r", 2, 1), ("en", "r s", 2, 1)]
+
+
+@pytest.mark.parametrize("block, counted", [(20, 10), (50, 10**9)])
+def test_a_task_of_many_blocks(monkeypatch, block, counted):
+    """Without Spark: a task's frames add up, whatever its blocks are."""
+    import pandas as pd
+
+    monkeypatch.setattr(phrases, "BLOCK", block)
+    monkeypatch.setattr(phrases, "COUNTED", counted)
+    rows = corpus(3)
+    frame_ = pd.DataFrame([(t or "", "und" if lang is None else lang, 0) for t, lang in rows], columns=["text", "lang", "shard"])
+
+    class All:
+        value = b"\xff" * (1 << 24)
+
+    got = pd.concat(phrases._phrases(All)(iter([frame_[:40], frame_[40:]])))
+    sums = got[got.words > 0].groupby(["lang", "phrase"]).f.sum().to_dict()
+    assert sums == {(lang, p): c for lang, counts in counted_of(rows).items() for p, c in counts.items()}
 
 
 def test_empty_and_rare(spark):
