@@ -10,15 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import decontaminate, lines, mixing, quality, similar
+from daybook.llm import decontaminate, lines, mixing, quality, simhash
 from daybook.scratch import stored
 
 #: A document goes if its quality score is lower; between this and the classifier's own
 #: threshold it is doubtful, and stays.
 REJECT_BELOW = 0.5
-#: Words in a shingle of the near-duplicate stage, and the Jaccard similarity from which documents link.
-SHINGLE = 5
-SIMILARITY = 0.8
+#: Words in a shingle of the near-duplicate stage, and the bits in which linked fingerprints differ at most.
+SHINGLE = 3
+MAX_BITS = 3
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,8 +41,8 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: all of similarity 0.8 or more, compared on whole texts."""
-    return similar.keep_one(docs, SHINGLE, SIMILARITY)
+    """One document of each group that SimHash fingerprints link."""
+    return simhash.keep_one(docs, SHINGLE, MAX_BITS)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
