@@ -19,7 +19,7 @@ def test_query_equals_its_sql(spark, name):
 
 def test_all_are_registered():
     assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
-    assert {n.split("_")[0] for n in QUERIES} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
+    assert {n.split("_")[0] for n in QUERIES} == {*(f"op{i}" for i in range(1, 14)), "pipeline"}
 
 
 def test_stages_by_brute_force(spark):
