@@ -231,6 +231,13 @@ def _packed(df: DataFrame, schema: str) -> DataFrame:
     return df.mapInPandas(pack, schema)
 
 
+def _fitted(c: str):
+    """The vector; divided by its largest component where squares would leave the range of doubles."""
+    largest = F.array_max(F.transform(c, F.abs))
+    scaled = F.transform(F.array(F.struct(F.col(c).alias("v"), largest.alias("m"))), lambda s: F.transform(s["v"], lambda x: x / s["m"]))
+    return F.when(largest.between(1e-100, 1e100), F.col(c)).otherwise(scaled[0])
+
+
 def _cosine(a: str, b: str):
     zero = F.lit(0.0)
     dot = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), zero, lambda s, x: s + x)
@@ -286,7 +293,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, index: Index | N
 
     a = known.select(F.col("vid").alias("qid"), F.col("embedding").alias("a"))
     b = known.select("vid", "ids", F.col("embedding").alias("b"))
-    scored = found.join(a, "qid").join(b, "vid").select("qid", "ids", _cosine("a", "b").alias("score"))
+    scored = found.join(a, "qid").join(b, "vid").select("qid", "ids", _fitted("a").alias("a"), _fitted("b").alias("b"))
+    scored = scored.select("qid", "ids", _cosine("a", "b").alias("score"))
     each = scored.select("qid", F.explode("ids").alias("vec_id"), "score")
     place = W.partitionBy("qid").orderBy(F.desc("score"), "vec_id")
     top = each.withColumn("place", F.row_number().over(place)).where(F.col("place") <= k + 1)
@@ -308,4 +316,5 @@ def _fit(known: DataFrame, n: int, k: int) -> Index:
     same = chosen["embedding"][sizes == sizes.mode()[0]]
     x = np.array(sorted(map(tuple, same)))
     x = x[np.random.default_rng(3).permutation(len(x))]
+    x = x / np.abs(x).max(axis=1, keepdims=True)
     return fit_index(x / np.linalg.norm(x, axis=1, keepdims=True), n, k)
