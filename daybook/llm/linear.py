@@ -144,7 +144,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> D
     """text and label of about ``per_class`` documents of each label, chosen by a hash of the id.
 
     ``labels`` has doc_id and label; rows without either are ignored, and of several
-    labels of one document the largest counts.
+    labels of one document the largest counts. Of several rows with one doc_id the least
+    text counts, so there are no more rows than labels.
     """
     clean = labels.where("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
     sizes = {r["label"]: r["n"] for r in clean.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -154,7 +155,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> D
     chosen = clean.where(unit_interval(settings.seed, F.col("doc_id")) < share)
     if sum(min(n, settings.per_class) for n in sizes.values()) <= BROADCAST_LABELS:
         chosen = F.broadcast(chosen)
-    return docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "label")
+    found = docs.select("doc_id", "text").join(chosen, "doc_id")
+    return found.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("text", "label")
 
 
 def fit(

@@ -27,7 +27,7 @@ _MEMORY = 500_000
 def _look(word: str) -> str:
     """Letters and digits become their class, runs become one sign."""
     signs = "".join(
-        "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:40]
+        "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word
     )
     return _RUNS.sub(r"\1", signs)
 
