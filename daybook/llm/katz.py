@@ -35,10 +35,10 @@ GOOD_TURING = 5
 LARGE_DISCOUNT = 0.5
 #: Pairs go to at least so many partitions, and to more when one would hold more than PART_TOKENS.
 MIN_PARTS = 24
-PART_TOKENS = 5_000_000
+PART_TOKENS = 3_000_000
 #: Tokens that a task packs at a time, and words it remembers.
-BLOCK_TOKENS = 4_000_000
-MEMORY = 1_000_000
+BLOCK_TOKENS = 1_500_000
+MEMORY = 500_000
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _START = np.uint64(0x53A5_7A27_0000_0001)
@@ -179,7 +179,7 @@ def _pairs(parts: int, large: dict[int, tuple[int, int]]):
             at = np.minimum(np.searchsorted(large_hashes, w), len(large_hashes) - 1)
             is_large = large_hashes[at] == w
             salt[is_large] = _mixed(v[is_large]) % shares[at[is_large]]
-        return (_mixed(w + salt * np.uint64(0xC2B2AE3D27D4EB4F)) % np.uint64(parts)).astype(np.uint16)
+        return (_mixed(w + salt * np.uint64(0xC2B2AE3D27D4EB4F)) % np.uint64(parts)).astype(np.int32)
 
     def subset(numbers: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         used = np.zeros(len(table), dtype=bool)

@@ -54,9 +54,36 @@ def test_nearest_of_few(spark):
     assert ann.nearest(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
+def test_nearest_of_very_small_and_large_numbers(spark):
+    """No size of the components makes a cosine fail or come out as no number."""
+    rows = [(0, [1e-200, 0.0]), (50, [1e200, 0.0]), (1, [1e-200, 1e-200]), (2, [1e200, 1e200]), (3, [1.0, 0.0]),
+            (4, [5e-324, 0.0]), (5, [1.7e308, 1e-300])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(vectors, vectors.where("vec_id % 50 = 0"), k=6).collect():
+        got.setdefault(r["query_id"], {})[r["vec_id"]] = r["score"]
+    for q, other in ((0, 50), (50, 0)):
+        assert {i: got[q][i] for i in (3, 4, 5, other)} == {3: 1.0, 4: 1.0, 5: 1.0, other: 1.0}
+        assert all(got[q][i] == pytest.approx(math.sqrt(0.5)) for i in (1, 2) if i in got[q])
+
+
 # --- classifiers ---
 
 
+def test_the_look_of_a_word_is_that_of_all_of_it():
+    ends = ["x0" * 40 + "!", "x0" * 40 + "?"]
+    looks = [quality._look(w) for w in ends]
+    assert looks[0] != looks[1]
+
+
+def test_the_sample_has_one_row_of_an_id(spark):
+    docs = spark.range(1000).selectExpr("CAST(1 AS LONG) AS doc_id", "'copy ' || id AS text")
+    docs = docs.unionByName(spark.createDataFrame([(2, "two"), (None, "x"), (3, None)], "doc_id long, text string"))
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, label int")
+    got = [tuple(r) for r in linear.labelled_sample(docs, labels, linear.Settings()).collect()]
+    assert sorted(got, key=str) == sorted([("copy 0", 1), ("two", 0), (None, 0)], key=str)
+
+
 def sentences(draw, n, word):
     words = ["the", "of", "and", "water", "house", "tree", "light", "stone"]
     out = []
