@@ -21,6 +21,7 @@ from daybook.scratch import stored
 
 #: Labels of so many documents are broadcast to the texts; beyond it both are shuffled by id.
 BROADCAST_LABELS = 2_000_000
+FOLDS = 3
 
 
 @dataclass(frozen=True)
@@ -30,7 +31,9 @@ class Settings:
     per_class: about so many documents of each label are fitted on, the bound of the
     sample. dims: hashed n-grams, the bound of the model. min_docs: n-grams in fewer
     sampled documents, or with a log-count ratio nearer to zero than min_ratio, weigh
-    nothing. cost: of the hinge loss.
+    nothing. cost: of the hinge loss. choices: pairs (min_docs, min_ratio) of which the fit
+    takes the one that ranks sampled documents best in cross-validation, which depends on how
+    many examples there are; without choices the two above hold.
     """
 
     per_class: int = 4000
@@ -40,6 +43,7 @@ class Settings:
     cost: float = 1.0
     epochs: int = 12
     seed: str = "fit"
+    choices: tuple[tuple[int, float], ...] = ()
 
 
 @dataclass(frozen=True)
@@ -80,16 +84,12 @@ def fit_arrays(rows: list[np.ndarray], labels: np.ndarray, settings: Settings) -
         share = 0.5 if n == 0 else float(positive.mean())
         odds = np.log((share + 1e-3) / (1 - share + 1e-3))
         return Model(np.zeros(dims, np.float32), 0.0, 1.0, float(odds))
-    counts = np.zeros((2, dims))
-    for row, label in zip(rows, labels, strict=True):
-        counts[int(label), row] += 1
-    share = (counts + 1.0) / (np.array([[(~positive).sum()], [positive.sum()]]) + 2.0)
-    ratio = np.log(share[1] / share[0])
-    ratio[(counts.sum(axis=0) < settings.min_docs) | (np.abs(ratio) < settings.min_ratio)] = 0.0
-    kept = [row[ratio[row] != 0.0] for row in rows]
-
+    if settings.choices:
+        return _fit_chosen(rows, labels, settings)
     rng = np.random.default_rng(7)
     order = rng.permutation(n)
+    ratio = _ratios(rows, labels, order, settings.min_docs, settings.min_ratio, dims)
+    kept = [row[ratio[row] != 0.0] for row in rows]
     check, train = order[: n // 5], order[n // 5 :]
     w, b = _descend(kept, labels, train, ratio, settings, rng)
     margins = np.array([w[kept[i]].sum() + b for i in check])
@@ -98,6 +98,51 @@ def fit_arrays(rows: list[np.ndarray], labels: np.ndarray, settings: Settings) -
     return Model(w.astype(np.float32), float(b), slope, offset)
 
 
+def _ratios(rows, labels, chosen, min_docs: int, min_ratio: float, dims: int) -> np.ndarray:
+    """Log-count ratios of the chosen rows' n-grams, zero where they are too few or too near to zero."""
+    counts = np.zeros((2, dims))
+    for i in chosen.tolist():
+        counts[int(labels[i]), rows[i]] += 1
+    of_label = np.array([[(labels[chosen] == 0).sum()], [(labels[chosen] == 1).sum()]])
+    share = (counts + 1.0) / (of_label + 2.0)
+    ratio = np.log(share[1] / share[0])
+    ratio[(counts.sum(axis=0) < min_docs) | (np.abs(ratio) < min_ratio)] = 0.0
+    return ratio
+
+
+def _fit_chosen(rows: list[np.ndarray], labels: np.ndarray, settings: Settings) -> Model:
+    """The fit of the best choice; its logistic curve goes through margins of rows it was not fitted on."""
+    order = np.random.default_rng(7).permutation(len(rows))
+    # Every fold has its share of the rarer label.
+    order = order[np.argsort(labels[order], kind="stable")]
+
+    def fitted(chosen: np.ndarray, choice: tuple[int, float]) -> tuple[np.ndarray, float]:
+        ratio = _ratios(rows, labels, chosen, *choice, settings.dims)
+        kept = {i: rows[i][ratio[rows[i]] != 0.0] for i in chosen.tolist()}
+        return _descend(kept, labels, chosen, ratio, settings, np.random.default_rng(7))
+
+    best = None
+    for choice in settings.choices:
+        margins = np.zeros(len(rows))
+        for fold in range(FOLDS):
+            inside = np.arange(len(order)) % FOLDS == fold
+            w, b = fitted(order[~inside], choice)
+            for i in order[inside].tolist():
+                margins[i] = w[rows[i]].sum() + b
+        precision = _average_precision(margins, labels)
+        if best is None or precision > best[0]:
+            best = precision, choice, margins
+    slope, offset = _platt(best[2], labels)
+    w, b = fitted(order, best[1])
+    return Model(w.astype(np.float32), float(b), slope, offset)
+
+
+def _average_precision(margins: np.ndarray, labels: np.ndarray) -> float:
+    """Mean, over the rows of label 1, of the share of label 1 among those ranked no lower."""
+    ranked = labels[np.argsort(-margins, kind="stable")] == 1
+    return float((np.cumsum(ranked) / np.arange(1, len(ranked) + 1))[ranked].mean())
+
+
 def _descend(rows, labels, chosen, ratio, settings, rng) -> tuple[np.ndarray, float]:
     """Dual coordinate descent for the squared-norm hinge-loss problem.
 

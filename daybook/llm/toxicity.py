@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 
 from daybook.llm import linear
 
-SETTINGS = linear.Settings(dims=1 << 20, min_docs=20, min_ratio=1.0, cost=0.01)
+SETTINGS = linear.Settings(dims=1 << 20, cost=0.01, choices=((20, 1.0), (10, 1.5), (5, 1.0), (3, 1.5)))
 #: A document is toxic from this score on.
 THRESHOLD = 0.7
 ORDERS = (4, 5, 6)

@@ -190,3 +190,54 @@ def test_language_model_edge_cases(spark):
     none = katz.scores(docs, docs["doc_id"] > 5).collect()
     assert {r["score"] for r in none} == {0.0} and {r["train_tokens"] for r in none} == {0}
     assert katz.scores(docs.limit(0), docs["doc_id"] > 0).count() == 0
+
+
+# --- the fit itself ---
+
+
+def _problem(seed, n=60, dims=24):
+    rng = np.random.default_rng(seed)
+    rows = [np.unique(rng.integers(0, dims, 6)).astype(np.int32) for _ in range(n)]
+    labels = np.array([int((r < dims // 3).sum() + rng.random() > 2.2) for r in rows])
+    return rows, labels
+
+
+def _objective(rows, labels, ratio, w, b, cost):
+    y = np.where(labels == 1, 1.0, -1.0)
+    loss = sum(max(0.0, 1 - y[i] * (float(w[r] @ ratio[r]) + b)) for i, r in enumerate(rows))
+    return 0.5 * (float(w @ w) + b * b) + cost * loss
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("cost", [0.05, 1.0])
+def test_descent_reaches_the_minimum_of_a_plain_solver(seed, cost):
+    """The bias is a constant feature, so the plain solver is subgradient descent on the same sum."""
+    rows, labels = _problem(seed)
+    ratio = linear._ratios(rows, labels, np.arange(len(rows)), 1, 0.0, 24)
+    settings = linear.Settings(cost=cost, epochs=300)
+    weights, b = linear._descend(rows, labels, np.arange(len(rows)), ratio, settings, np.random.default_rng(1))
+    with np.errstate(invalid="ignore", divide="ignore"):
+        w = np.where(ratio != 0, weights / ratio, 0.0)
+    mine = _objective(rows, labels, ratio, w, b, cost)
+    y, plain, bias, best = np.where(labels == 1, 1.0, -1.0), np.zeros(24), 0.0, math.inf
+    for step in range(1, 4000):
+        grad, grad_b = plain.copy(), bias
+        for i, r in enumerate(rows):
+            if y[i] * (float(plain[r] @ ratio[r]) + bias) < 1:
+                grad[r] -= cost * y[i] * ratio[r]
+                grad_b -= cost * y[i]
+        plain, bias = plain - grad / (step + 10), bias - grad_b / (step + 10)
+        best = min(best, _objective(rows, labels, ratio, plain, bias, cost))
+    assert mine <= best * 1.001
+
+
+def test_the_best_floor_is_chosen():
+    """With few examples a high floor sees nothing; the fit must take the low one."""
+    rng = np.random.default_rng(3)
+    rows = [np.unique(np.r_[rng.integers(10, 4000, 40), [1, 2] if i % 10 == 0 else []]).astype(np.int32) for i in range(120)]
+    labels = np.array([int(i % 10 == 0) for i in range(120)])
+    settings = linear.Settings(dims=4096, cost=0.1, choices=((50, 1.0), (4, 1.0)))
+    model = linear.fit_arrays(rows, labels, settings)
+    scores = np.array([model.score(float(model.weights[r].sum())) for r in rows])
+    assert ((scores >= 0.7) == (labels == 1)).mean() > 0.97
+    assert linear._average_precision(np.array([3.0, 2.0, 1.0]), np.array([1, 0, 1])) == pytest.approx((1 + 2 / 3) / 2)
