@@ -32,7 +32,7 @@ from daybook.scratch import stored
 
 SUPPORT = 30
 LONGEST = 4
-SHARDS = 8
+SHARDS = 4
 #: A phrase goes if a longer one accounts for this share of its occurrences, in percent.
 COVERED = 80
 SCALE = 2_000_000
@@ -40,7 +40,9 @@ TOP = 2_000
 #: Tokens that a task counts at a time.
 BLOCK = 200_000
 #: Phrases that a task counts before it hands them on.
-COUNTED = 250_000
+COUNTED = 600_000
+#: Counts of blocks that wait to be added up, and rows handed on at a time.
+WAITING, HANDED = 150_000, 50_000
 #: Parts in which the best phrases of a language are looked for before they are ranked together.
 RANK_PARTS = 256
 
@@ -163,26 +165,43 @@ class _Counts:
         self.keys, self.f = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
         #: The language and the words of each.
         self.ids = np.zeros((0, n + 1), dtype=np.int32)
+        self.waiting: list[tuple] = []
+        self.n_waiting = 0
 
     def add(self, block: _Block, chosen: np.ndarray) -> bool:
-        """Count the chosen starts; False, and nothing is counted, if two phrases have one hash."""
+        """Count the chosen starts; False, and nothing is counted, if two phrases of the block have one hash."""
         starts = np.flatnonzero(chosen)
         keys, first, which, f = np.unique(
             block.keys[self.n - 1][starts], return_index=True, return_inverse=True, return_counts=True
         )
         ids = np.stack([block.lang[starts], *[block.a[starts + j] for j in range(self.n)]], axis=1)
         own = ids[first]
-        keys, where, again = np.unique(np.r_[self.keys, keys], return_index=True, return_inverse=True)
-        all_ids = np.r_[self.ids, own]
-        if (ids != own[which]).any() or (all_ids != all_ids[where][again]).any():
+        if (ids != own[which]).any():
             return False
-        self.f = np.bincount(again, weights=np.r_[self.f, f], minlength=len(keys)).astype(np.int64)
-        self.keys, self.ids = keys, all_ids[where]
+        self.waiting.append((keys, own, f))
+        self.n_waiting += len(keys)
         return True
 
-    def rows(self, vocabulary: _Vocabulary) -> pd.DataFrame:
+    def merge(self) -> bool:
+        """Add up what waits; False, and what waits is kept apart, if two of its phrases have one hash."""
+        keys = np.concatenate([self.keys, *[w[0] for w in self.waiting]])
+        ids = np.concatenate([self.ids, *[w[1] for w in self.waiting]])
+        f = np.concatenate([self.f, *[w[2] for w in self.waiting]])
+        self.waiting, self.n_waiting = [], 0
+        unique, where, again = np.unique(keys, return_index=True, return_inverse=True)
+        if (ids != ids[where][again]).any():
+            self.keys, self.ids, self.f = keys, ids, f  # not added up: handed on as they are
+            return False
+        self.f = np.bincount(again, weights=f, minlength=len(unique)).astype(np.int64)
+        self.keys, self.ids = unique, ids[where]
+        return True
+
+    def rows(self, vocabulary: _Vocabulary) -> Iterator[pd.DataFrame]:
         words, langs = vocabulary.words, list(vocabulary.langs)
-        return _rows([(langs[i[0]], b" ".join([words[w] for w in i[1:]]).decode(), self.n) for i in self.ids.tolist()], self.f)
+        for at in range(0, len(self.keys), HANDED):
+            ids = self.ids[at : at + HANDED].tolist()
+            phrases = [(langs[i[0]], b" ".join([words[w] for w in i[1:]]).decode(), self.n) for i in ids]
+            yield _rows(phrases, self.f[at : at + HANDED])
 
 
 def _rows(phrases: list[tuple], f) -> pd.DataFrame:
@@ -208,23 +227,26 @@ def _phrases(candidates) -> Callable:
         vocabulary, sizes = _Vocabulary(), Counter()
         counts = [_Counts(n) for n in range(1, LONGEST + 1)]
 
-        def counted() -> Iterator[pd.DataFrame]:
-            for of_size in counts:
-                if len(of_size.keys):
-                    yield of_size.rows(vocabulary)
+        def handed_on(i: int) -> Iterator[pd.DataFrame]:
+            counts[i].merge()
+            yield from counts[i].rows(vocabulary)
+            counts[i] = _Counts(i + 1)
 
         for block in _blocks(batches, LONGEST, vocabulary):
             langs = list(vocabulary.langs)
             for lang, size in enumerate(np.bincount(block.lang[block.ok[0]], minlength=len(langs)).tolist()):
                 sizes[langs[lang], "", 0] += size
-            for n in range(1, LONGEST + 1):
-                chosen = block.ok[n - 1] & has(bits, block.keys[n - 1] & np.uint64(MASK))
-                if chosen.any() and not counts[n - 1].add(block, chosen):
-                    yield _one_by_one(block, n, chosen)
+            for i, of_size in enumerate(counts):
+                chosen = block.ok[i] & has(bits, block.keys[i] & np.uint64(MASK))
+                if chosen.any() and not of_size.add(block, chosen):
+                    yield _one_by_one(block, i + 1, chosen)
+                if of_size.n_waiting > WAITING and not of_size.merge():
+                    yield from handed_on(i)
             if sum(len(c.keys) for c in counts) >= COUNTED:
-                yield from counted()
-                counts = [_Counts(n) for n in range(1, LONGEST + 1)]
-        yield from counted()
+                for i in range(LONGEST):
+                    yield from handed_on(i)
+        for i in range(LONGEST):
+            yield from handed_on(i)
         if sizes:
             yield _rows(list(sizes), list(sizes.values()))
 

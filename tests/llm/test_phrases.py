@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from daybook.llm import phrases
@@ -83,20 +84,29 @@ def test_phrases_of_one_hash_are_told_apart():
         block.add(text, "en", 0)
     block.close(2)
     counts = phrases._Counts(2)
-    assert counts.add(block, block.ok[1]) and sorted(counts.f.tolist()) == [1, 1, 3]
+    assert counts.add(block, block.ok[1]) and counts.merge() and sorted(counts.f.tolist()) == [1, 1, 3]
+    other = phrases._Block(block.vocabulary)
+    other.add("q r q r", "en", 0)
+    other.close(2)
+    other.keys[1][:] = block.keys[1][0]
+    only = np.array([True, False, False, False])
+    assert counts.add(other, only) and not counts.merge()
+    assert sorted(counts.f.tolist()) == [1, 1, 1, 3]
     block.keys[1][:] = 7
-    assert not counts.add(block, block.ok[1]) and not phrases._Counts(2).add(block, block.ok[1])
+    assert not phrases._Counts(2).add(block, block.ok[1])
     found = phrases._one_by_one(block, 2, block.ok[1])
     assert sorted(map(tuple, found.values.tolist())) == [("en", "p q", 2, 3), ("en", "q r", 2, 1), ("en", "r s", 2, 1)]
 
 
-@pytest.mark.parametrize("block, counted", [(20, 10), (50, 10**9)])
-def test_a_task_of_many_blocks(monkeypatch, block, counted):
+@pytest.mark.parametrize("block, counted, waiting", [(20, 10, 5), (50, 10**9, 30), (50, 10**9, 10**9)])
+def test_a_task_of_many_blocks(monkeypatch, block, counted, waiting):
     """Without Spark: a task's frames add up, whatever its blocks are."""
     import pandas as pd
 
     monkeypatch.setattr(phrases, "BLOCK", block)
     monkeypatch.setattr(phrases, "COUNTED", counted)
+    monkeypatch.setattr(phrases, "WAITING", waiting)
+    monkeypatch.setattr(phrases, "HANDED", 7)
     rows = corpus(3)
     frame_ = pd.DataFrame([(t or "", "und" if lang is None else lang, 0) for t, lang in rows], columns=["text", "lang", "shard"])
 
