@@ -35,10 +35,12 @@ GOOD_TURING = 5
 LARGE_DISCOUNT = 0.5
 #: Pairs go to at least so many partitions, and to more when one would hold more than PART_TOKENS.
 MIN_PARTS = 24
-PART_TOKENS = 3_000_000
+PART_TOKENS = 4_000_000
 #: Tokens that a task packs at a time, and words it remembers.
-BLOCK_TOKENS = 1_500_000
-MEMORY = 500_000
+BLOCK_TOKENS = 3_000_000
+MEMORY = 1_000_000
+#: Rows whose tokens are texts at a time; beyond that they are numbers.
+ROWS = 500
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _START = np.uint64(0x53A5_7A27_0000_0001)
@@ -90,14 +92,15 @@ def unigrams(docs: DataFrame) -> DataFrame:
             return pd.DataFrame({"w": words.table().view(np.int64), "c": counts})
 
         for batch in batches:
-            tokens, _ = _tokens(batch["text"])
-            numbers = np.fromiter(map(words.__getitem__, tokens), dtype=np.int64, count=len(tokens))
-            found = np.bincount(numbers, minlength=len(words.hashes))
-            found[: len(counts)] += counts
-            counts = found
-            if len(counts) > MEMORY:
-                yield out()
-                words, counts = _Words(), np.zeros(0, dtype=np.int64)
+            for start in range(0, len(batch), ROWS):
+                tokens, _ = _tokens(batch["text"].iloc[start : start + ROWS])
+                numbers = np.fromiter(map(words.__getitem__, tokens), dtype=np.int64, count=len(tokens))
+                found = np.bincount(numbers, minlength=len(words.hashes))
+                found[: len(counts)] += counts
+                counts = found
+                if len(counts) > MEMORY:
+                    yield out()
+                    words, counts = _Words(), np.zeros(0, dtype=np.int64)
         yield out()
 
     return docs.select("text").mapInPandas(count, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
@@ -214,8 +217,8 @@ def _pairs(parts: int, large: dict[int, tuple[int, int]]):
 
         waiting = 0
         for batch in batches:
-            for start in range(0, len(batch), 2000):
-                some = batch.iloc[start : start + 2000]
+            for start in range(0, len(batch), ROWS):
+                some = batch.iloc[start : start + ROWS]
                 tokens, sizes = _tokens(some["text"])
                 numbers = np.fromiter(map(words.__getitem__, tokens), dtype=np.uint32, count=len(tokens))
                 pending.append((numbers, np.array(sizes), some["key"].to_numpy(), some["train"].to_numpy().astype(np.uint8)))
