@@ -9,8 +9,12 @@ verified by exact containment of their word shingles.
 
 A shingle is the least of its bin with a probability of 0.79 at least (bins hold at
 most half a shingle on average), so an item of which m shingles are contained is
-missed with 0.21 ** m at most: below 1e-6 from MIN_SKETCHED * 0.8 shingles on. Items
-with fewer shingles are searched for among all shingles instead of the sketch.
+missed with 0.21 ** m at most: below 1e-6 from SURE shingles on. Shingles that many
+items share, such as those of a question template, would make a candidate of each of
+these items and each document that holds the template; they are left out of the
+sketches. An item that could then be found by fewer than SURE shingles is not sketched.
+It is looked up among all shingles of the documents, by its rarest ones: of m
+shingles with c to be contained, any m - c + 1 have one in the document.
 """
 
 from __future__ import annotations
@@ -25,8 +29,10 @@ from daybook.scratch import stored
 
 SHINGLE = 5
 CONTAINMENT = 0.8
-#: Items with fewer shingles are not sketched.
-MIN_SKETCHED = 12
+#: Items of which fewer shingles are sure to tell are not sketched.
+SURE = 10
+#: Shingles of more items than this tell nothing in a sketch.
+COMMON_ITEMS = 16
 #: Partitions hold documents of up to 2 ** 0, 2 ** 1, ... shingles; the last one all larger.
 PARTITIONS = 25
 #: Item hashes and candidate pairs up to this number are broadcast; beyond it both sides are shuffled.
@@ -94,13 +100,30 @@ def _sketch(sorted_hashes: Column, partition: Column) -> Column:
     )
 
 
-def _item_keys(items: DataFrame) -> DataFrame:
-    """(item_id, part, h): the sketch of each item for each partition, small items whole."""
-    hashed = items.select("item_id", shingle_hashes(F.col("text")).alias("hs"))
-    sketched = F.size("hs") >= MIN_SKETCHED
-    per_part = hashed.where(sketched).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTITIONS - 1))))
-    sketches = per_part.select("item_id", "part", F.explode(_sketch(F.col("hs"), F.col("part"))).alias("h"))
-    whole = hashed.where(~sketched).select("item_id", F.lit(_ALL).alias("part"), F.explode("hs").alias("h"))
+def _item_keys(items: DataFrame, threshold: float) -> DataFrame:
+    """(item_id, part, h): the sketch of each item for each partition; of items not sketched, their rarest shingles."""
+    hashed = items.select("item_id", shingle_hashes(F.col("text")).alias("hs")).where(F.size("hs") > 0)
+    single = hashed.select("item_id", "hs", F.explode("hs").alias("h"))
+    shared = single.groupBy("h").agg(F.count(F.lit(1)).alias("f"))
+    ranked = (
+        single.join(shared, "h")
+        .groupBy("item_id", "hs")
+        .agg(F.sort_array(F.collect_list(F.struct("f", "h"))).alias("ranked"))
+    )
+    n = F.size("hs")
+    needed = F.ceil(n * F.lit(threshold) - F.lit(1e-9)).cast("int")
+    rare = F.filter("ranked", lambda x: x["f"] <= COMMON_ITEMS)
+    known = stored(
+        ranked.select(
+            "item_id",
+            F.sort_array(F.transform(rare, lambda x: x["h"])).alias("rare"),
+            F.transform(F.slice("ranked", F.lit(1), F.greatest(n - needed + 1, F.lit(1))), lambda x: x["h"]).alias("first"),
+            (needed - (n - F.size(rare)) >= SURE).alias("sketched"),
+        )
+    )
+    per_part = known.where("sketched").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTITIONS - 1))))
+    sketches = per_part.select("item_id", "part", F.explode(_sketch(F.col("rare"), F.col("part"))).alias("h"))
+    whole = known.where("NOT sketched").select("item_id", F.lit(_ALL).alias("part"), F.explode("first").alias("h"))
     return sketches.union(whole)
 
 
@@ -119,7 +142,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = CONTA
     for the candidates.
     """
     items = benchmark.select("item_id", "text").distinct()
-    keys = stored(_item_keys(items))
+    keys = stored(_item_keys(items, threshold))
     small = not keys.where(F.col("part") == _ALL).isEmpty()
     hashed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), shingle_hashes(F.col("text")).alias("hs"))
     part = _partition(F.size("hs"))

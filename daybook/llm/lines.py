@@ -9,7 +9,9 @@ Lines that meet have the shared segment replaced by one mark, and what is left o
 them is joined in the same way within their group, until the rests are short and
 the groups small. Only then are pairs formed, and verified by a banded
 bit-parallel edit distance. A group of many lines that share most of their text is
-thus divided by what differs, and never expanded into all its pairs.
+thus divided by what differs, and never expanded into all its pairs: at one edit, rests
+that cannot be cut any more are linked by what is left without one character, and
+each such group by links to its least line.
 """
 
 from __future__ import annotations
@@ -117,7 +119,7 @@ def _met(keys: DataFrame) -> DataFrame:
 def edit_links(lines: DataFrame, k: int = MAX_EDITS) -> DataFrame:
     """Links (a, b) between ids of ``lines`` (id, line; lines distinct) within ``k`` edits.
 
-    All links between different lines are found; a few may be found twice over.
+    The links span the same components as all pairs within ``k`` edits; up to short groups they are all pairs.
     """
     text = F.translate("line", _MARK, "\ufffd")
     rows = lines.select("id", F.lit(0).cast("long").alias("context"), text.alias("text"))
@@ -134,7 +136,12 @@ def edit_links(lines: DataFrame, k: int = MAX_EDITS) -> DataFrame:
     links = []
     while not rows.isEmpty():
         short = (F.col("base") <= SHORT_REST) & (F.col("n") <= SMALL_GROUP) | (F.col("base") <= 2 * k + 1)
-        links.append(_verified(rows.where(short), k))
+        uncut = F.col("base") <= 2 * k + 1
+        if k == 1:
+            links.append(_uncut_links(rows.where(uncut)))
+            links.append(_verified(rows.where(short & ~uncut), k))
+        else:
+            links.append(_verified(rows.where(short), k))
         deeper = rows.where(~short).select("id", F.col("key").alias("context"), F.col("rest").alias("text"))
         rows = stored(_met(_keys(deeper.distinct(), k, with_rest=True)).select("id", "key", "n", "rest", "base"))
     if not links:
@@ -142,6 +149,29 @@ def edit_links(lines: DataFrame, k: int = MAX_EDITS) -> DataFrame:
     return reduce(DataFrame.union, links).distinct()
 
 
+def _uncut_links(rows: DataFrame) -> DataFrame:
+    """Links that span what one edit links among short rests; their number grows with the rows, not with pairs.
+
+    Rests that differ in one character are equal but for a hole in its place, and so are all
+    that share the hole: each is linked to the least. A rest that lacks one character of
+    another is linked to it.
+    """
+    rows = rows.select("key", "id", "rest").distinct()
+    place = F.when(F.length("rest") > 0, F.sequence(F.lit(1), F.length("rest"))).otherwise(F.array().cast("array<int>"))
+    holes = rows.withColumn("i", F.explode(place)).select(
+        "key",
+        "id",
+        "i",
+        F.substring("rest", F.lit(1), F.col("i") - 1).alias("before"),
+        F.expr("substring(rest, i + 1)").alias("after"),
+    )
+    least = holes.groupBy("key", "i", "before", "after").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n"))
+    same = holes.join(least.where("n > 1"), ["key", "i", "before", "after"]).where("id <> a").select("a", F.col("id").alias("b"))
+    without = holes.select("key", F.col("id").alias("b"), F.concat("before", "after").alias("rest"))
+    lacks = without.join(rows.withColumnRenamed("id", "a"), ["key", "rest"]).where("a <> b")
+    return same.unionByName(lacks.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+
+
 def _verified(rows: DataFrame, k: int) -> DataFrame:
     left = rows.select("key", F.col("id").alias("a"), F.col("rest").alias("rest_a"))
     right = rows.select("key", F.col("id").alias("b"), F.col("rest").alias("rest_b"))

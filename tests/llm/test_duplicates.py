@@ -137,7 +137,27 @@ def test_edit_links_are_all_links(spark, monkeypatch, k):
         texts |= {changed(draw, base, draw.randrange(4)) for _ in range(12)}
     texts = sorted(texts)
     got = {(r["a"], r["b"]) for r in lines.edit_links(spark.createDataFrame(list(enumerate(texts)), "id long, line string"), k).collect()}
-    assert got == {(i, j) for j in range(len(texts)) for i in range(j) if distance(texts[i], texts[j]) <= k}
+    want = {(i, j) for j in range(len(texts)) for i in range(j) if distance(texts[i], texts[j]) <= k}
+    assert got <= want
+    assert closure(len(texts), lambda i, j: (j, i) in got) == closure(len(texts), lambda i, j: (j, i) in want)
+
+
+def test_many_lines_that_differ_in_one_place(spark):
+    """600 lines that all lie within one edit of each other give links in proportion to the lines."""
+    texts = [f"a line that says the same thing each time {chr(0x4E00 + i)}" for i in range(600)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id long, line string")
+    links = {(r["a"], r["b"]) for r in lines.edit_links(frame).collect()}
+    assert len(links) <= 599 and set(closure(600, lambda i, j: (j, i) in links)) == {0}
+
+
+def test_short_rests_with_gaps(spark):
+    base = "a line that says the same thing each time "
+    texts = sorted({base + e for e in ["", "a", "b", "ab", "ba", "bb", "abc", "x" * 3, "\x01a", "\x01b", "zz"]})
+    frame = spark.createDataFrame(list(enumerate(texts)), "id long, line string")
+    links = {(r["a"], r["b"]) for r in lines.edit_links(frame).collect()}
+    near = lambda i, j: distance(texts[i], texts[j]) <= 1
+    assert all(near(*link) for link in links)
+    assert closure(len(texts), lambda i, j: (j, i) in links) == closure(len(texts), near)
 
 
 @pytest.mark.parametrize("limit", [2_000_000, 0])
@@ -206,3 +226,22 @@ def test_contaminated_by_brute_force(spark, monkeypatch, limit):
     assert sorted(r["doc_id"] for r in clean.collect()) == sorted(d for d, _ in rows if d not in {w[0] for w in want})
     assert decontaminate.decontaminate(docs, benchmark.limit(0)).count() == len(rows)
     assert decontaminate.decontaminate(docs.limit(0), benchmark).count() == 0
+
+
+@pytest.mark.parametrize("common", [2, 16])
+def test_a_template_makes_no_candidates(spark, monkeypatch, common):
+    """Documents and items that share a passage, and nothing else, do not meet at all."""
+    monkeypatch.setattr(decontaminate, "COMMON_ITEMS", common)
+    draw = random.Random(2)
+    text = lambda n: " ".join(f"w{draw.randrange(10**6)}" for _ in range(n))
+    template = "which of the following is"
+    items = [(i, f"{template} {text(draw.choice([4, 8, 30]))}") for i in range(60)]
+    rows = [(i, f"{text(40)} {template} {text(40)}") for i in range(50)]
+    rows += [(100 + i, f"{text(40)} {items[i][1]} {text(40)}") for i in range(0, 60, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    keys = decontaminate._item_keys(benchmark, 0.8)
+    shared = decontaminate.shingle_hashes(F.lit(template))
+    assert keys.where(F.array_contains(shared, F.col("h"))).count() == 0
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, benchmark).collect()}
+    assert got == {(100 + i, i) for i in range(0, 60, 7)}
