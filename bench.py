@@ -111,7 +111,7 @@ def stepwise_customers(spark, params) -> None:
         }
     )
     staged.limit(10).collect()
-    overwrite_table(staged, params.staging_customers_delta)
+    overwrite_table(staged, params.staging_customers_delta + "_plain")
 
 
 def stepwise_bookings(spark, params) -> None:
@@ -119,7 +119,7 @@ def stepwise_bookings(spark, params) -> None:
     look(raw)
     staged = bookings_plan(raw)
     look(staged)
-    overwrite_table(staged, params.staging_bookings_delta)
+    overwrite_table(staged, params.staging_bookings_delta + "_plain")
 
 
 def full_outer(target, updates, key, delete_status):
@@ -223,8 +223,8 @@ def main() -> None:
             write_snapshot(spark, bookings1, second.bookings_delta_table),
             write_snapshot(spark, customers1, second.customers_delta_table),
         )
-        overwrite_table(bookings2, second.staging_bookings_delta)
-        overwrite_table(customers2, second.staging_customers_delta)
+        stage_bookings(spark, second)
+        stage_customers(spark, second)
 
     changing = ("check_and_merge", "run_day")
     times = {
