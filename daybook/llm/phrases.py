@@ -32,7 +32,7 @@ from daybook.scratch import stored
 
 SUPPORT = 30
 LONGEST = 4
-SHARDS = 4
+SHARDS = 2
 #: A phrase goes if a longer one accounts for this share of its occurrences, in percent.
 COVERED = 80
 SCALE = 2_000_000
@@ -40,7 +40,7 @@ TOP = 2_000
 #: Tokens that a task counts at a time.
 BLOCK = 200_000
 #: Phrases that a task counts before it hands them on.
-COUNTED = 600_000
+COUNTED = 1_000_000
 #: Counts of blocks that wait to be added up, and rows handed on at a time.
 WAITING, HANDED = 150_000, 50_000
 #: Parts in which the best phrases of a language are looked for before they are ranked together.
