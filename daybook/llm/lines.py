@@ -136,10 +136,10 @@ def edit_links(lines: DataFrame, k: int = MAX_EDITS) -> DataFrame:
     links = []
     while not rows.isEmpty():
         short = (F.col("base") <= SHORT_REST) & (F.col("n") <= SMALL_GROUP) | (F.col("base") <= 2 * k + 1)
-        uncut = F.col("base") <= 2 * k + 1
-        if k == 1:
-            links.append(_uncut_links(rows.where(uncut)))
-            links.append(_verified(rows.where(short & ~uncut), k))
+        crowded = (F.col("base") <= 2 * k + 1) & (F.col("n") > SMALL_GROUP)
+        if k == 1 and not rows.where(crowded).isEmpty():
+            links.append(_uncut_links(rows.where(crowded)))
+            links.append(_verified(rows.where(short & ~crowded), k))
         else:
             links.append(_verified(rows.where(short), k))
         deeper = rows.where(~short).select("id", F.col("key").alias("context"), F.col("rest").alias("text"))
