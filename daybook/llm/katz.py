@@ -37,7 +37,7 @@ LARGE_DISCOUNT = 0.5
 MIN_PARTS = 24
 PART_TOKENS = 4_000_000
 #: Tokens that a task packs at a time, and words it remembers.
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 4_000_000
 MEMORY = 1_000_000
 #: Rows whose tokens are texts at a time; beyond that they are numbers.
 ROWS = 500
@@ -232,6 +232,21 @@ def _pairs(parts: int, large: dict[int, tuple[int, int]]):
     return pack
 
 
+def _numbered(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each different value is first, values ascending, and the number of the value at each place.
+
+    As numpy's unique, in two thirds of the memory.
+    """
+    order = np.argsort(x, kind="stable")
+    in_order = x[order]
+    new = np.ones(len(x), dtype=bool)
+    np.not_equal(in_order[1:], in_order[:-1], out=new[1:])
+    del in_order
+    numbers = np.empty(len(x), dtype=np.uint32)
+    numbers[order] = np.cumsum(new, dtype=np.uint32) - np.uint32(1)
+    return order[new], numbers
+
+
 def _summed(model: _Unigram, large: dict[int, tuple[int, int]]):
     """All pairs of a partition to sums per document (kind 0), per context (1), and what backs off (2)."""
 
@@ -246,15 +261,15 @@ def _summed(model: _Unigram, large: dict[int, tuple[int, int]]):
         v = np.concatenate([b[2][b[3]] for b in blobs])
         del blobs
         pair = _mixed(_mixed(w) + v)
-        words, in_w = np.unique(w, return_inverse=True)
-        in_w = in_w.astype(np.uint32)
+        first, in_w = _numbered(w)
+        words = w[first]
         del w
         count = np.bincount(in_w[train], minlength=len(words))
         for h, (c, _) in large.items():
             at = np.searchsorted(words, np.uint64(h))
             if at < len(words) and words[at] == np.uint64(h):
                 count[at] = c
-        _, first, in_pair = np.unique(pair, return_index=True, return_inverse=True)
+        first, in_pair = _numbered(pair)
         del pair
         pair_w, pair_v = in_w[first], v[first]
         pair_count = np.bincount(in_pair[train], minlength=len(first)).astype(np.int32)
