@@ -26,12 +26,12 @@ from daybook.llm.text import or_empty
 from daybook.scratch import stored
 
 MAX_EDITS = 1
-#: Shorter lines say too little to tell a repetition from chance; they are left alone.
-MIN_CHARS = 20
+#: A line needs so many characters for an edit to be a small change; shorter ones are repetitions only if equal.
+CHARS_PER_EDIT = 20
 #: Rests up to this length are compared pair by pair in groups up to SMALL_GROUP.
 SHORT_REST = 24
 SMALL_GROUP = 12
-#: Ids or positions up to this number are broadcast (16 MB); beyond it both sides are shuffled.
+#: Ids or positions up to this number are broadcast (about 80 bytes each); beyond it both sides are shuffled.
 BROADCAST_ROWS = 2_000_000
 
 #: Stands for a shared segment that has been taken out; NUL in a line counts as U+FFFD.
@@ -181,13 +181,13 @@ def _verified(rows: DataFrame, k: int) -> DataFrame:
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
-    """Lines of at least MIN_CHARS with their place, and 128 bits of hash that stand for the line."""
+    """Lines that are not blank with their place, and 128 bits of hash that stand for the line."""
     placed = docs.select(
         "doc_id",
         F.xxhash64("text").alias("text_hash"),
         F.posexplode(F.split(or_empty(F.col("text")), "\n")).alias("pos", "line"),
     )
-    return placed.where(F.length("line") >= MIN_CHARS).select(
+    return placed.where(F.col("line").rlike("\\S")).select(
         F.struct("doc_id", "text_hash", "pos").alias("place"),
         F.xxhash64("line").alias("h1"),
         F.xxhash64(F.lit(7), "line").alias("h2"),
@@ -198,9 +198,10 @@ def _occurrences(docs: DataFrame) -> DataFrame:
 def repeated_lines(docs: DataFrame, k: int = MAX_EDITS) -> DataFrame:
     """(doc_id, text_hash, dropped, copies_of) of the documents that repeat a line.
 
-    Lines link within ``k`` edits; linked lines form classes. The first line of a class
+    Lines of CHARS_PER_EDIT characters or more link within ``k`` edits; linked lines form classes, and
+    a shorter line is a class with its copies. Blank lines are no lines, and stay. The first line of a class
     by doc_id (null first), text hash and position stays, all others are in
-    ``dropped``, sorted positions from 0; ``copies_of`` are the distinct doc_ids of what stays.
+    ``dropped``, sorted positions from 0; ``copies_of`` are the distinct doc_ids of what stays (null left out).
     Rows of equal doc_id and text are one document that is listed once.
     """
     occurrences = _occurrences(docs)
@@ -208,7 +209,8 @@ def repeated_lines(docs: DataFrame, k: int = MAX_EDITS) -> DataFrame:
         F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), F.first("line").alias("line")
     )
     known = stored(distinct.withColumn("id", F.monotonically_increasing_id()), compression="zstd")
-    roots = components(edit_links(known.select("id", "line"), k)).withColumnRenamed("node", "id")
+    long_enough = known.where(F.length("line") >= CHARS_PER_EDIT).select("id", "line")
+    roots = components(edit_links(long_enough, k)).withColumnRenamed("node", "id")
     classes = (
         known.select("id", "h1", "h2", "first", "n")
         .join(roots, "id", "left")
@@ -235,26 +237,28 @@ def drop_repeated_lines(docs: DataFrame, k: int = MAX_EDITS) -> DataFrame:
     """
     names = ("n_lines", "n_dropped", "copies_of")
     columns = [c for c in docs.columns if c not in names]
-    found = repeated_lines(docs, k).toDF("_found_id", "_found_hash", "_dropped", "copies_of")
-    size = found.agg(F.coalesce(F.sum(F.size("_dropped") + F.size("copies_of")), F.lit(0))).first()[0]
+    own = "_" * max(len(c) for c in docs.columns)  # longer than any column's name with what follows
+    doc_id, text_hash, dropped, places = (own + x for x in ("doc_id", "text_hash", "dropped", "lines"))
+    found = repeated_lines(docs, k).toDF(doc_id, text_hash, dropped, "copies_of")
+    size = found.agg(F.coalesce(F.sum(F.size(dropped) + F.size("copies_of")), F.lit(0))).first()[0]
     if size <= BROADCAST_ROWS:
         found = F.broadcast(found)
-    same = F.xxhash64("text").eqNullSafe(F.col("_found_hash")) & docs["doc_id"].eqNullSafe(F.col("_found_id"))
+    same = F.xxhash64("text").eqNullSafe(F.col(text_hash)) & docs["doc_id"].eqNullSafe(F.col(doc_id))
     lines = F.split(or_empty(F.col("text")), "\n")
     runs = F.transform(
-        F.sequence(F.lit(0), F.size("_dropped")),
+        F.sequence(F.lit(0), F.size(dropped)),
         lambda i: F.slice(
-            "_lines",
-            F.coalesce(F.get("_dropped", i - 1), F.lit(-1)) + 2,
-            F.coalesce(F.get("_dropped", i), F.size("_lines")) - F.coalesce(F.get("_dropped", i - 1), F.lit(-1)) - 1,
+            places,
+            F.coalesce(F.get(dropped, i - 1), F.lit(-1)) + 2,
+            F.coalesce(F.get(dropped, i), F.size(places)) - F.coalesce(F.get(dropped, i - 1), F.lit(-1)) - 1,
         ),
     )
     rest = F.array_join(F.flatten(runs), "\n")
-    joined = docs.select(*columns).join(found, same, "left").withColumn("_lines", lines)
-    new_text = F.when(F.col("_dropped").isNotNull(), rest).otherwise(F.col("text"))
+    joined = docs.select(*columns).join(found, same, "left").withColumn(places, lines)
+    new_text = F.when(F.col(dropped).isNotNull(), rest).otherwise(F.col("text"))
     return joined.select(
         *[new_text.alias("text") if c == "text" else F.col(c) for c in columns],
-        F.size("_lines").cast("long").alias("n_lines"),
-        F.coalesce(F.size("_dropped"), F.lit(0)).cast("long").alias("n_dropped"),
-        F.coalesce("copies_of", F.array().cast("array<long>")).alias("copies_of"),
+        F.size(places).cast("long").alias("n_lines"),
+        F.coalesce(F.size(dropped), F.lit(0)).cast("long").alias("n_dropped"),
+        F.coalesce("copies_of", F.array().cast(found.schema["copies_of"].dataType)).alias("copies_of"),
     )

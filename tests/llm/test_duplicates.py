@@ -173,22 +173,31 @@ def test_repeated_lines_go(spark, monkeypatch, limit):
         (5, "", "x"),
         (6, "short", "x"),
         (6, "short", "x"),
+        (7, "shor\n \t\nshor\n\n \t", "x"),
     ]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, copies_of string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, copies_of string").withColumn("_lines", F.lit(9))
     got = {(r["doc_id"], r["text"]): (r["n_lines"], r["n_dropped"], r["copies_of"]) for r in lines.drop_repeated_lines(docs).collect()}
     assert got == {
         (1, f"{a}\nshort"): (3, 1, []),
-        (2, "short"): (4, 3, [1]),
+        (2, ""): (4, 4, [1]),
         (3, ""): (1, 1, [1]),
         (None, b): (1, 0, []),
         (4, None): (1, 0, []),
         (5, ""): (1, 0, []),
-        (6, "short"): (1, 0, []),
+        (6, ""): (1, 1, [1]),
+        (7, "shor\n \t\n\n \t"): (5, 1, [7]),
     }
+    assert lines.drop_repeated_lines(docs).select("_lines").distinct().collect() == [(9,)]
     assert lines.drop_repeated_lines(docs).count() == len(rows)
     assert lines.drop_repeated_lines(docs.limit(0)).count() == 0
 
 
+def test_text_ids_of_documents(spark):
+    docs = spark.createDataFrame([("a", "one line of some length"), ("b", "one line of some length"), ("c", "x")], "doc_id string, text string")
+    got = {r["doc_id"]: (r["text"], r["copies_of"]) for r in lines.drop_repeated_lines(docs).collect()}
+    assert got == {"a": ("one line of some length", []), "b": ("", ["a"]), "c": ("x", [])}
+
+
 # --- decontamination ---
 
 

@@ -41,9 +41,9 @@ def test_stages_by_brute_force(spark):
     right = sum((r["doc_id"] in kept) == bool(labels[r["doc_id"]]) for r in steps[0] if r["doc_id"] in labels)
     assert right >= 0.9 * sum(r["doc_id"] in labels for r in steps[0])
 
-    places = sorted((r["doc_id"], i, line) for r in good for i, line in enumerate(r["text"].split("\n")) if len(line) >= 20)
+    places = sorted((r["doc_id"], i, line) for r in good for i, line in enumerate(r["text"].split("\n")) if line.strip())
     texts = sorted({p[2] for p in places})
-    near = lambda i, j: abs(len(texts[i]) - len(texts[j])) <= 1 and (
+    near = lambda i, j: min(len(texts[i]), len(texts[j])) >= 20 and abs(len(texts[i]) - len(texts[j])) <= 1 and (
         texts[i][: len(texts[i]) // 2 - 1] == texts[j][: len(texts[i]) // 2 - 1]
         or texts[i][-(len(texts[i]) // 2 - 1) :] == texts[j][-(len(texts[i]) // 2 - 1) :]
     ) and distance(texts[i], texts[j]) <= 1
