@@ -96,20 +96,27 @@ def _variants(k: int, context: Column, text: Column) -> list[tuple[Column, bool,
     return found
 
 
-def _keys(rows: DataFrame, k: int, with_rest: bool) -> DataFrame:
-    """``rows`` (id, context, text) times their variants: id, key, own, and variant or rest and base.
+def _keys(rows: DataFrame, k: int) -> DataFrame:
+    """``rows`` (id, context, text) times their variants: id, key, own, rest and base.
 
     base is the length of the rest of the shorter text, the same in all rows of a key.
     """
     parts = []
-    for v, (key, own, rest, shorter) in enumerate(_variants(k, F.col("context"), F.col("text"))):
-        more = [F.lit(v).alias("variant")]
-        if with_rest:
-            more = [rest.alias("rest"), (F.length(rest) - shorter).alias("base")]
-        parts.append(F.struct(key.alias("key"), F.lit(int(own)).alias("own"), *more))
+    for key, own, rest, shorter in _variants(k, F.col("context"), F.col("text")):
+        base = (F.length(rest) - shorter).alias("base")
+        parts.append(F.struct(key.alias("key"), F.lit(int(own)).alias("own"), rest.alias("rest"), base))
     return rows.select("id", F.inline(F.array(*parts))).where("key IS NOT NULL")
 
 
+def _stored_keys(rows: DataFrame, k: int) -> DataFrame:
+    """id, key, own and the number of the variant; the texts are cut once, though the keys are read twice."""
+    variants = _variants(k, F.col("context"), F.col("text"))
+    hashed = stored(rows.select("id", F.array(*[key for key, *_ in variants]).alias("keys")))
+    own = F.col("variant").isin([v for v, (_, own, *_) in enumerate(variants) if own]).cast("int")
+    keys = hashed.select("id", F.posexplode("keys").alias("variant", "key")).where("key IS NOT NULL")
+    return keys.withColumn("own", own)
+
+
 def _met(keys: DataFrame) -> DataFrame:
     """The keys that at least two rows share, one of them as its own segment, with their number n."""
     shared = keys.groupBy("key").agg(F.sum("own").alias("owned"), F.count(F.lit(1)).alias("n"))
@@ -123,7 +130,7 @@ def edit_links(lines: DataFrame, k: int = MAX_EDITS) -> DataFrame:
     """
     text = F.translate("line", _MARK, "\ufffd")
     rows = lines.select("id", F.lit(0).cast("long").alias("context"), text.alias("text"))
-    met = stored(_met(_keys(rows, k, with_rest=False)).select("id", "key", "variant", "n"))
+    met = stored(_met(_stored_keys(rows, k)).select("id", "key", "variant", "n"))
     rests = F.array(
         *[F.struct(rest.alias("rest"), (F.length(rest) - shorter).alias("base"))
           for _, _, rest, shorter in _variants(k, F.col("context"), F.col("text"))]
@@ -143,7 +150,7 @@ def edit_links(lines: DataFrame, k: int = MAX_EDITS) -> DataFrame:
         else:
             links.append(_verified(rows.where(short), k))
         deeper = rows.where(~short).select("id", F.col("key").alias("context"), F.col("rest").alias("text"))
-        rows = stored(_met(_keys(deeper.distinct(), k, with_rest=True)).select("id", "key", "n", "rest", "base"))
+        rows = stored(_met(_keys(deeper.distinct(), k)).select("id", "key", "n", "rest", "base"))
     if not links:
         return rows.select(F.col("id").alias("a"), F.col("id").alias("b"))
     return reduce(DataFrame.union, links).distinct()
