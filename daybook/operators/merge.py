@@ -148,6 +148,7 @@ def merge_rows(
     rule: MergeRule,
     strategy: str = "auto",
     broadcast_limit_bytes: int = BROADCAST_LIMIT_BYTES,
+    beyond_limit: str = "raise",
 ) -> DataFrame:
     """The target's contents after merging ``updates`` into it.
 
@@ -157,14 +158,16 @@ def merge_rows(
     the target's key type cannot hold raises.
 
     ``auto`` measures the staged rows and broadcasts them if they stay below the
-    limit; ``broadcast`` raises if they do not; ``shuffle`` never broadcasts
-    anything. The result is the same. A merge with repeated keys writes these, and a
+    limit; ``broadcast`` raises if they do not, or shuffles them if ``beyond_limit``
+    is ``shuffle``; ``shuffle`` never broadcasts anything. The result is the same. A merge with repeated keys writes these, and a
     large one the other staged rows, to scratch tables; it raises before anything
     else is written if a target row would be changed twice. ``updates`` is read
     several times: pass a table.
     """
     if strategy not in ("auto", "broadcast", "shuffle"):
         raise ValueError(f"unknown strategy {strategy!r}")
+    if beyond_limit not in ("raise", "shuffle"):
+        raise ValueError(f"unknown beyond_limit {beyond_limit!r}")
     unknown = [c for c in updates.columns if c not in target.columns]
     if unknown:
         raise ValueError(f"staged columns missing in the target: {', '.join(unknown)}")
@@ -174,7 +177,7 @@ def merge_rows(
     per_key = _per_key(updates, key)
     profile = _totals(per_key, key)
     fits = profile.bytes is not None and profile.bytes <= broadcast_limit_bytes
-    if strategy == "broadcast" and not fits:
+    if strategy == "broadcast" and not fits and beyond_limit == "raise":
         raise ValueError(f"staged rows of {profile.bytes} bytes exceed {broadcast_limit_bytes}")
     small = fits and strategy != "shuffle"
     place = F.broadcast if small else lambda side: side
@@ -192,7 +195,7 @@ def merge_rows(
         added.append(updates.join(place(new if small else stored(new)), key, "left_semi"))
         acting = acting.join(place(repeated), key, "left_anti")
         acting = acting if small else stored(acting)
-    filtered = strategy == "auto" and not small and profile.rows <= FILTER_KEYS
+    filtered = strategy != "shuffle" and not small and profile.rows <= FILTER_KEYS
     if filtered and FILTER_BYTES <= broadcast_limit_bytes:
         held = _possible(target.select(key), acting.select(key), key)
     elif small:

@@ -347,6 +347,20 @@ def test_large_updates_are_not_broadcast(spark, saved, settings):
         merge_rows(target, updates, BOOKINGS_RULE, "broadcast", broadcast_limit_bytes=100)
 
 
+def test_a_broadcast_beyond_the_limit_may_be_shuffled(spark, saved, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    target, updates = saved("t", frame(spark, TARGET)), saved("u", frame(spark, UPDATES))
+
+    def merged(limit):
+        return merge_rows(target, updates, BOOKINGS_RULE, "broadcast", limit, beyond_limit="shuffle")
+
+    assert "Broadcast" not in plan(merged(100), "simple")
+    assert bag(merged(100)) == brute_force(TARGET, UPDATES)
+    assert plan(merged(1 << 20), "simple").count("BroadcastHashJoin") == 3
+    with pytest.raises(ValueError):
+        merge_rows(target, updates, BOOKINGS_RULE, "broadcast", beyond_limit="ignore")
+
+
 def test_a_large_merge_reads_the_target_once_and_its_keys_once(spark, saved, settings, monkeypatch):
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
     target, updates, _ = hot_frames(spark, saved)

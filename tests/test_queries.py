@@ -87,3 +87,12 @@ def test_scratch_is_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert scratch_dir(spark).startswith(shared + "/")
     assert scratch_dir(spark) != scratch_dir(spark)
+
+
+@pytest.mark.parametrize("name", ["bookings_merge_broadcast", "customers_merge_broadcast", "merge_number_keys"])
+def test_broadcast_queries_give_all_rows_beyond_the_limit(spark, con, monkeypatch, name):
+    def limited(*sides, broadcast_limit_bytes=None, **how):
+        return merge_rows(*sides, broadcast_limit_bytes=1000, **how)
+
+    monkeypatch.setattr("workload.queries.merge_rows", limited)
+    assert difference(QUERIES[name](spark, SMALL), con, ORACLE[name]) is None

@@ -311,13 +311,17 @@ def customers_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bookings_merge_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Broadcasts a larger day than usual; beyond the limit it raises."""
-    return _merged_bookings(spark, sf_dir, strategy="broadcast", broadcast_limit_bytes=256 << 20)
+    """Broadcasts a larger day than usual; beyond the limit it is shuffled."""
+    return _merged_bookings(
+        spark, sf_dir, strategy="broadcast", broadcast_limit_bytes=256 << 20, beyond_limit="shuffle"
+    )
 
 
 @query
 def customers_merge_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _merged_customers(spark, sf_dir, strategy="broadcast", broadcast_limit_bytes=256 << 20)
+    return _merged_customers(
+        spark, sf_dir, strategy="broadcast", broadcast_limit_bytes=256 << 20, beyond_limit="shuffle"
+    )
 
 
 @query
@@ -390,7 +394,7 @@ def _merged_orders(spark, sf_dir, strategy) -> DataFrame:
     target = orders.where(key % 3 != 0).withColumn("order_key", key.cast("int"))
     updates = orders.where(key % 2 == 0).withColumn("o_totalprice", F.lit(0.0))
     sides = _stored(spark, target, updates)
-    return merge_rows(*sides, MergeRule("order_key", "F"), strategy=strategy)
+    return merge_rows(*sides, MergeRule("order_key", "F"), strategy=strategy, beyond_limit="shuffle")
 
 
 @query
