@@ -402,6 +402,16 @@ def test_a_large_day_shuffles_few_other_keys_of_the_target(spark, saved, setting
     assert bag(filtered) == want
 
 
+def test_number_keys_beyond_the_limit(spark):
+    target = frame(spark, [("1", "completed", 1.0), ("2", "cancelled", 1.0)])
+    target = target.withColumn("booking_id", F.col("booking_id").cast("int"))
+    updates = frame(spark, [("1", "pending", 2.0), ("2", "pending", 2.0), ("3", "pending", 2.0)])
+    updates = updates.withColumn("booking_id", F.col("booking_id").cast("bigint"))
+    merged = merge_rows(target, updates, BOOKINGS_RULE, "broadcast", 100, beyond_limit="shuffle")
+    assert merged.schema["booking_id"].dataType.simpleString() == "int"
+    assert bag(merged) == Counter([(1, "pending", 2.0), (3, "pending", 2.0)])
+
+
 KEY_TYPES = {
     "int": ("1", "2", "3"),
     "bigint": ("1", "2", "3"),
