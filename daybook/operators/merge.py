@@ -9,7 +9,9 @@ the same:
   take part in no join;
 * keys that several staged rows carry are asked for in the target before anything
   is written. If one meets a row that would change, the merge is refused; if
-  not, its rows are inserted or do nothing, and no other join sees them. Without
+  not, its rows are inserted or do nothing, and the target's rows are not joined to
+  them. The keys of a large merge that are staged once are then asked for too, so that
+  the wide rows are shuffled only if the target holds some. Without
   such keys, the usual case, nothing is asked and nothing is stored.
 
 Staged rows that are small enough, by measure, are broadcast, and the target is
@@ -160,7 +162,7 @@ def merge_rows(
     ``auto`` measures the staged rows and broadcasts them if they stay below the
     limit; ``broadcast`` raises if they do not, or shuffles them if ``beyond_limit``
     is ``shuffle``; ``shuffle`` never broadcasts anything. The result is the same. A merge with repeated keys writes these, and a
-    large one the other staged rows, to scratch tables; it raises before anything
+    large one the staged rows that change the target, to scratch tables; it raises before anything
     else is written if a target row would be changed twice. ``updates`` is read
     several times: pass a table.
     """
@@ -185,25 +187,42 @@ def merge_rows(
     acting, added = updates.filter(F.col(key).isNotNull()), []
     if profile.null_keys:
         added.append(updates.filter(F.col(key).isNull()))
+    filtered = strategy != "shuffle" and not small and profile.rows <= FILTER_KEYS
+    filtered = filtered and FILTER_BYTES <= broadcast_limit_bytes
+
+    def held(staged: DataFrame) -> DataFrame:
+        """The target's keys, at least those that are staged."""
+        if filtered:
+            return _possible(target.select(key), staged.select(key), key)
+        if small:
+            return target.select(key).join(F.broadcast(staged.select(key)), key, "left_semi")
+        return target.select(key)
+
     if profile.repeated_keys:
         repeated = stored(per_key.filter((F.col(_COPIES) > 1) & F.col(key).isNotNull()).select(key))
         met = _met(target, repeated, rule, small)
         _reject_ambiguous(met.filter(_ACTS), key)
         # A repeated key may still meet target rows without a status. They are
         # not changed, and the key is not new, so its staged rows do nothing.
-        new = repeated.join(place(met.select(key)), key, "left_anti")
-        added.append(updates.join(place(new if small else stored(new)), key, "left_semi"))
-        acting = acting.join(place(repeated), key, "left_anti")
-        acting = acting if small else stored(acting)
-    filtered = strategy != "shuffle" and not small and profile.rows <= FILTER_KEYS
-    if filtered and FILTER_BYTES <= broadcast_limit_bytes:
-        held = _possible(target.select(key), acting.select(key), key)
-    elif small:
-        held = target.select(key).join(F.broadcast(acting.select(key)), key, "left_semi")
-    else:
-        held = target.select(key)
-    added.append(acting.join(place(held.distinct()), key, "left_anti"))
-    kept = _apply(target, acting, rule, place)
+        if small:
+            new = repeated.join(F.broadcast(met.select(key)), key, "left_anti")
+            added.append(updates.join(F.broadcast(new), key, "left_semi"))
+            acting = acting.join(F.broadcast(repeated), key, "left_anti")
+        else:
+            # Which keys are held is settled by the keys alone. Staged rows are shuffled to set those
+            # of held keys apart, and once more to leave these out; neither if no key is held.
+            once = per_key.filter((F.col(_COPIES) == 1) & F.col(key).isNotNull()).select(key)
+            met_once = stored(held(once).distinct().join(once, key, "left_semi"))
+            known = met.select(key).unionByName(met_once)
+            added.append(acting if known.isEmpty() else acting.join(known, key, "left_anti"))
+            none = met_once.isEmpty()
+            kept = target if none else _apply(target, stored(acting.join(met_once, key, "left_semi")), rule, place)
+            return _united(target, kept, added)
+    added.append(acting.join(place(held(acting).distinct()), key, "left_anti"))
+    return _united(target, _apply(target, acting, rule, place), added)
+
+
+def _united(target: DataFrame, kept: DataFrame, added: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [_like(rows, target) for rows in added], kept)
 
 

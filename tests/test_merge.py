@@ -385,6 +385,16 @@ def test_repeated_keys_are_asked_for_alone(spark, saved, monkeypatch):
     assert bag(merged) == brute_force(TARGET, [("new", "pending", 1.0)] * 3 + UPDATES)
 
 
+@pytest.mark.parametrize("in_target", [[], [("b", "completed", 1.0)], [("a", None, 1.0)], [("b", None, 1.0), ("a", None, 1.0)]])
+def test_new_repeated_rows_are_shuffled_only_if_a_key_is_held(spark, saved, settings, in_target):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    days = [*TARGET[:3], *in_target], [("a", "pending", 1.0), ("a", "pending", 2.0), ("b", "cancelled", 3.0), (None, "x", 1.0)]
+    target, updates = saved("t", frame(spark, days[0])), saved("u", frame(spark, days[1]))
+    merged = merge_rows(target, updates, BOOKINGS_RULE, "shuffle")
+    assert bag(merged) == brute_force(*days)
+    assert ("Exchange" in plan(merged, "simple")) == bool(in_target)
+
+
 def test_a_large_day_shuffles_few_other_keys_of_the_target(spark, saved, settings, monkeypatch):
     """Of 60,000 keys of the target about the 600 staged ones pass the filter."""
     settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
