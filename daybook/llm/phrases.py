@@ -22,6 +22,7 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,7 +43,9 @@ BLOCK = 200_000
 #: Phrases that a task counts before it hands them on.
 COUNTED = 1_000_000
 #: Counts of blocks that wait to be added up, and rows handed on at a time.
-WAITING, HANDED = 150_000, 50_000
+WAITING, HANDED = 150_000, 20_000
+#: Documents of a batch that are made Python texts at a time.
+TEXTS = 200
 #: Parts in which the best phrases of a language are looked for before they are ranked together.
 RANK_PARTS = 256
 
@@ -68,9 +71,14 @@ class _Vocabulary:
         self.words: list[bytes] = []
         self.hashes = np.zeros(0, dtype=np.uint64)
 
-    def hashed(self) -> tuple[np.ndarray, np.ndarray]:
+    def listed(self) -> list[bytes]:
+        """The words that came since it was asked last, now in ``words`` too."""
         new = list(islice(self.ids, len(self.words), None))
         self.words += new
+        return new
+
+    def hashed(self) -> tuple[np.ndarray, np.ndarray]:
+        new = self.listed()
         self.hashes = np.r_[self.hashes, np.array([xxhash.xxh64_intdigest(w) for w in new], dtype=np.uint64)]
         names = [xxhash.xxh64_intdigest(x.encode("utf-8", "replace"), 1) for x in self.langs]
         return self.hashes, np.array(names, dtype=np.uint64)
@@ -109,22 +117,56 @@ class _Block:
             self.ok.append(self.ok[-1][:-1] & (self.a[n - 1 :] > 0))
 
 
-def _blocks(
-    batches: Iterator[pd.DataFrame], longest: int = LONGEST, vocabulary: _Vocabulary | None = None
-) -> Iterator[_Block]:
-    block = _Block(vocabulary)
+    def renumber(self, vocabulary: _Vocabulary, chosen: list[np.ndarray]) -> None:
+        """Number the words of the chosen starts as in ``vocabulary``; all others are 0 then."""
+        words = self.vocabulary.words
+        used = np.zeros(len(words), dtype=bool)
+        for i, starts in enumerate(map(np.flatnonzero, chosen)):
+            for j in range(i + 1):
+                used[self.a[starts + j]] = True
+        ids, langs = vocabulary.ids, vocabulary.langs
+        number = np.zeros(len(words), dtype=np.int32)
+        for w in np.flatnonzero(used).tolist():
+            number[w] = ids.setdefault(words[w], len(ids))
+        self.a = number[self.a]
+        self.lang = np.array([langs.setdefault(x, len(langs)) for x in self.vocabulary.langs], dtype=np.int32)[self.lang]
+        vocabulary.listed()
+        self.vocabulary = vocabulary
+
+
+def _blocks(batches: Iterator[pd.DataFrame], longest: int = LONGEST) -> Iterator[_Block]:
+    block = _Block()
     for batch in batches:
         for text, lang, shard in zip(batch["text"], batch["lang"], batch["shard"], strict=True):
             block.add(text, lang, shard)
             if block.size >= BLOCK:
                 block.close(longest)
                 yield block
-                block = _Block(vocabulary)
+                block = _Block()
     if block.size:
         block.close(longest)
         yield block
 
 
+def _in_arrow(count: Callable, schema: pa.Schema) -> Callable:
+    """``count`` over Arrow batches, of which few rows at a time are Python texts."""
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXTS):
+                yield batch.slice(at, TEXTS).to_pandas()
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in count(texts(batches)):
+            yield pa.RecordBatch.from_pandas(frame, schema, preserve_index=False)
+
+    return counted
+
+
+_KEYED = pa.schema([("key", pa.int64()), ("shard", pa.int32()), ("n", pa.int64())])
+_WORDED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("f", pa.int64())])
+
+
 def _shard_counts(block: _Block, n: int, chosen: np.ndarray) -> Iterator[pd.DataFrame]:
     """Rows (key, shard, n) of the chosen starts of n words."""
     shards, keys = block.shard[: len(chosen)][chosen], block.keys[n - 1][chosen]
@@ -188,12 +230,18 @@ class _Counts:
         ids = np.concatenate([self.ids, *[w[1] for w in self.waiting]])
         f = np.concatenate([self.f, *[w[2] for w in self.waiting]])
         self.waiting, self.n_waiting = [], 0
-        unique, where, again = np.unique(keys, return_index=True, return_inverse=True)
-        if (ids != ids[where][again]).any():
-            self.keys, self.ids, self.f = keys, ids, f  # not added up: handed on as they are
-            return False
-        self.f = np.bincount(again, weights=f, minlength=len(unique)).astype(np.int64)
-        self.keys, self.ids = unique, ids[where]
+        self.keys, self.ids, self.f = keys, ids, f
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        again = keys[1:] == keys[:-1]
+        # A column at a time, and only where a hash comes again, so that nothing is held twice.
+        later, earlier = order[1:][again], order[:-1][again]
+        if any((ids[later, c] != ids[earlier, c]).any() for c in range(self.n + 1)):
+            return False  # not added up: handed on as they are
+        starts = np.flatnonzero(np.r_[True, ~again][: len(keys)])
+        self.keys = keys[starts]
+        self.f = np.add.reduceat(f[order], starts) if len(starts) else f
+        self.ids = ids[order[starts]]
         return True
 
     def rows(self, vocabulary: _Vocabulary) -> Iterator[pd.DataFrame]:
@@ -224,6 +272,7 @@ def _phrases(candidates) -> Callable:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = np.frombuffer(candidates.value, dtype=np.uint8)
+        # Of the words of the task only those of candidates are kept.
         vocabulary, sizes = _Vocabulary(), Counter()
         counts = [_Counts(n) for n in range(1, LONGEST + 1)]
 
@@ -232,14 +281,15 @@ def _phrases(candidates) -> Callable:
             yield from counts[i].rows(vocabulary)
             counts[i] = _Counts(i + 1)
 
-        for block in _blocks(batches, LONGEST, vocabulary):
-            langs = list(vocabulary.langs)
+        for block in _blocks(batches):
+            langs = list(block.vocabulary.langs)
             for lang, size in enumerate(np.bincount(block.lang[block.ok[0]], minlength=len(langs)).tolist()):
                 sizes[langs[lang], "", 0] += size
+            chosen = [ok & has(bits, key & np.uint64(MASK)) for ok, key in zip(block.ok, block.keys, strict=True)]
+            block.renumber(vocabulary, chosen)
             for i, of_size in enumerate(counts):
-                chosen = block.ok[i] & has(bits, block.keys[i] & np.uint64(MASK))
-                if chosen.any() and not of_size.add(block, chosen):
-                    yield _one_by_one(block, i + 1, chosen)
+                if chosen[i].any() and not of_size.add(block, chosen[i]):
+                    yield _one_by_one(block, i + 1, chosen[i])
                 if of_size.n_waiting > WAITING and not of_size.merge():
                     yield from handed_on(i)
             if sum(len(c.keys) for c in counts) >= COUNTED:
@@ -284,11 +334,14 @@ def phrase_counts(
 
     low = F.col("key").bitwiseAND(F.lit(MASK))
     salts = F.array(*[F.lit(k).cast("long") for k in _SHARD_KEYS[:shards]])
-    pairs = frequent(source.mapInPandas(_pairs, schema))
+    pairs = frequent(source.mapInArrow(_in_arrow(_pairs, _KEYED), schema))
     in_shard = low.bitwiseXOR(F.get(salts, F.col("shard")))
-    longer = frequent(source.mapInPandas(_longer(bitmap(in_shard, pairs), local_support), schema))
+    longer = _longer(bitmap(in_shard, pairs), local_support)
+    longer = frequent(source.mapInArrow(_in_arrow(longer, _KEYED), schema))
     candidates = bitmap(low, pairs.unionByName(longer).select("key"))
-    counted = source.mapInPandas(_phrases(candidates), "lang string, phrase string, words int, f long")
+    counted = source.mapInArrow(
+        _in_arrow(_phrases(candidates), _WORDED), "lang string, phrase string, words int, f long"
+    )
     summed = counted.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
     return stored(summed.where((F.col("words") == 0) | (F.col("f") >= support)))
 

@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from daybook.llm import phrases
@@ -126,3 +127,44 @@ def test_empty_and_rare(spark):
 def test_numbers_beyond_64_bits(spark):
     row = spark.range(1).selectExpr("CAST(9223372036854775807 AS DECIMAL(38,0)) a", "CAST(18446744073709551613 AS DECIMAL(38,0)) w")
     assert row.selectExpr(f"({phrases.SCALE}BD * a) div w AS s").first()["s"] == 2_000_000 * (2**63 - 1) // (2**64 - 3)
+
+
+def test_few_texts_of_a_batch_are_python_texts_at_a_time():
+    texts = ["big red dog", None, "", "big red"] * 1_000
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    seen = []
+
+    def count(frames):
+        for frame in frames:
+            seen.append(len(frame))
+            yield phrases._rows([("en", t or "", 1) for t in frame["text"]], [1] * len(frame))
+
+    out = list(phrases._in_arrow(count, phrases._WORDED)(iter([batch])))
+    assert max(seen) <= phrases.TEXTS and sum(seen) == len(texts)
+    assert [p for b in out for p in b.column("phrase").to_pylist()] == [t or "" for t in texts]
+
+
+def test_counts_of_blocks_are_added_by_words():
+    counts = phrases._Counts(2)
+    shared = phrases._Vocabulary()
+    for text in ("a b a b c", "b c a b", "x y"):
+        block = phrases._Block(shared)
+        block.add(text, "en", 0)
+        block.close(2)
+        assert counts.add(block, block.ok[1])
+    assert counts.merge() and counts.merge()
+    found = {r.phrase: r.f for frame in counts.rows(shared) for r in frame.itertuples()}
+    assert found == {"a b": 3, "b a": 1, "b c": 2, "c a": 1, "x y": 1}
+
+
+def test_a_task_keeps_the_words_of_candidates_only():
+    block, kept = phrases._Block(), phrases._Vocabulary()
+    block.add("once upon a time, a time once", "en", 0)
+    block.close(2)
+    a, words = block.a, block.vocabulary.words
+    is_time = np.array([words[x] == b"a" and words[y] == b"time" for x, y in zip(a, a[1:])])
+    block.renumber(kept, [np.zeros(len(a), dtype=bool), is_time])
+    assert set(kept.words) == {b"\n", b"a", b"time"} and list(kept.langs) == ["en"]
+    counts = phrases._Counts(2)
+    assert counts.add(block, is_time) and counts.merge()
+    assert [tuple(r) for f in counts.rows(kept) for r in f.itertuples(index=False)] == [("en", "a time", 2, 2)]
