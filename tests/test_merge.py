@@ -395,6 +395,17 @@ def test_new_repeated_rows_are_shuffled_only_if_a_key_is_held(spark, saved, sett
     assert ("Exchange" in plan(merged, "simple")) == bool(in_target)
 
 
+def test_a_hot_new_key_is_settled_by_keys_alone(spark, saved, monkeypatch):
+    target, _, copies = hot_frames(spark, saved)
+    target, updates = saved("t", target), saved("u", copies.union(frame(spark, [("new", "cancelled", 2.0)])))
+    writes = []
+    monkeypatch.setattr(merge, "stored", lambda df: writes.append(df.columns) or stored(df))
+    merged = merge_rows(target, updates, BOOKINGS_RULE, "shuffle")
+    assert all("total_amount" not in columns for columns in writes)
+    assert "Exchange" not in plan(merged, "simple")
+    assert merged.count() == 45_001 and merged.where("booking_id = 'hot'").count() == 15_000
+
+
 def test_a_large_day_shuffles_few_other_keys_of_the_target(spark, saved, settings, monkeypatch):
     """Of 60,000 keys of the target about the 600 staged ones pass the filter."""
     settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
