@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from daybook.params import DATE_TIME_FORMAT, PipelineParams
+from daybook.plans.staging import bookings_plan
 from daybook.schemas import BOOKINGS_RAW, CUSTOMERS_RAW
 from daybook.sources.json_files import read_bookings, read_customers, write_json
 from tests.helpers import GOOD_BOOKING, GOOD_CUSTOMER, bag, bookings, customers, ids, plan
@@ -171,3 +172,11 @@ def test_long_values_do_not_overflow(spark, tmp_path):
     (tmp_path / "f.json").write_text(json.dumps([{"booking_id": 'x\\"' * 200_000}, {"booking_id": "y"}]))
     cut = read_bookings(spark, str(tmp_path / "f.json"), split_arrays=True)
     assert sorted(len(r["booking_id"]) for r in cut.collect()) == [1, 600_000]
+
+
+def test_a_split_record_is_parsed_once_whatever_filters_follow(spark, tmp_path):
+    changes = [{}, {"booking_id": None}, {"start_time": "bad"}, {"status": "odd"}]
+    path = saved(tmp_path, json.dumps([{**GOOD_BOOKING, **change} for change in changes]))
+    kept = bookings_plan(read_bookings(spark, path, split_arrays=True), DATE_TIME_FORMAT, "UTC")
+    assert ids(kept, "booking_id") == ["B1"]
+    assert plan(kept, "simple").count("from_json") == 1
