@@ -77,7 +77,7 @@ def check_and_merge(
     on_bookings = Verification(bookings, BOOKINGS_CHECK, measured=measured[0])
     on_customers = Verification(customers, CUSTOMERS_CHECK, measured=measured[1])
     # Both are computed before either is tested.
-    _both(spark, lambda: on_bookings.rows, lambda: on_customers.rows)
+    side_by_side(spark, lambda: on_bookings.rows, lambda: on_customers.rows)
     if preview:
         preview("checks on bookings", on_bookings.results)
         preview("checks on customers", on_customers.results)
@@ -96,7 +96,7 @@ def check_and_merge(
         done = [params.on_published != "merge" and _holds_day(spark, params, side[1]) for side in sides]
         open_ = [side for side, is_done in zip(sides, done, strict=True) if not is_done]
         # Both results exist in full before either target changes.
-        snapshots = _both(
+        snapshots = side_by_side(
             spark,
             *[lambda s=side: _merge_to_snapshot(spark, params, *s) for side in open_],
         )
@@ -113,7 +113,7 @@ def run_day(
     spark: SparkSession, params: PipelineParams, preview: Preview | None = None
 ) -> Day:
     """Stage both feeds, then check and merge."""
-    bookings, customers = _both(
+    bookings, customers = side_by_side(
         spark,
         lambda: stage_bookings(spark, params, preview),
         lambda: stage_customers(spark, params, preview),
@@ -165,7 +165,7 @@ def _merge_in_place(
         create_table(updates, target, params.table_format)
 
 
-def _both(spark: SparkSession, *jobs: Callable[[], object]) -> list:
+def side_by_side(spark: SparkSession, *jobs: Callable[[], object]) -> list:
     """Run independent jobs side by side, so that one fills the other's gaps."""
     inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max(1, len(jobs))) as pool:

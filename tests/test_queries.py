@@ -1,6 +1,7 @@
 """Registered queries against SQL on DuckDB, and known results at one size."""
 
 from collections import Counter
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from compare import connect, difference
 from daybook.operators.clean import booking_stages, customer_stages, funnel
 from daybook.operators.merge import BOOKINGS_RULE, CUSTOMERS_RULE, merge_rows
 from daybook.schemas import BOOKINGS_STAGED
+from daybook.sources.json_files import write_json
 from workload.feeds import raw_bookings, raw_customers
 from workload.oracle import ORACLE
 from workload.queries import QUERIES, staged_bookings, staged_customers
@@ -96,3 +98,14 @@ def test_broadcast_queries_give_all_rows_beyond_the_limit(spark, con, monkeypatc
 
     monkeypatch.setattr("workload.queries.merge_rows", limited)
     assert difference(QUERIES[name](spark, SMALL), con, ORACLE[name]) is None
+
+
+def test_the_two_feeds_of_a_day_are_written_side_by_side(spark, monkeypatch):
+    both = Barrier(2)
+
+    def met(df, path):
+        both.wait(timeout=60)
+        write_json(df, path)
+
+    monkeypatch.setattr("workload.queries.write_json", met)
+    assert QUERIES["run_day_counts"](spark, SMALL).count() == 2

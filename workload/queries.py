@@ -35,7 +35,7 @@ from daybook.operators.quality import (
     verify,
 )
 from daybook.params import DATE_TIME_FORMAT, PipelineParams
-from daybook.plans.daily import run_day
+from daybook.plans.daily import run_day, side_by_side
 from daybook.plans.staging import bookings_plan, customers_plan, first_rows
 from daybook.sources.json_files import read_bookings, read_customers, write_json
 from daybook.sources import mock
@@ -438,8 +438,11 @@ def _two_days(spark: SparkSession, sf_dir: str, retried: bool = False, **how) ->
             time_zone="UTC",
             **how,
         )
-        write_json(raw_bookings(spark, sf_dir, day), params.input_path("bookings"))
-        write_json(raw_customers(spark, sf_dir, day), params.input_path("customers"))
+        side_by_side(
+            spark,
+            lambda day=day, path=params.input_path("bookings"): write_json(raw_bookings(spark, sf_dir, day), path),
+            lambda day=day, path=params.input_path("customers"): write_json(raw_customers(spark, sf_dir, day), path),
+        )
         run_day(spark, params)
     if retried:
         run_day(spark, params)
