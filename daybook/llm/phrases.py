@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.bits import MASK, bitmap, has
@@ -44,6 +44,8 @@ BLOCK = 200_000
 COUNTED = 1_000_000
 #: Counts of blocks that wait to be added up, and rows handed on at a time.
 WAITING, HANDED = 150_000, 20_000
+#: Word pairs of a task that counts candidates, beyond which there are more tasks than cores.
+TASK_PAIRS = 1 << 26
 #: Documents of a batch that are made Python texts at a time.
 TEXTS = 200
 #: Parts in which the best phrases of a language are looked for before they are ranked together.
@@ -310,11 +312,17 @@ def phrase_counts(
     support: int = SUPPORT,
     shards: int = SHARDS,
     deal_by: str | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """(lang, phrase, words, f): all phrases of 2 to LONGEST words with f >= support, and the words in them.
 
     Words and pieces as in ``collocations``; f counts all occurrences, overlapping ones too. A row
     of each language with an empty phrase and words 0 has the number of all its words.
+
+    Candidates are counted by at most ``tasks`` tasks, by default one for each core that Spark knows of
+    then, and more only where one would read over TASK_PAIRS word pairs. Each task hands on the candidates
+    that it has met, so the partitions of a larger input would multiply the rows by tasks as well as by
+    candidates. The result does not depend on it.
     """
     if not 1 <= shards <= len(_SHARD_KEYS):
         raise ValueError(f"shards must be 1 to {len(_SHARD_KEYS)}")
@@ -326,20 +334,26 @@ def phrase_counts(
         F.pmod(dealt_by, F.lit(shards)).cast("int").alias("shard"),
     )
     local_support = -(-support // shards)
-    schema = "key long, shard int, n long"
 
-    def frequent(counted: DataFrame) -> DataFrame:
-        summed = counted.groupBy("key", "shard").agg(F.sum("n").alias("n"))
+    def summed_up(count: Callable) -> DataFrame:
+        counted = source.mapInArrow(_in_arrow(count, _KEYED), "key long, shard int, n long")
+        return counted.groupBy("key", "shard").agg(F.sum("n").alias("n"))
+
+    def frequent(summed: DataFrame) -> DataFrame:
         return stored(summed.where(F.col("n") >= local_support).select("key", "shard"))
 
     low = F.col("key").bitwiseAND(F.lit(MASK))
     salts = F.array(*[F.lit(k).cast("long") for k in _SHARD_KEYS[:shards]])
-    pairs = frequent(source.mapInArrow(_in_arrow(_pairs, _KEYED), schema))
+    all_pairs = Observation()
+    pairs = frequent(summed_up(_pairs).observe(all_pairs, F.sum("n").alias("n")))
     in_shard = low.bitwiseXOR(F.get(salts, F.col("shard")))
     longer = _longer(bitmap(in_shard, pairs), local_support)
-    longer = frequent(source.mapInArrow(_in_arrow(longer, _KEYED), schema))
+    longer = frequent(summed_up(longer))
     candidates = bitmap(low, pairs.unionByName(longer).select("key"))
-    counted = source.mapInArrow(
+    if tasks is None:
+        tasks = max(docs.sparkSession.sparkContext.defaultParallelism, (all_pairs.get["n"] or 0) // TASK_PAIRS)
+    counting = source.coalesce(tasks)
+    counted = counting.mapInArrow(
         _in_arrow(_phrases(candidates), _WORDED), "lang string, phrase string, words int, f long"
     )
     summed = counted.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
@@ -358,6 +372,7 @@ def collocations(
     top: int | None = TOP,
     shards: int = SHARDS,
     deal_by: str | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the best phrases of each language, all of them if ``top`` is None.
 
@@ -367,11 +382,12 @@ def collocations(
     shortest first part); l and r count its parts. A phrase inside a longer one that accounts for
     COVERED percent of its occurrences goes.
 
-    ``deal_by`` names the column that deals documents to shards, by default the text; the result does
-    not depend on it. A null text is empty, a null language is ``und``. Repeated rows count as often as they come.
-    An empty table, and one without frequent phrases, gives no rows. Other columns are not read.
+    ``deal_by`` names the column that deals documents to shards, by default the text, and ``tasks`` how many
+    tasks count the candidates at most; the result depends on neither. A null text is empty, a null language
+    is ``und``. Repeated rows count as often as they come. An empty table, and one without frequent phrases,
+    gives no rows. Other columns are not read.
     """
-    counts = phrase_counts(docs, text, lang, support, shards, deal_by)
+    counts = phrase_counts(docs, text, lang, support, shards, deal_by, tasks)
     known = counts.where("words > 0")
     phrases = known.where("words > 1").select("lang", "phrase", "words", F.col("f").alias("a"))
     parts = phrases.withColumn("w", F.split("phrase", " ")).withColumn(

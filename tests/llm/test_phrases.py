@@ -168,3 +168,24 @@ def test_a_task_keeps_the_words_of_candidates_only():
     counts = phrases._Counts(2)
     assert counts.add(block, is_time) and counts.merge()
     assert [tuple(r) for f in counts.rows(kept) for r in f.itertuples(index=False)] == [("en", "a time", 2, 2)]
+
+
+def test_more_partitions_do_not_hand_on_more_rows(spark, monkeypatch):
+    """The rows of the last count are bounded by its tasks times the candidates, not by the input's partitions."""
+
+    def one_row_a_task(candidates):
+        def count(batches):
+            rows = sum(len(batch) for batch in batches)
+            yield phrases._rows([("en", "tasks", 2), ("en", "rows", 2)], [1, rows])
+
+        return count
+
+    docs = frame(spark, [("new york city", "en")] * 60).repartition(30)
+    assert phrases.phrase_counts(docs, support=5, tasks=2).where("words = 3").first()["f"] == 60
+    monkeypatch.setattr(phrases, "_phrases", one_row_a_task)
+    for tasks, most in ((3, 3), (None, spark.sparkContext.defaultParallelism)):
+        found = {r["phrase"]: r["f"] for r in phrases.phrase_counts(docs, support=1, tasks=tasks).collect()}
+        assert found == {"tasks": most, "rows": 60}
+    # 120 word pairs, of which a task is to read 10 at most.
+    monkeypatch.setattr(phrases, "TASK_PAIRS", 10)
+    assert phrases.phrase_counts(docs, support=1).where("phrase = 'tasks'").first()["f"] == 12
